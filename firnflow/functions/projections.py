@@ -8,6 +8,7 @@ a JVM-side projection that Spark can code-generate: no CRS library, no Python wo
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -163,15 +164,31 @@ def _is_utm(epsg: int) -> bool:
     return 32601 <= epsg <= 32660 or 32701 <= epsg <= 32760
 
 
-def _by_system(a: Column, b: Column, epsg: int | Column, polar, utm) -> tuple[Column, Column]:
+# Up to this many systems are told apart by a flat CASE; more of them by one dispatch with bound values.
+FLAT_SYSTEMS = 3
+
+
+def _in_system(a: Column, b: Column, epsg: int, polar, utm) -> tuple[Column, Column]:
+    if epsg == GEOGRAPHIC:
+        return a, b
+    if epsg in POLAR_SYSTEMS:
+        return polar(a, b, POLAR_SYSTEMS[epsg])
+    if _is_utm(epsg):
+        return utm(a, b, F.lit(epsg % 100), F.lit(epsg // 100 == 327))
+    raise ValueError(f"EPSG:{epsg} is not one of the systems known here")
+
+
+def _by_system(a: Column, b: Column, epsg: int | Column, polar, utm, systems: Sequence[int] | None) -> tuple[Column, Column]:
     if isinstance(epsg, int):
-        if epsg == GEOGRAPHIC:
-            return a, b
-        if epsg in POLAR_SYSTEMS:
-            return polar(a, b, POLAR_SYSTEMS[epsg])
-        if _is_utm(epsg):
-            return utm(a, b, F.lit(epsg % 100), F.lit(epsg // 100 == 327))
-        raise ValueError(f"EPSG:{epsg} is not one of the systems known here")
+        return _in_system(a, b, epsg, polar, utm)
+    if systems is not None and 0 < len(systems) <= FLAT_SYSTEMS:
+        known = [(epsg == s, _in_system(a, b, s, polar, utm)) for s in systems]
+        if len(known) == 1:
+            return known[0][1]
+        x, y = (F.when(known[0][0], known[0][1][i]) for i in (0, 1))
+        for test, (px, py) in known[1:]:
+            x, y = x.when(test, px), y.when(test, py)
+        return x, y
 
     # Branches are outside common-subexpression elimination, so inside them values are bound instead of repeated.
     def chosen(p: Column) -> Column:
@@ -187,14 +204,19 @@ def _by_system(a: Column, b: Column, epsg: int | Column, polar, utm) -> tuple[Co
     return pair["a"], pair["b"]
 
 
-def project(lon: Column, lat: Column, epsg: int | Column) -> tuple[Column, Column]:
-    """Degrees to the coordinates of a system given as a number or, row by row, as a column (NULL if unknown)."""
-    return _by_system(lon, lat, epsg, polar_xy, utm_xy)
+def project(
+    lon: Column, lat: Column, epsg: int | Column, systems: Sequence[int] | None = None
+) -> tuple[Column, Column]:
+    """Degrees to the coordinates of a system given as a number or, row by row, as a column (NULL if unknown).
+
+    ``systems`` lists the codes the column can hold, if that is known: the expression then covers only those.
+    """
+    return _by_system(lon, lat, epsg, polar_xy, utm_xy, systems)
 
 
-def unproject(x: Column, y: Column, epsg: int | Column) -> tuple[Column, Column]:
+def unproject(x: Column, y: Column, epsg: int | Column, systems: Sequence[int] | None = None) -> tuple[Column, Column]:
     """Coordinates of a system back to degrees."""
-    return _by_system(x, y, epsg, polar_lonlat, utm_lonlat)
+    return _by_system(x, y, epsg, polar_lonlat, utm_lonlat, systems)
 
 
 def utm_zone(lon: Column, lat: Column) -> Column:

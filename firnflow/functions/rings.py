@@ -281,6 +281,29 @@ def rings_meet(a: Column, b: Column) -> Column:
     return touch | _edges_inside(ea, first_b["x"], first_b["y"]) | _edges_inside(eb, first_a["x"], first_a["y"])
 
 
+def edges_meet_box(edges: Column, box: Sequence[Column], most: int | None = None) -> Column:
+    """A ring given by its edges and a box share at least a boundary point.
+
+    Where no ring has more than ``most`` edges and that is few, the test is unrolled and compiled; else a lambda is used.
+    """
+
+    def meets(e: Column) -> Column:
+        return _segment_meets_box(e["px"], e["py"], e["qx"], e["qy"], box)
+
+    def crosses(e: Column) -> Column:
+        return F.coalesce(_parity(e["px"], e["py"], e["qx"], e["qy"], box[0], box[1]), F.lit(False))
+
+    if most is None or most > UNROLL_EDGES // 3:
+        return F.exists(edges, meets) | _edges_inside(edges, box[0], box[1])
+    n = F.size(edges)
+    touch, odd = F.lit(False), F.lit(False)
+    for i in range(most):
+        e = F.get(edges, F.lit(i))
+        touch = touch | ((n > i) & meets(e))
+        odd = odd != ((n > i) & crosses(e))
+    return touch | odd
+
+
 def region_ring(roi: Region) -> Column:
     """First ring of a literal region as an array column."""
     return F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in roi.rings[0]))

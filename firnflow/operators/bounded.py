@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,16 @@ def is_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def settled(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds columns whose values are computed here and once.
+
+    The optimizer copies the expression behind a column into every filter, join key and projection above it; chains of
+    projections grow beyond what the JVM compiles that way.  Behind a generator of one row it cannot.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*(v.alias(k) for k, v in columns.items())))))
+
+
 def join_bounded(
     big: DataFrame,
     small: DataFrame,
@@ -31,14 +41,18 @@ def join_bounded(
     salts: int = SALTS,
     *,
     salt_by: Sequence[str],
+    measured: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Equi-join that broadcasts ``small`` when it is measured to be small and shuffles otherwise.
 
     In the shuffle, each key of ``big`` is spread over ``salts`` partitions by a hash of its ``salt_by`` columns and
     ``small`` is repeated that often, so a key that holds a third of all rows is no single task.  The hash depends on the
     row alone, so a task run again after the loss of an executor sends every row to the same place.
+
+    ``measured`` is a table known to have no fewer rows than ``small`` but cheaper to count, or the outcome of a count.
     """
-    if is_bounded(small, rows):
+    fits = measured if isinstance(measured, bool) else is_bounded(small if measured is None else measured, rows)
+    if fits:
         return big.join(F.broadcast(small), list(on), how)
     return join_salted(big, small, on, salt_by, how, salts, hint="merge")
 
@@ -89,13 +103,15 @@ def grid_join(
     salts: int = SALTS,
     *,
     salt_by: Sequence[str],
+    fits: bool | None = None,
 ) -> DataFrame:
     """Pairs of rows whose boxes share a point; every pair comes out once.
 
     The large side is never multiplied: each of its rows lies in one cell of one level, the level being the first power
     of two (times ``base``) that is not smaller than the row's box.  The small side is listed in all cells, per level, from
     which a box can reach it.  Rows larger than ``max_extent`` share one extra level that every small row is listed in.
-    With ``max_extent`` 0 the large side is points.  Column names of the two sides must differ.
+    With ``max_extent`` 0 the large side is points.  Column names of the two sides must differ.  ``fits`` tells, where it is
+    known, whether the listed small side may be broadcast.
     """
     top = _levels(base, max_extent)
     bx0, by0, bx1, by1 = big_box
@@ -118,23 +134,31 @@ def grid_join(
 
     sx0, sy0, sx1, sy1 = small_box
     reach = 1 if max_extent > 0 else 0
-    covers = []
-    for k in range(top + 1):
-        side = F.lit(base * 2.0**k)
-        covers.append(
-            F.flatten(
-                F.transform(
-                    F.sequence(_cell(sx0, side) - reach, _cell(sx1, side)),
-                    lambda cx: F.transform(
-                        F.sequence(_cell(sy0, side) - reach, _cell(sy1, side)),
-                        lambda cy: F.struct(F.lit(k).alias("_level"), cx.alias("_cx"), cy.alias("_cy")),
-                    ),
-                )
+    sides = [F.lit(base * 2.0**k) for k in range(top + 1)]
+    spans = [((_cell(sx0, s) - reach, _cell(sx1, s)), (_cell(sy0, s) - reach, _cell(sy1, s))) for s in sides]
+
+    def cells(k: int) -> Column:
+        (x_first, x_last), (y_first, y_last) = spans[k]
+        return F.flatten(
+            F.transform(
+                F.sequence(x_first, x_last),
+                lambda cx: F.transform(
+                    F.sequence(y_first, y_last),
+                    lambda cy: F.struct(F.lit(k).alias("_level"), cx.alias("_cx"), cy.alias("_cy")),
+                ),
             )
         )
+
+    covers = [cells(k) for k in range(top + 1)]
     if max_extent > 0:
         covers.append(F.array(F.struct(F.lit(top + 1).alias("_level"), F.lit(0).alias("_cx"), F.lit(0).alias("_cy"))))
     listed = small.withColumn("_g", F.explode(F.concat(*covers))).select("*", "_g.*").drop("_g")
 
-    joined = join_bounded(keyed, listed, _KEYS, rows=rows, salts=salts, salt_by=salt_by)
+    if fits is None:
+        # The listed rows are counted from the boxes, without listing them.
+        per_row = F.lit(1).cast("long")
+        for (x_first, x_last), (y_first, y_last) in spans:
+            per_row = per_row + (x_last - x_first + 1).cast("long") * (y_last - y_first + 1)
+        fits = (small.agg(F.sum(per_row)).first()[0] or 0) <= rows
+    joined = join_bounded(keyed, listed, _KEYS, rows=rows, salts=salts, salt_by=salt_by, measured=fits)
     return joined.where(boxes_overlap(big_box, small_box)).drop(*_KEYS)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from firnflow.functions import rings
 from firnflow.functions.projections import offset_metres, project, unproject
 from firnflow.functions.urls import composite_url, epsg_code
-from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, join_bounded
+from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, is_bounded, join_bounded, settled
 from firnflow.operators.search import BOX, data_assets
 
 GRID = ("x0", "y0", "dx", "dy", "nx", "ny")
@@ -91,7 +91,7 @@ def locate(
     """Points with the attributes of their cube."""
     found = first_cube(points, cubes, cell_degrees=cell_degrees, rows=rows)
     keep = [c for c in cubes.columns if c not in BOX and c not in points.columns]
-    return join_bounded(found, cubes.select(*keep), ["cube_id"], rows=rows, salt_by=["point_id"])
+    return join_bounded(found, cubes.select(*keep), ["cube_id"], rows=rows, salt_by=["point_id"], measured=cubes)
 
 
 def missing_points(points: DataFrame, found: DataFrame) -> DataFrame:
@@ -124,15 +124,20 @@ def snap(located: DataFrame, px: str = "px", py: str = "py") -> DataFrame:
             "iy": nearest_index(c(py), c("y0"), c("dy"), c("ny")),
         }
     )
-    centred = indexed.withColumns({"x": c("x0") + c("ix") * c("dx"), "y": c("y0") + c("iy") * c("dy")})
+    centred = settled(indexed, {"x": c("x0") + c("ix") * c("dx"), "y": c("y0") + c("iy") * c("dy")})
     return centred.withColumn("offset_m", offset_metres(c("x") - c(px), c("y") - c(py)))
 
 
-def snap_points(located: DataFrame) -> DataFrame:
+def systems_of(cubes: DataFrame, column: str = "epsg") -> list[int]:
+    """The coordinate systems in a cube catalog: there are 122 such codes, so the list is short whatever the catalog."""
+    return sorted(int(r[0]) for r in cubes.select(column).where(F.col(column).isNotNull()).distinct().collect())
+
+
+def snap_points(located: DataFrame, systems: Sequence[int] | None = None) -> DataFrame:
     """Located points projected into their cube's system, on the nearest cell, with that cell's position in degrees."""
-    px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"))
-    on_cell = snap(located.withColumns({"px": px, "py": py}))
-    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"))
+    px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"), systems)
+    on_cell = snap(settled(located, {"px": px, "py": py}))
+    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"), systems)
     return on_cell.withColumns({"returned_lon": lon, "returned_lat": lat})
 
 
@@ -197,30 +202,29 @@ def locate_two_step(
     the system of the cube, where status is ``direct``, ``offset``, ``not_in_box_after_offset``, ``no_cube_after_offset``
     or ``no_cube``.
     """
-    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"))
-    placed = points.select("point_id", F.col("x").alias("in_x"), F.col("y").alias("in_y"), F.col("epsg").alias("in_epsg"),
-                           lon.alias("lon"), lat.alias("lat"))
+    systems, bounded = systems_of(cubes), is_bounded(cubes, rows)
+    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"), systems_of(points))
+    placed = settled(
+        points.select("point_id", F.col("x").alias("in_x"), F.col("y").alias("in_y"), F.col("epsg").alias("in_epsg"), "x", "y", "epsg"),
+        {"lon": lon, "lat": lat},
+    ).drop("x", "y", "epsg")
     attributes = cubes.select("cube_id", "epsg", *XY_BOX)
 
     def in_cube(found: DataFrame) -> DataFrame:
-        joined = join_bounded(found, attributes, ["cube_id"], rows=rows, salt_by=["point_id"])
-        px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"))
+        joined = join_bounded(found, attributes, ["cube_id"], rows=rows, salt_by=["point_id"], measured=bounded)
+        px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"), systems)
         same = F.col("in_epsg") == F.col("epsg")
-        return joined.withColumns(
-            {"x": F.when(same, F.col("in_x")).otherwise(px), "y": F.when(same, F.col("in_y")).otherwise(py)}
-        )
+        x, y = F.when(same, F.col("in_x")).otherwise(px), F.when(same, F.col("in_y")).otherwise(py)
+        return settled(settled(joined, {"x": x, "y": y}), {"inside": _in_xy_box(F.col("x"), F.col("y"))})
 
     first = in_cube(first_cube(placed, cubes, strict=True, cell_degrees=cell_degrees, rows=rows))
-    inside = _in_xy_box(F.col("x"), F.col("y"))
+    inside = F.col("inside")
     direct = first.where(inside).select("point_id", "cube_id", "x", "y", F.lit("direct").alias("status"))
 
     mx, my = _moved(F.col("x"), F.col("y"))
-    mlon, mlat = unproject(F.col("mx"), F.col("my"), F.col("epsg"))
-    retry = (
-        first.where(~inside)
-        .withColumns({"mx": mx, "my": my})
-        .select("point_id", "in_x", "in_y", "in_epsg", "lon", "lat", mlon.alias("moved_lon"), mlat.alias("moved_lat"))
-    )
+    mlon, mlat = unproject(F.col("mx"), F.col("my"), F.col("epsg"), systems)
+    moved = settled(settled(first.where(~inside), {"mx": mx, "my": my}), {"moved_lon": mlon, "moved_lat": mlat})
+    retry = moved.select("point_id", "in_x", "in_y", "in_epsg", "lon", "lat", "moved_lon", "moved_lat")
     second = in_cube(first_cube(retry, cubes, "moved_lon", "moved_lat", True, cell_degrees, rows))
     status = F.when(inside, F.lit("offset")).otherwise(F.lit("not_in_box_after_offset"))
     accepted = second.select(

@@ -124,13 +124,21 @@ def search_many(
     ``rois`` holds ``roi_id`` and a box ``roi_minx, …``, and a ``roi_ring`` where regions are polygons.
     """
     roi_box = [F.col("roi_" + n) for n in BOX]
+    polygons = "roi_ring" in rois.columns
+    if polygons:
+        # Edges are built once per region, not once per pair.
+        rois = rois.withColumn("roi_edges", rings.ring_edges(F.col("roi_ring")))
     pairs = grid_join(
         granules, rois, box_columns(), roi_box, base_degrees, max_degrees, rows=rows, salt_by=["granule_id"]
     )
-    if "roi_ring" in rois.columns:
-        ring = F.col("footprint") if "footprint" in granules.columns else rings.box_ring(*box_columns())
-        pairs = pairs.where(rings.rings_meet(ring, F.col("roi_ring")))
-    return pairs
+    if not polygons:
+        return pairs
+    if "footprint" in granules.columns:
+        pairs = pairs.where(rings.rings_meet(F.col("footprint"), F.col("roi_ring")))
+    else:
+        most = rois.agg(F.max(F.size("roi_ring"))).first()[0]
+        pairs = pairs.where(rings.edges_meet_box(F.col("roi_edges"), box_columns(), most))
+    return pairs.drop("roi_edges")
 
 
 # ---- pruning by tile ---------------------------------------------------------------------------------------------

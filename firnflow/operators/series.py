@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from firnflow.functions.sensors import composite_variables, present, velocity_variables
 from firnflow.functions.times import from_micros, micros
 from firnflow.operators.bounded import BROADCAST_ROWS, join_bounded
-from firnflow.operators.locate import CELL_DEGREES, locate, snap_points
+from firnflow.operators.locate import CELL_DEGREES, locate, snap_points, systems_of
 
 CELL = ("cube_id", "ix", "iy")
 POINT_COLUMNS = (
@@ -26,14 +26,22 @@ POINT_COLUMNS = (
 
 
 def series_at(
-    on_cells: DataFrame, table: DataFrame, time: Sequence[str], variables: Iterable[str], rows: int = BROADCAST_ROWS
+    on_cells: DataFrame,
+    table: DataFrame,
+    time: Sequence[str],
+    variables: Iterable[str],
+    rows: int = BROADCAST_ROWS,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of a cell table at snapped points: the point's columns repeated, then the time and the variables."""
+    """Rows of a cell table at snapped points: the point's columns repeated, then the time and the variables.
+
+    ``measured`` may name the points the snapped ones come from: they are no fewer and quicker to count.
+    """
     names = present(table, variables)
     wanted = table.select(*CELL, *time, *names)
     points = on_cells.select(*present(on_cells, (*POINT_COLUMNS, "zarr_url", "composite_zarr_url")))
-    # The pair (time, variables) differs between the rows of one cell, so it spreads a crowded cell in a shuffle.
-    return join_bounded(wanted, points, CELL, rows=rows, salt_by=[*time, *names[:1]] or names[:1])
+    # Times and values differ between the rows of one cell, so they spread a crowded cell in a shuffle.
+    return join_bounded(wanted, points, CELL, rows=rows, salt_by=[*time, *names], measured=measured)
 
 
 def time_series(
@@ -45,8 +53,8 @@ def time_series(
     rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Velocity series of every point: its first cube, nearest cell, and all observations there."""
-    on_cells = snap_points(locate(points, cubes, cell_degrees, rows))
-    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows)
+    on_cells = snap_points(locate(points, cubes, cell_degrees, rows), systems_of(cubes))
+    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
 
 
 def annual_series(
@@ -63,9 +71,9 @@ def annual_series(
     ``static`` holds the climatology and the masks, one row per cell, and is added where it exists.
     """
     located = locate(points, cubes, cell_degrees, rows).where("composite_zarr_url <> ''")
-    on_cells = snap_points(located)
+    on_cells = snap_points(located, systems_of(cubes))
     names = composite_variables(variables)
-    out = series_at(on_cells, composites, ["year"], names, rows)
+    out = series_at(on_cells, composites, ["year"], names, rows, measured=points)
     if static is None:
         return out
     extra = [n for n in present(static, names) if n not in out.columns]

@@ -429,8 +429,7 @@ add(
 add(
     "point_series",
     "points cubes observations",
-    """SELECT c.point_id, c.cube_id, c.ix, c.iy, round(x, 2) AS x, round(y, 2) AS y, round(offset_m, 2) AS offset_m, mid_date,
-       round(o.v, 6) AS v, round(o.v_error, 6) AS v_error, satellite_img1
+    """SELECT c.point_id, c.cube_id, c.ix, c.iy, x, y, mid_date, o.v, o.v_error, satellite_img1
        FROM cells c JOIN observations o ON o.cube_id = c.cube_id AND o.ix = c.ix AND o.iy = c.iy""",
     _SNAPPED,
 )
@@ -456,9 +455,9 @@ _LABELLED = "labelled AS (SELECT *, -50 + point_id / 7 AS lon, 60 + point_id / 9
 add(
     "export_rows",
     "observations",
-    """SELECT mid_date, round(lon, 4) AS lon, round(lat, 4) AS lat, round(v, 6) AS "v [m/yr]", round(v_error, 6) AS "v_error [m/yr]",
-       round(vx, 6) AS "vx [m/yr]", round(vx_error, 6) AS "vx_error [m/yr]", round(vy, 6) AS "vy [m/yr]",
-       round(vy_error, 6) AS "vy_error [m/yr]", CAST(floor(date_dt_days) AS INT) AS "date_dt [days]", mission_img1 AS mission,
+    """SELECT mid_date, round(lon, 4) AS lon, round(lat, 4) AS lat, v AS "v [m/yr]", v_error AS "v_error [m/yr]",
+       vx AS "vx [m/yr]", vx_error AS "vx_error [m/yr]", vy AS "vy [m/yr]",
+       vy_error AS "vy_error [m/yr]", CAST(floor(date_dt_days) AS INT) AS "date_dt [days]", mission_img1 AS mission,
        satellite_img1 AS satellite, epsg FROM labelled
        WHERE v IS NOT NULL AND vx IS NOT NULL AND vy IS NOT NULL AND v_error IS NOT NULL""",
     _LABELLED,
@@ -466,7 +465,7 @@ add(
 add(
     "export_extra_variable",
     "observations",
-    """SELECT mid_date, round(lat, 4) AS lat, round(lon, 4) AS lon, round(v, 6) AS "v [m/yr]",
+    """SELECT mid_date, round(lat, 4) AS lat, round(lon, 4) AS lon, v AS "v [m/yr]",
        CAST(floor(date_dt_days) AS INT) AS "date_dt [days]", satellite_img1 AS satellite FROM labelled
        WHERE v IS NOT NULL AND vx IS NOT NULL AND vy IS NOT NULL AND l_partkey % 3 <> 0""",
     _LABELLED,
@@ -493,7 +492,7 @@ add(
 # ---- calendar ------------------------------------------------------------------------------------------------------
 _SINGLE = """single AS (SELECT point_id, mid_date, v FROM (SELECT *, row_number() OVER (PARTITION BY point_id, mid_date
     ORDER BY l_orderkey, l_linenumber, l_partkey) AS rn FROM observations) WHERE rn = 1)"""
-add("first_per_timestamp", "observations", "SELECT point_id, mid_date, round(v, 6) AS v FROM single", _SINGLE)
+add("first_per_timestamp", "observations", "SELECT point_id, mid_date, v FROM single", _SINGLE)
 
 _LABEL = {
     "m": "last_day(CAST(mid_date AS DATE))",
@@ -551,7 +550,7 @@ add(
 add(
     "series_max",
     "observations",
-    """SELECT point_id, round(v, 6) AS max_value, mid_date AS max_date FROM (SELECT *, row_number() OVER (PARTITION BY point_id
+    """SELECT point_id, v AS max_value, mid_date AS max_date FROM (SELECT *, row_number() OVER (PARTITION BY point_id
        ORDER BY v DESC, mid_date) AS rn FROM observations WHERE v > 0) WHERE rn = 1""",
 )
 
@@ -596,23 +595,23 @@ _DATED = """dated AS (SELECT *, CAST(mid_date AS DATE) - CAST(floor(date_dt_days
 add(
     "interval_segments",
     "observations",
-    """SELECT point_id, CAST(date_dt_days AS INT) AS days, round(v, 6) AS v, t1, t2, round((date_dt_days - 5) / 85, 6) AS shade
+    """SELECT point_id, CAST(date_dt_days AS INT) AS days, v, t1, t2, round((date_dt_days - 5) / 85, 6) AS shade
        FROM dated WHERE v IS NOT NULL AND date_dt_days BETWEEN 5 AND 90""",
     _DATED,
 )
 add(
     "series_by_location",
     "observations",
-    """SELECT point_id, mid_date, round(v, 6) AS value, concat('Lat: ', CAST(round(60 + point_id / 64, 4) AS VARCHAR), ', Lon: ',
+    """SELECT point_id, mid_date, v AS value, concat('Lat: ', CAST(round(60 + point_id / 64, 4) AS VARCHAR), ', Lon: ',
        CAST(round(-50 + point_id / 8, 4) AS VARCHAR)) AS label FROM observations WHERE date_dt_days BETWEEN 5 AND 90""",
 )
 add(
     "series_by_sensor",
     "observations",
-    f"""SELECT point_id, mid_date, round(v, 6) AS value, satellite_img1 AS satellite, {_LONG} AS label FROM observations
+    f"""SELECT point_id, mid_date, v AS value, satellite_img1 AS satellite, {_LONG} AS label FROM observations
         WHERE date_dt_days BETWEEN 5 AND 90""",
 )
-add("one_sensor", "observations", "SELECT point_id, mid_date, round(v, 6) AS v FROM observations WHERE satellite_img1 = '8'")
+add("one_sensor", "observations", "SELECT point_id, mid_date, v FROM observations WHERE satellite_img1 = '8'")
 add(
     "value_scale",
     "observations",
@@ -676,7 +675,7 @@ add(
     "profiles cubes observations",
     f"""SELECT c.point_id.profile_id AS profile_id, c.point_id.k AS k, c.point_id.x_start AS x_start, c.point_id.x_stop AS x_stop,
         round({decimal_year('t1')}, 8) AS start_year, round({decimal_year('t2')}, 8) AS stop_year, CAST(floor(date_dt_days) AS INT) AS days,
-        round(v, 6) AS v, round(least(v, 1400), 6) AS shade_value
+        v, least(v, 1400) AS shade_value
         FROM cells c JOIN dated o ON o.cube_id = c.cube_id AND o.ix = c.ix AND o.iy = c.iy WHERE v IS NOT NULL""",
     samples("profiles", PROFILE_INTERVAL)
     + ", "
@@ -701,7 +700,7 @@ _PASS2 = _STRICT.replace("BY_LON", "mlon").replace("BY_LAT", "mlat")
 add(
     "subcube_bbox",
     "cubes observations",
-    """SELECT box_id, cube_id, x0 + ix * dx AS x, y0 + iy * dy AS y, mid_date, round(v, 6) AS v FROM observations JOIN cubes USING (cube_id)
+    """SELECT box_id, cube_id, x0 + ix * dx AS x, y0 + iy * dy AS y, mid_date, v FROM observations JOIN cubes USING (cube_id)
        JOIN held USING (cube_id) WHERE x0 + ix * dx BETWEEN held.cx - 120000 AND held.cx + 120000
        AND y0 + iy * dy BETWEEN held.cy - 130000 AND held.cy + 130000""",
     f"""z AS (SELECT s_suppkey AS box_id, -1500000 + (s_suppkey * 137 % 2500) * 1000e0 AS cx, -3200000 + (s_suppkey * 211 % 2600) * 1000e0 AS cy FROM supplier),

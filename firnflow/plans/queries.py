@@ -452,7 +452,8 @@ def find_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def snapped_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    on_cells = locate.snap_points(locate.locate(view(spark, sf_dir, "points"), view(spark, sf_dir, "cubes")))
+    grid = view(spark, sf_dir, "cubes")
+    on_cells = locate.snap_points(locate.locate(view(spark, sf_dir, "points"), grid), locate.systems_of(grid))
     out = on_cells.select("point_id", "cube_id", "ix", "iy", "x", "y", "offset_m", "returned_lon", "returned_lat")
     return rounded(rounded(out, 2, "x", "y", "offset_m"), 6, "returned_lon", "returned_lat")
 
@@ -484,10 +485,7 @@ def legacy_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def point_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = series.time_series(view(spark, sf_dir, "points"), view(spark, sf_dir, "cubes"), observations(spark, sf_dir))
-    out = rows.select(
-        "point_id", "cube_id", "ix", "iy", "x", "y", "offset_m", "mid_date", "v", "v_error", "satellite_img1"
-    )
-    return rounded(rounded(out, 2, "x", "y", "offset_m"), 6, "v", "v_error")
+    return rows.select("point_id", "cube_id", "ix", "iy", "x", "y", "mid_date", "v", "v_error", "satellite_img1")
 
 
 def composites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -523,8 +521,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = series_sink.csv_rows(_labelled(spark, sf_dir))
-    return rounded(out, 6, "v [m/yr]", "v_error [m/yr]", "vx [m/yr]", "vx_error [m/yr]", "vy [m/yr]", "vy_error [m/yr]")
+    return series_sink.csv_rows(_labelled(spark, sf_dir))
 
 
 @register
@@ -532,7 +529,7 @@ def export_extra_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extra variable with gaps removes rows although the CSV columns do not hold it."""
     rows = _labelled(spark, sf_dir).withColumn("extra", F.when(F.col("l_partkey") % 3 != 0, F.col("v_error")))
     out = series_sink.csv_rows(rows, ["extra"], lat_first=True)
-    return rounded(out.select("mid_date", "lat", "lon", "v [m/yr]", "date_dt [days]", "satellite"), 6, "v [m/yr]")
+    return out.select("mid_date", "lat", "lon", "v [m/yr]", "date_dt [days]", "satellite")
 
 
 @register
@@ -551,7 +548,7 @@ def variable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def first_per_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_single(spark, sf_dir), 6, "v")
+    return _single(spark, sf_dir)
 
 
 def _single(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -590,7 +587,7 @@ def satellite_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def series_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_report(spark, sf_dir).maximum, 6, "max_value")
+    return _report(spark, sf_dir).maximum
 
 
 @register
@@ -654,23 +651,23 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = products.interval_segments(_dated(spark, sf_dir))
     ordered = products.in_draw_order(rows, ["days", "v", "t1", "t2"])
-    return rounded(ordered, 6, "v", "shade")
+    return rounded(ordered, 6, "shade")
 
 
 @register
 def series_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _dated(spark, sf_dir).withColumns({"lon": -50 + F.col("point_id") / 8, "lat": 60 + F.col("point_id") / 64})
-    return rounded(products.by_location(rows), 6, "value")
+    return products.by_location(rows)
 
 
 @register
 def series_by_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(products.by_sensor(_dated(spark, sf_dir)), 6, "value")
+    return products.by_sensor(_dated(spark, sf_dir))
 
 
 @register
 def one_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(series.of_sensor(observations(spark, sf_dir), "8").select("point_id", "mid_date", "v"), 6, "v")
+    return series.of_sensor(observations(spark, sf_dir), "8").select("point_id", "mid_date", "v")
 
 
 @register
@@ -726,7 +723,7 @@ def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         stop.alias("acquisition_date_img2"),
     )
     out = products.patches(dated, products.TOP_SPEED / 2, ["profile_id", "k"])
-    return rounded(rounded(out, 8, "start_year", "stop_year"), 6, "v", "shade_value")
+    return rounded(out, 8, "start_year", "stop_year")
 
 
 # ---- cut-outs ----------------------------------------------------------------------------------------------------
@@ -767,7 +764,7 @@ def subcube_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(3413).alias("epsg"),
     )
     cut = subcube.in_boxes(cells, boxes, grid, salt_by=["l_orderkey", "l_linenumber"])
-    return rounded(cut.select("box_id", "cube_id", "x", "y", "mid_date", "v"), 6, "v")
+    return cut.select("box_id", "cube_id", "x", "y", "mid_date", "v")
 
 
 @register

@@ -117,11 +117,11 @@ VIEWS = {
             "CAST(floor(l_suppkey / 125) % 8 AS INT) AS iy",
             "l_shipdate AS mid_date",
             "l_quantity * 11 AS date_dt_days",
-            "CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / 47 END AS v",
+            "CASE WHEN l_tax = 0 THEN NULL ELSE 7 * sqrt(l_extendedprice) END AS v",
             "l_discount * 100 AS v_error",
-            "CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / 83 END AS vx",
+            "CASE WHEN l_tax = 0 THEN NULL ELSE 4 * sqrt(l_extendedprice) END AS vx",
             "l_discount * 70 AS vx_error",
-            "CASE WHEN l_tax = 0 THEN NULL ELSE -l_extendedprice / 89 END AS vy",
+            "CASE WHEN l_tax = 0 THEN NULL ELSE -6 * sqrt(l_extendedprice) END AS vy",
             "l_discount * 60 AS vy_error",
             "CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '2' WHEN 3 THEN '4' WHEN 4 THEN '5' "
             "WHEN 5 THEN '7' WHEN 6 THEN '8' ELSE '9' END AS satellite_img1",
