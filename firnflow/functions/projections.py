@@ -181,6 +181,8 @@ def _in_system(a: Column, b: Column, epsg: int, polar, utm) -> tuple[Column, Col
 def _by_system(a: Column, b: Column, epsg: int | Column, polar, utm, systems: Sequence[int] | None) -> tuple[Column, Column]:
     if isinstance(epsg, int):
         return _in_system(a, b, epsg, polar, utm)
+    if systems and all(_is_utm(s) for s in systems):
+        return utm(a, b, F.pmod(epsg, F.lit(100)), epsg > 32700)
     if systems is not None and 0 < len(systems) <= FLAT_SYSTEMS:
         known = [(epsg == s, _in_system(a, b, s, polar, utm)) for s in systems]
         if len(known) == 1:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column
@@ -130,21 +131,17 @@ def _edge_literals(edges: Sequence[Edge]) -> Column:
 
 
 def _parity(px, py, qx, qy, x: Column, y: Column) -> Column:
-    """The edge crosses the ray that runs from (x, y) to the right."""
+    """The edge crosses the ray that runs from (x, y) to the right; a literal edge must not be level."""
     if not isinstance(px, Column):
-        if py == qy:
-            return F.lit(False)
         slope = (qx - px) / (qy - py)
-        return ((F.lit(py) > y) != (F.lit(qy) > y)) & (x < slope * (y - py) + px)
+        return ((y < py) != (y < qy)) & (x < slope * (y - py) + px)
     return ((py > y) != (qy > y)) & (x < (qx - px) * (y - py) / F.nullif(qy - py, F.lit(0.0)) + px)
 
 
 def _crossings_odd(edges: Sequence[Edge], x: Column, y: Column) -> Column:
     if len(edges) <= UNROLL_EDGES:
-        odd = F.lit(False)
-        for p, q in edges:
-            odd = odd != F.coalesce(_parity(*p, *q, x, y), F.lit(False))
-        return odd
+        crossed = [_parity(*p, *q, x, y) for p, q in edges if p[1] != q[1]]
+        return reduce(lambda a, b: a != b, crossed) if crossed else F.lit(False)
     return F.aggregate(
         _edge_literals(edges),
         F.lit(False),
@@ -152,17 +149,37 @@ def _crossings_odd(edges: Sequence[Edge], x: Column, y: Column) -> Column:
     )
 
 
-def _segment_meets_box(px, py, qx, qy, box: Sequence[Column]) -> Column:
-    """A segment and a closed box share a point: no axis of either separates them."""
+def _edge_meets_box(edge: Edge, box: Sequence[Column]) -> Column:
+    """A literal segment and a closed box share a point: neither an axis nor the segment's normal separates them.
+
+    Which corners lie farthest to either side is known from the direction, so two of the four are enough.
+    """
+    (px, py), (qx, qy) = edge
     minx, miny, maxx, maxy = box
-    if isinstance(px, Column):
-        lo_x, hi_x, lo_y, hi_y = F.least(px, qx), F.greatest(px, qx), F.least(py, qy), F.greatest(py, qy)
-    else:
-        lo_x, hi_x, lo_y, hi_y = min(px, qx), max(px, qx), min(py, qy), max(py, qy)
+    tests = [minx <= max(px, qx), maxx >= min(px, qx), miny <= max(py, qy), maxy >= min(py, qy)]
     dx, dy = qx - px, qy - py
-    sides = [dx * (cy - py) - dy * (cx - px) for cx in (minx, maxx) for cy in (miny, maxy)]
-    apart = all_of(s > 0 for s in sides) | all_of(s < 0 for s in sides)
-    return (minx <= hi_x) & (maxx >= lo_x) & (miny <= hi_y) & (maxy >= lo_y) & ~apart
+    if dx and dy:
+        y_low, y_high = (miny, maxy) if dx > 0 else (maxy, miny)
+        x_low, x_high = (minx, maxx) if dy > 0 else (maxx, minx)
+        tests.append(dx * (y_low - py) <= dy * (x_high - px))
+        tests.append(dx * (y_high - py) >= dy * (x_low - px))
+    return all_of(tests[1:]) & tests[0]
+
+
+def _segment_meets_box(e: Column, box: Sequence[Column]) -> Column:
+    """The same for a segment that is a column."""
+    px, py, qx, qy = (e[n] for n in ("px", "py", "qx", "qy"))
+    minx, miny, maxx, maxy = box
+    dx, dy = qx - px, qy - py
+    along, across = (dx * (miny - py), dx * (maxy - py)), (dy * (minx - px), dy * (maxx - px))
+    return (
+        (minx <= F.greatest(px, qx))
+        & (maxx >= F.least(px, qx))
+        & (miny <= F.greatest(py, qy))
+        & (maxy >= F.least(py, qy))
+        & (F.least(*along) <= F.greatest(*across))
+        & (F.greatest(*along) >= F.least(*across))
+    )
 
 
 def region_meets_box(roi: Region, box: Sequence[Column]) -> Column:
@@ -172,11 +189,9 @@ def region_meets_box(roi: Region, box: Sequence[Column]) -> Column:
         return coarse
     edges = roi.edges
     if len(edges) <= UNROLL_EDGES:
-        touch = any_of(_segment_meets_box(*p, *q, box) for p, q in edges)
+        touch = any_of(_edge_meets_box(e, box) for e in edges)
     else:
-        touch = F.exists(
-            _edge_literals(edges), lambda e: _segment_meets_box(e["px"], e["py"], e["qx"], e["qy"], box)
-        )
+        touch = F.exists(_edge_literals(edges), lambda e: _segment_meets_box(e, box))
     return coarse & (touch | _crossings_odd(roi.ring_edges, box[0], box[1]))
 
 
@@ -281,27 +296,13 @@ def rings_meet(a: Column, b: Column) -> Column:
     return touch | _edges_inside(ea, first_b["x"], first_b["y"]) | _edges_inside(eb, first_a["x"], first_a["y"])
 
 
-def edges_meet_box(edges: Column, box: Sequence[Column], most: int | None = None) -> Column:
+def edges_meet_box(edges: Column, box: Sequence[Column]) -> Column:
     """A ring given by its edges and a box share at least a boundary point.
 
-    Where no ring has more than ``most`` edges and that is few, the test is unrolled and compiled; else a lambda is used.
+    A lambda, although interpreted, is the quicker form here: unrolled over a handful of edges the test makes the generated
+    method of the whole join too long for the JVM to compile.
     """
-
-    def meets(e: Column) -> Column:
-        return _segment_meets_box(e["px"], e["py"], e["qx"], e["qy"], box)
-
-    def crosses(e: Column) -> Column:
-        return F.coalesce(_parity(e["px"], e["py"], e["qx"], e["qy"], box[0], box[1]), F.lit(False))
-
-    if most is None or most > UNROLL_EDGES // 3:
-        return F.exists(edges, meets) | _edges_inside(edges, box[0], box[1])
-    n = F.size(edges)
-    touch, odd = F.lit(False), F.lit(False)
-    for i in range(most):
-        e = F.get(edges, F.lit(i))
-        touch = touch | ((n > i) & meets(e))
-        odd = odd != ((n > i) & crosses(e))
-    return touch | odd
+    return F.exists(edges, lambda e: _segment_meets_box(e, box)) | _edges_inside(edges, box[0], box[1])
 
 
 def region_ring(roi: Region) -> Column:

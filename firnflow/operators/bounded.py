@@ -78,7 +78,14 @@ def join_salted(
     return big.join(small.hint(hint) if hint else small, [*on, _SALT], how).drop(_SALT)
 
 
-_KEYS = ["_level", "_cx", "_cy"]
+_KEY = "_grid_key"
+
+
+def _key(level: Column, cx: Column, cy: Column) -> Column:
+    """Level and cell in one number, which hashes faster than three: 6 bits of level and 28 of each index."""
+    half = 1 << 27
+    packed = level.cast("long") * (1 << 56) + (cx.cast("long") + half) * (1 << 28)
+    return packed + (cy.cast("long") + half)
 
 
 def _cell(value: Column, size: Column) -> Column:
@@ -121,16 +128,11 @@ def grid_join(
         level = F.when(extent <= base, 0).otherwise(F.ceil(F.log2(extent / base) + 1e-9).cast("int"))
         level = F.least(level, F.lit(top + 1))
     else:
-        level = F.lit(0)
+        level = F.lit(0)  # the folded constants below then leave only the two divisions
     size = F.lit(float(base)) * F.pow(F.lit(2.0), level)
     whole = level > top
-    keyed = big.withColumns(
-        {
-            "_level": level,
-            "_cx": F.when(whole, 0).otherwise(_cell(bx0, size)),
-            "_cy": F.when(whole, 0).otherwise(_cell(by0, size)),
-        }
-    )
+    cx, cy = (F.when(whole, 0).otherwise(_cell(v, size)) for v in (bx0, by0))
+    keyed = big.withColumn(_KEY, _key(level, cx, cy))
 
     sx0, sy0, sx1, sy1 = small_box
     reach = 1 if max_extent > 0 else 0
@@ -144,15 +146,15 @@ def grid_join(
                 F.sequence(x_first, x_last),
                 lambda cx: F.transform(
                     F.sequence(y_first, y_last),
-                    lambda cy: F.struct(F.lit(k).alias("_level"), cx.alias("_cx"), cy.alias("_cy")),
+                    lambda cy: _key(F.lit(k), cx, cy),
                 ),
             )
         )
 
     covers = [cells(k) for k in range(top + 1)]
     if max_extent > 0:
-        covers.append(F.array(F.struct(F.lit(top + 1).alias("_level"), F.lit(0).alias("_cx"), F.lit(0).alias("_cy"))))
-    listed = small.withColumn("_g", F.explode(F.concat(*covers))).select("*", "_g.*").drop("_g")
+        covers.append(F.array(_key(F.lit(top + 1), F.lit(0), F.lit(0))))
+    listed = small.withColumn(_KEY, F.explode(F.concat(*covers)))
 
     if fits is None:
         # The listed rows are counted from the boxes, without listing them.
@@ -160,5 +162,5 @@ def grid_join(
         for (x_first, x_last), (y_first, y_last) in spans:
             per_row = per_row + (x_last - x_first + 1).cast("long") * (y_last - y_first + 1)
         fits = (small.agg(F.sum(per_row)).first()[0] or 0) <= rows
-    joined = join_bounded(keyed, listed, _KEYS, rows=rows, salts=salts, salt_by=salt_by, measured=fits)
-    return joined.where(boxes_overlap(big_box, small_box)).drop(*_KEYS)
+    joined = join_bounded(keyed, listed, [_KEY], rows=rows, salts=salts, salt_by=salt_by, measured=fits)
+    return joined.where(boxes_overlap(big_box, small_box)).drop(_KEY)

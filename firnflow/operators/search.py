@@ -136,8 +136,7 @@ def search_many(
     if "footprint" in granules.columns:
         pairs = pairs.where(rings.rings_meet(F.col("footprint"), F.col("roi_ring")))
     else:
-        most = rois.agg(F.max(F.size("roi_ring"))).first()[0]
-        pairs = pairs.where(rings.edges_meet_box(F.col("roi_edges"), box_columns(), most))
+        pairs = pairs.where(rings.edges_meet_box(F.col("roi_edges"), box_columns()))
     return pairs.drop("roi_edges")
 
 

@@ -337,6 +337,18 @@ add(
         b AS (SELECT point_id, epsg, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
         c AS (SELECT point_id, epsg, atan2(t, cos(dl)) AS xi0, atanh(sin(dl) / sqrt(1 + t * t)) AS eta0 FROM b)""",
 )
+_NX, _NY = polar_xy("lon", "lat", 3413)
+_SX, _SY = polar_xy("lon", "lat", 3031)
+add(
+    "project_mixed",
+    "utm_points",
+    f"""SELECT point_id, epsg, round(CASE epsg WHEN 3413 THEN {_NX} WHEN 3031 THEN {_SX} ELSE 500000 + {_K} * ({_eta}) END, 2) AS x,
+        round(CASE epsg WHEN 3413 THEN {_NY} WHEN 3031 THEN {_SY}
+              ELSE CASE WHEN epsg > 32700 THEN 10000000 ELSE 0 END + {_K} * ({_xi}) END, 2) AS y FROM c""",
+    f"""a AS (SELECT point_id, {_SYSTEM} AS epsg, sin(radians(lat)) AS s, lon, lat FROM utm_points),
+        b AS (SELECT point_id, epsg, lon, lat, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
+        c AS (SELECT point_id, epsg, lon, lat, atan2(t, cos(dl)) AS xi0, CASE WHEN epsg > 32000 THEN atanh(sin(dl) / sqrt(1 + t * t)) ELSE 0 END AS eta0 FROM b)""",
+)
 _xi0 = "xi - (" + " + ".join(f"{b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
 _eta0 = "eta - (" + " + ".join(f"{b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
 _lat = "chi + " + " + ".join(f"({d!r}) * sin({2 * j} * chi)" for j, d in enumerate(prj.DELTA, start=1))
@@ -583,7 +595,7 @@ def decimal_year(t: str) -> str:
     )
 
 
-add("decimal_year", "", f"SELECT event_id, round({decimal_year('ts')}, 8) AS decimal_year FROM events")
+add("decimal_year", "", f"SELECT event_id, {decimal_year('ts')} AS decimal_year FROM events")
 add(
     "day_forms",
     "",
@@ -674,7 +686,7 @@ add(
     "profile_patches",
     "profiles cubes observations",
     f"""SELECT c.point_id.profile_id AS profile_id, c.point_id.k AS k, c.point_id.x_start AS x_start, c.point_id.x_stop AS x_stop,
-        round({decimal_year('t1')}, 8) AS start_year, round({decimal_year('t2')}, 8) AS stop_year, CAST(floor(date_dt_days) AS INT) AS days,
+        {decimal_year('t1')} AS start_year, {decimal_year('t2')} AS stop_year, CAST(floor(date_dt_days) AS INT) AS days,
         v, least(v, 1400) AS shade_value
         FROM cells c JOIN dated o ON o.cube_id = c.cube_id AND o.ix = c.ix AND o.iy = c.iy WHERE v IS NOT NULL""",
     samples("profiles", PROFILE_INTERVAL)

@@ -11,7 +11,7 @@ from firnflow.functions import filters as flt
 from firnflow.functions import projections, rings, scaling, sensors, tiles, times, urls
 from firnflow.operators import elevation, locate, profile, resample, running_mean, search, series, subcube
 from firnflow.plans import products
-from firnflow.plans.views import table, view
+from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
 from firnflow.sinks import series as series_sink
 from firnflow.sinks import urls as url_sink
@@ -56,7 +56,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "granules")
+    return settled_view(spark, sf_dir, "granules", search.BOX)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +159,6 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search as a stream over the landed file, run to its end; the state's delay covers the file's disorder."""
     schema = table(spark, sf_dir, "orders").schema
     rows = landing.landed(utc(spark), sf_dir, schema, pattern="orders.parquet")
-    from firnflow.plans.views import VIEWS
-
     arriving = rows.selectExpr(*VIEWS["granules"].columns)
     found = landing.stream_search(
         arriving, "36500 days", bbox=WIDE_BBOX, event_time="datetime", percent_valid_pixels=10, **PERIOD
@@ -379,8 +377,11 @@ def wrapped_longitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- projections -------------------------------------------------------------------------------------------------
 
 
-def _projected(rows: DataFrame, epsg: int | Column) -> DataFrame:
-    x, y = projections.project(F.col("lon"), F.col("lat"), epsg)
+UTM_SYSTEMS = [*range(32601, 32661), *range(32701, 32761)]
+
+
+def _projected(rows: DataFrame, epsg: int | Column, systems: list[int] | None = None) -> DataFrame:
+    x, y = projections.project(F.col("lon"), F.col("lat"), epsg, systems)
     return rounded(rows.withColumns({"x": x, "y": y}), 2, "x", "y")
 
 
@@ -398,7 +399,7 @@ def project_3031(spark: SparkSession, sf_dir: str) -> DataFrame:
 def project_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "utm_points").where(F.abs("lat") <= 65)
     placed = rows.withColumn("epsg", projections.working_epsg(F.col("lon"), F.col("lat")))
-    return _projected(placed, F.col("epsg")).select("point_id", "epsg", "x", "y")
+    return _projected(placed, F.col("epsg"), UTM_SYSTEMS).select("point_id", "epsg", "x", "y")
 
 
 @register
@@ -412,7 +413,7 @@ def unproject_3413(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def unproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lon, lat = projections.unproject(F.col("x"), F.col("y"), F.col("epsg"))
+    lon, lat = projections.unproject(F.col("x"), F.col("y"), F.col("epsg"), UTM_SYSTEMS)
     rows = view(spark, sf_dir, "polylines").select(
         "profile_id",
         "seq",
@@ -423,6 +424,14 @@ def unproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("profile_id", "seq", "epsg", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
+@register
+def project_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polar and zonal systems side by side, told apart row by row."""
+    rows = view(spark, sf_dir, "utm_points")
+    placed = rows.withColumn("epsg", projections.working_epsg(F.col("lon"), F.col("lat")))
+    return _projected(placed, F.col("epsg")).select("point_id", "epsg", "x", "y")
+
+
 @register
 def working_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     epsg = projections.working_epsg(F.col("lon"), F.col("lat"))
@@ -625,7 +634,7 @@ QUERIES["running_mean_odd"] = _running(5, 545, 7, 2)
 @register
 def decimal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
-    return rows.select("event_id", F.round(times.decimal_year(F.col("ts")), 8).alias("decimal_year"))
+    return rows.select("event_id", times.decimal_year(F.col("ts")).alias("decimal_year"))
 
 
 @register
@@ -722,8 +731,7 @@ def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("acquisition_date_img1"),
         stop.alias("acquisition_date_img2"),
     )
-    out = products.patches(dated, products.TOP_SPEED / 2, ["profile_id", "k"])
-    return rounded(out, 8, "start_year", "stop_year")
+    return products.patches(dated, products.TOP_SPEED / 2, ["profile_id", "k"])
 
 
 # ---- cut-outs ----------------------------------------------------------------------------------------------------

@@ -6,10 +6,13 @@ gives both sides of a comparison.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from firnflow.operators.bounded import settled
 from firnflow.session import utc
 
 
@@ -244,3 +247,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the domain views."""
     v = VIEWS[name]
     return table(spark, sf_dir, v.table).selectExpr(*v.columns)
+
+
+def settled_view(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
+    """A view of which some columns act as stored ones.
+
+    A real catalog stores its boxes; the view derives them, and a spatial test would derive them anew at every mention.
+    """
+    df = view(spark, sf_dir, name)
+    return settled(df, {c: F.col(c) for c in columns}).select(*df.columns)
