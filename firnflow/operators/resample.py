@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from firnflow.functions.times import PERIOD_LABELS, periods_between, shift_period
 
@@ -21,13 +22,21 @@ def parse_aggregation(text: str) -> tuple[str, str]:
     return op, freq
 
 
+def _is_fixed_width(rows: DataFrame, column: str) -> bool:
+    kind = rows.schema[column].dataType
+    return isinstance(kind, (T.NumericType, T.DatetimeType, T.TimestampNTZType, T.BooleanType))
+
+
 def first_per_timestamp(
     rows: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """The first row, by a unique order, of those that share a key and a time.
 
-    A minimum over (order, values) rather than a ranking: each task keeps one row per group before anything is shuffled.
+    A minimum rather than a ranking: each task keeps one row per group before anything is shuffled.  With one order column
+    of fixed width, and values of fixed width, the groups live in a hash map; other types make Spark sort them.
     """
+    if len(order) == 1 and all(_is_fixed_width(rows, c) for c in (*order, *values)):
+        return rows.groupBy(*keys, time).agg(*(F.min_by(v, order[0]).alias(v) for v in values))
     first = F.min(F.struct(*order, *values))
     return rows.groupBy(*keys, time).agg(first.alias("_f")).select(*keys, time, *(F.col("_f." + v).alias(v) for v in values))
 
@@ -38,7 +47,34 @@ def _magnitude_bucket(v: Column) -> Column:
     return F.when(v.isNull(), F.lit(-100000)).otherwise((F.signum(v) * size).cast("int"))
 
 
-def exact_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+# A key with more valid values than this is not gathered in one aggregation buffer.
+HOT_VALUES = 500_000
+
+
+def exact_median(rows: DataFrame, keys: Sequence[str], value: str, hot_values: int = HOT_VALUES) -> DataFrame:
+    """Median per key; keys with very many values go another way that never brings them together.
+
+    There is at most one such key per ``hot_values`` rows, so their list is small enough to broadcast; where there is none,
+    adaptive execution drops that branch before it starts.
+    """
+    keys = list(keys)
+    sizes = rows.groupBy(*keys).agg(F.count(value).alias("_n"))
+    hot = F.broadcast(sizes.where(F.col("_n") > hot_values).select(*keys))
+    return _sorted_median(rows.join(hot, keys, "left_anti"), keys, value).unionByName(
+        spread_median(rows.join(hot, keys, "left_semi"), keys, value)
+    )
+
+
+def _sorted_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    # One sort per partition; cheaper than merging one map of values per key and task, and able to spill.
+    per_key = W.partitionBy(*keys)
+    rank = F.row_number().over(per_key.orderBy(F.col(value).asc_nulls_last()))
+    ranked = rows.withColumns({"_rank": rank, "_n": F.count(value).over(per_key)})
+    middle = F.col("_rank").isin(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1)
+    return ranked.where(middle | ((F.col("_n") == 0) & (F.col("_rank") == 1))).groupBy(*keys).agg(F.avg(value).alias("value"))
+
+
+def spread_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Median per key without bringing a key's rows together.
 
     Equal values are counted, counts are added per magnitude, and only the one or two magnitudes that hold the middle ranks

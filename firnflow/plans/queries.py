@@ -43,6 +43,7 @@ ELEVATION_GRID = (-1_100_000.0, 1_100_000.0, 200_000.0, -200_000.0, 12, 12)
 IRREGULAR_AXIS = (-79.0, -70.5, -66.0, -65.25, -50.0, -33.0, -20.0)
 PROFILE_INTERVAL = 25_000.0
 OBSERVATION_ORDER = ["l_orderkey", "l_linenumber", "l_partkey"]
+RANK = "rank"
 
 
 def register(fn: Query) -> Query:
@@ -557,11 +558,20 @@ def variable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def first_per_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _single(spark, sf_dir)
+    """The general form of the order: several columns."""
+    rows = observations(spark, sf_dir)
+    return resample.first_per_timestamp(rows, ["point_id"], "mid_date", OBSERVATION_ORDER, ["v"])
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations with their order in one number, as a catalog's row number would give it."""
+    low = (F.col("l_linenumber") * F.lit(10**12) + F.col("l_partkey")).cast("decimal(15,0)")
+    rank = F.col("l_orderkey").cast("decimal(22,0)") * F.lit(10**14).cast("decimal(15,0)") + low
+    return observations(spark, sf_dir).withColumn(RANK, rank.cast("decimal(38,0)"))
 
 
 def _single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.first_per_timestamp(observations(spark, sf_dir), ["point_id"], "mid_date", OBSERVATION_ORDER, ["v"])
+    return resample.first_per_timestamp(_ranked(spark, sf_dir), ["point_id"], "mid_date", [RANK], ["v"])
 
 
 def _resampled(op: str, freq: str, fill: bool) -> Query:
@@ -581,7 +591,7 @@ QUERIES["resample_max_d"] = _resampled("max", "d", False)
 
 
 def _report(spark: SparkSession, sf_dir: str) -> products.Report:
-    return products.report(observations(spark, sf_dir), ["point_id"], OBSERVATION_ORDER)
+    return products.report(_ranked(spark, sf_dir), ["point_id"], [RANK])
 
 
 @register

@@ -57,9 +57,10 @@ def test_median_of_a_hot_key(spark):
         F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(-1)).alias("k"),
         ((F.col("id") * 7919) % 60_000 - 20_000).cast("double").alias("v"),
     )
-    got = resample.exact_median(rows, ["k"], "v")
+    rows = rows.unionByName(spark.createDataFrame([(1000, None), (1001, 3.5)], "k long, v double"))
     want = rows.groupBy("k").agg(F.median("v").alias("m"))
-    assert got.join(want, "k").where("value = m").count() == want.count()
+    for got in (resample.exact_median(rows, ["k"], "v", hot_values=1000), resample.spread_median(rows, ["k"], "v")):
+        assert got.count() == got.join(want, "k").where("value <=> m").count() == want.count() == 53
 
 
 def test_aggregation_text():
