@@ -99,6 +99,22 @@ def _levels(base: float, max_extent: float) -> int:
     return n
 
 
+def _spans(box: Sequence[Column], base: float, max_extent: float) -> list:
+    """First and last cell of a small-side box per axis, for each level."""
+    x0, y0, x1, y1 = box
+    reach = 1 if max_extent > 0 else 0
+    sides = [F.lit(base * 2.0**k) for k in range(_levels(base, max_extent) + 1)]
+    return [((_cell(x0, s) - reach, _cell(x1, s)), (_cell(y0, s) - reach, _cell(y1, s))) for s in sides]
+
+
+def listed_rows(box: Sequence[Column], base: float, max_extent: float = 0.0) -> Column:
+    """In how many cells ``grid_join`` lists a row of the small side, reckoned from its box."""
+    total = F.lit(1 if max_extent > 0 else 0).cast("long")
+    for (x_first, x_last), (y_first, y_last) in _spans(box, base, max_extent):
+        total = total + (x_last - x_first + 1).cast("long") * (y_last - y_first + 1)
+    return total
+
+
 def grid_join(
     big: DataFrame,
     small: DataFrame,
@@ -134,10 +150,7 @@ def grid_join(
     cx, cy = (F.when(whole, 0).otherwise(_cell(v, size)) for v in (bx0, by0))
     keyed = big.withColumn(_KEY, _key(level, cx, cy))
 
-    sx0, sy0, sx1, sy1 = small_box
-    reach = 1 if max_extent > 0 else 0
-    sides = [F.lit(base * 2.0**k) for k in range(top + 1)]
-    spans = [((_cell(sx0, s) - reach, _cell(sx1, s)), (_cell(sy0, s) - reach, _cell(sy1, s))) for s in sides]
+    spans = _spans(small_box, base, max_extent)
 
     def cells(k: int) -> Column:
         (x_first, x_last), (y_first, y_last) = spans[k]
@@ -157,10 +170,6 @@ def grid_join(
     listed = small.withColumn(_KEY, F.explode(F.concat(*covers)))
 
     if fits is None:
-        # The listed rows are counted from the boxes, without listing them.
-        per_row = F.lit(1).cast("long")
-        for (x_first, x_last), (y_first, y_last) in spans:
-            per_row = per_row + (x_last - x_first + 1).cast("long") * (y_last - y_first + 1)
-        fits = (small.agg(F.sum(per_row)).first()[0] or 0) <= rows
+        fits = (small.agg(F.sum(listed_rows(small_box, base, max_extent))).first()[0] or 0) <= rows
     joined = join_bounded(keyed, listed, [_KEY], rows=rows, salts=salts, salt_by=salt_by, measured=fits)
     return joined.where(boxes_overlap(big_box, small_box)).drop(_KEY)

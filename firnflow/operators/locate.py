@@ -7,6 +7,7 @@ and its grid ``x0, y0, dx, dy, nx, ny``: the first cell centre, the signed steps
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from firnflow.functions import rings
 from firnflow.functions.projections import offset_metres, project, unproject
 from firnflow.functions.urls import composite_url, epsg_code
-from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, is_bounded, join_bounded, settled
+from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, join_bounded, listed_rows, settled
 from firnflow.operators.search import BOX, data_assets
 
 GRID = ("x0", "y0", "dx", "dy", "nx", "ny")
@@ -53,14 +54,35 @@ def find_cubes_for(cubes: DataFrame, points: Sequence[tuple[float, float]]) -> D
     return cubes.where(rings.region_meets_box(roi, [F.col(n) for n in BOX]))
 
 
+class CubeFacts(NamedTuple):
+    """What planning needs to know of a cube catalog: may its listing be broadcast, and which systems does it hold?"""
+
+    fits: bool
+    systems: list[int]
+
+
+def cube_facts(cubes: DataFrame, cell_degrees: float = CELL_DEGREES, rows: int = BROADCAST_ROWS) -> CubeFacts:
+    """Both in one small job.  There are 122 codes of systems, so their list is short whatever the catalog."""
+    listed = F.sum(listed_rows([F.col(n) for n in BOX], cell_degrees))
+    row = cubes.agg(listed.alias("listed"), F.collect_set(F.col("epsg").cast("int")).alias("systems")).first()
+    return CubeFacts((row.listed or 0) <= rows, sorted(row.systems))
+
+
 def _containing(
-    points: DataFrame, cubes: DataFrame, lon: str, lat: str, strict: bool, cell_degrees: float, rows: int
+    points: DataFrame,
+    cubes: DataFrame,
+    lon: str,
+    lat: str,
+    strict: bool,
+    cell_degrees: float,
+    rows: int,
+    fits: bool | None,
 ) -> DataFrame:
     here = [F.col(lon), F.col(lat), F.col(lon), F.col(lat)]
     names = {n: "_c_" + n for n in (*BOX, "footprint") if n in cubes.columns}
     boxes = cubes.select("cube_id", *(F.col(a).alias(b) for a, b in names.items()))
     box = [F.col("_c_" + n) for n in BOX]
-    pairs = grid_join(points, boxes, here, box, cell_degrees, rows=rows, salt_by=["point_id"])
+    pairs = grid_join(points, boxes, here, box, cell_degrees, rows=rows, salt_by=["point_id"], fits=fits)
     if "footprint" in names:
         pairs = pairs.where(rings.ring_contains(F.col("_c_footprint"), F.col(lon), F.col(lat), strict))
     elif strict:
@@ -76,22 +98,29 @@ def first_cube(
     strict: bool = False,
     cell_degrees: float = CELL_DEGREES,
     rows: int = BROADCAST_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Adds the lowest ``cube_id`` that contains each point; points in no cube are dropped.
 
     Only a number is aggregated, so the candidates shrink in hash maps before the one shuffle.
     """
-    pairs = _containing(points, cubes, lon, lat, strict, cell_degrees, rows)
+    pairs = _containing(points, cubes, lon, lat, strict, cell_degrees, rows, fits)
     return pairs.groupBy(*points.columns).agg(F.min("cube_id").alias("cube_id"))
 
 
 def locate(
-    points: DataFrame, cubes: DataFrame, cell_degrees: float = CELL_DEGREES, rows: int = BROADCAST_ROWS
+    points: DataFrame,
+    cubes: DataFrame,
+    cell_degrees: float = CELL_DEGREES,
+    rows: int = BROADCAST_ROWS,
+    facts: CubeFacts | None = None,
 ) -> DataFrame:
     """Points with the attributes of their cube."""
-    found = first_cube(points, cubes, cell_degrees=cell_degrees, rows=rows)
+    fits = (facts or cube_facts(cubes, cell_degrees, rows)).fits
+    found = first_cube(points, cubes, cell_degrees=cell_degrees, rows=rows, fits=fits)
     keep = [c for c in cubes.columns if c not in BOX and c not in points.columns]
-    return join_bounded(found, cubes.select(*keep), ["cube_id"], rows=rows, salt_by=["point_id"], measured=cubes)
+    # Every cube is listed at least once, so a listing that fits means that the cubes fit.
+    return join_bounded(found, cubes.select(*keep), ["cube_id"], rows=rows, salt_by=["point_id"], measured=fits)
 
 
 def missing_points(points: DataFrame, found: DataFrame) -> DataFrame:
@@ -128,11 +157,6 @@ def snap(located: DataFrame, px: str = "px", py: str = "py") -> DataFrame:
     return centred.withColumn("offset_m", offset_metres(c("x") - c(px), c("y") - c(py)))
 
 
-def systems_of(cubes: DataFrame, column: str = "epsg") -> list[int]:
-    """The coordinate systems in a cube catalog: there are 122 such codes, so the list is short whatever the catalog."""
-    return sorted(int(r[0]) for r in cubes.select(column).where(F.col(column).isNotNull()).distinct().collect())
-
-
 def snap_points(located: DataFrame, systems: Sequence[int] | None = None) -> DataFrame:
     """Located points projected into their cube's system, on the nearest cell, with that cell's position in degrees."""
     px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"), systems)
@@ -202,8 +226,9 @@ def locate_two_step(
     the system of the cube, where status is ``direct``, ``offset``, ``not_in_box_after_offset``, ``no_cube_after_offset``
     or ``no_cube``.
     """
-    systems, bounded = systems_of(cubes), is_bounded(cubes, rows)
-    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"), systems_of(points))
+    fits, systems = cube_facts(cubes, cell_degrees, rows)
+    given = sorted(r[0] for r in points.select(F.col("epsg").cast("int")).distinct().collect() if r[0] is not None)
+    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"), given)
     placed = settled(
         points.select("point_id", F.col("x").alias("in_x"), F.col("y").alias("in_y"), F.col("epsg").alias("in_epsg"), "x", "y", "epsg"),
         {"lon": lon, "lat": lat},
@@ -211,13 +236,13 @@ def locate_two_step(
     attributes = cubes.select("cube_id", "epsg", *XY_BOX)
 
     def in_cube(found: DataFrame) -> DataFrame:
-        joined = join_bounded(found, attributes, ["cube_id"], rows=rows, salt_by=["point_id"], measured=bounded)
+        joined = join_bounded(found, attributes, ["cube_id"], rows=rows, salt_by=["point_id"], measured=fits)
         px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"), systems)
         same = F.col("in_epsg") == F.col("epsg")
         x, y = F.when(same, F.col("in_x")).otherwise(px), F.when(same, F.col("in_y")).otherwise(py)
         return settled(settled(joined, {"x": x, "y": y}), {"inside": _in_xy_box(F.col("x"), F.col("y"))})
 
-    first = in_cube(first_cube(placed, cubes, strict=True, cell_degrees=cell_degrees, rows=rows))
+    first = in_cube(first_cube(placed, cubes, strict=True, cell_degrees=cell_degrees, rows=rows, fits=fits))
     inside = F.col("inside")
     direct = first.where(inside).select("point_id", "cube_id", "x", "y", F.lit("direct").alias("status"))
 
@@ -225,7 +250,7 @@ def locate_two_step(
     mlon, mlat = unproject(F.col("mx"), F.col("my"), F.col("epsg"), systems)
     moved = settled(settled(first.where(~inside), {"mx": mx, "my": my}), {"moved_lon": mlon, "moved_lat": mlat})
     retry = moved.select("point_id", "in_x", "in_y", "in_epsg", "lon", "lat", "moved_lon", "moved_lat")
-    second = in_cube(first_cube(retry, cubes, "moved_lon", "moved_lat", True, cell_degrees, rows))
+    second = in_cube(first_cube(retry, cubes, "moved_lon", "moved_lat", True, cell_degrees, rows, fits))
     status = F.when(inside, F.lit("offset")).otherwise(F.lit("not_in_box_after_offset"))
     accepted = second.select(
         "point_id", F.when(inside, F.col("cube_id")).alias("cube_id"), "x", "y", status.alias("status")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from firnflow.functions.sensors import composite_variables, present, velocity_variables
 from firnflow.functions.times import from_micros, micros
 from firnflow.operators.bounded import BROADCAST_ROWS, join_bounded
-from firnflow.operators.locate import CELL_DEGREES, locate, snap_points, systems_of
+from firnflow.operators.locate import CELL_DEGREES, cube_facts, locate, snap_points
 
 CELL = ("cube_id", "ix", "iy")
 POINT_COLUMNS = (
@@ -53,7 +53,8 @@ def time_series(
     rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Velocity series of every point: its first cube, nearest cell, and all observations there."""
-    on_cells = snap_points(locate(points, cubes, cell_degrees, rows), systems_of(cubes))
+    facts = cube_facts(cubes, cell_degrees, rows)
+    on_cells = snap_points(locate(points, cubes, cell_degrees, rows, facts), facts.systems)
     return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
 
 
@@ -70,8 +71,9 @@ def annual_series(
 
     ``static`` holds the climatology and the masks, one row per cell, and is added where it exists.
     """
-    located = locate(points, cubes, cell_degrees, rows).where("composite_zarr_url <> ''")
-    on_cells = snap_points(located, systems_of(cubes))
+    facts = cube_facts(cubes, cell_degrees, rows)
+    located = locate(points, cubes, cell_degrees, rows, facts).where("composite_zarr_url <> ''")
+    on_cells = snap_points(located, facts.systems)
     names = composite_variables(variables)
     out = series_at(on_cells, composites, ["year"], names, rows, measured=points)
     if static is None:

@@ -463,7 +463,7 @@ def find_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def snapped_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = view(spark, sf_dir, "cubes")
-    on_cells = locate.snap_points(locate.locate(view(spark, sf_dir, "points"), grid), locate.systems_of(grid))
+    on_cells = locate.snap_points(locate.locate(view(spark, sf_dir, "points"), grid), locate.cube_facts(grid).systems)
     out = on_cells.select("point_id", "cube_id", "ix", "iy", "x", "y", "offset_m", "returned_lon", "returned_lat")
     return rounded(rounded(out, 2, "x", "y", "offset_m"), 6, "returned_lon", "returned_lat")
 

@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from firnflow.operators.bounded import settled
 from firnflow.session import utc
@@ -238,9 +239,15 @@ VIEWS = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables."""
-    return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables; its schema is looked up once, as that takes a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = utc(spark).read.parquet(path).schema
+    return utc(spark).read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

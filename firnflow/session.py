@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Noting the Python call site of every column expression takes longer than planning many of these queries.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
