@@ -324,3 +324,23 @@ def ring_is_simple(ring: Column) -> Column:
     )
     point = F.exists(edges, lambda e: (e["px"] == e["qx"]) & (e["py"] == e["qy"]))
     return (n >= 3) & ~point & ~clash
+
+
+GEOJSON_TYPE = "type string, coordinates array<array<array<double>>>"
+
+
+def ring_geojson(ring: Column) -> Column:
+    """GeoJSON text of a polygon with this ring, closed as the format wants it."""
+    closed = F.concat(ring, F.slice(ring, 1, 1))
+    outer = F.transform(closed, lambda v: F.array(v["x"], v["y"]))
+    return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(outer).alias("coordinates")))
+
+
+def ring_from_geojson(text: Column) -> Column:
+    """Open outer ring of a polygon's GeoJSON text; NULL for other geometries."""
+    shape = F.from_json(text, GEOJSON_TYPE)
+    outer = F.transform(
+        F.try_element_at(shape["coordinates"], F.lit(1)),
+        lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y")),
+    )
+    return F.when(shape["type"] == "Polygon", open_ring(outer))

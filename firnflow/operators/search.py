@@ -62,7 +62,7 @@ def fixed_path_href(assets_json: Column, key: str = "data") -> Column:
 
 def _hrefs(granules: DataFrame, asset_type: str) -> DataFrame:
     if "assets" not in granules.columns:
-        return granules.where(F.col("href").isNotNull())
+        return granules.where(F.endswith("href", F.lit(asset_type)))
     if granules.schema["assets"].dataType.typeName() == "string":
         granules = parse_assets(granules)
     return data_assets(granules, asset_type)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from firnflow.functions.sensors import composite_variables, present, velocity_variables
 from firnflow.functions.times import from_micros, micros
 from firnflow.operators.bounded import BROADCAST_ROWS, join_bounded
-from firnflow.operators.locate import CELL_DEGREES, cube_facts, locate, snap_points
+from firnflow.operators.locate import CELL_DEGREES, GRID, cube_facts, locate, locate_two_step, snap, snap_points
 
 CELL = ("cube_id", "ix", "iy")
 POINT_COLUMNS = (
@@ -58,6 +58,22 @@ def time_series(
     return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
 
 
+def time_series_in_system(
+    points: DataFrame,
+    cubes: DataFrame,
+    observations: DataFrame,
+    variables: Iterable[str] = ("v",),
+    cell_degrees: float = CELL_DEGREES,
+    rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Velocity series of points given as ``point_id, x, y, epsg`` in any system, by the two-step lookup."""
+    found = locate_two_step(points, cubes, cell_degrees, rows).where(F.col("status").isin("direct", "offset"))
+    placed = found.select("point_id", "cube_id", F.col("x").alias("px"), F.col("y").alias("py"))
+    grid = cubes.select("cube_id", "epsg", *GRID)
+    on_cells = snap(join_bounded(placed, grid, ["cube_id"], rows=rows, salt_by=["point_id"]))
+    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
+
+
 def annual_series(
     points: DataFrame,
     cubes: DataFrame,

@@ -419,14 +419,7 @@ add(
 )
 _MLON, _MLAT = polar_lonlat("mx", "my", 3413)
 _STRICT = "BY_LON > minx AND BY_LON < maxx AND BY_LAT > miny AND BY_LAT < maxy"
-add(
-    "legacy_locate",
-    "points cubes",
-    """SELECT point_id, CASE WHEN s1 THEN c1 WHEN s2 THEN c2 END AS cube_id,
-       CASE WHEN s1 OR c2 IS NOT NULL THEN round(px, 2) END AS x, CASE WHEN s1 OR c2 IS NOT NULL THEN round(py, 2) END AS y,
-       CASE WHEN c1 IS NULL THEN 'no_cube' WHEN s1 THEN 'direct' WHEN c2 IS NULL THEN 'no_cube_after_offset'
-            WHEN s2 THEN 'offset' ELSE 'not_in_box_after_offset' END AS status FROM e""",
-    f"""a AS (SELECT point_id, lon, lat, {_PX} AS px, {_PY} AS py, (SELECT min(cube_id) FROM cubes WHERE
+_TWO_STEP = f"""a AS (SELECT point_id, lon, lat, {_PX} AS px, {_PY} AS py, (SELECT min(cube_id) FROM cubes WHERE
           {_STRICT.replace('BY_', '')}) AS c1 FROM points),
         b AS (SELECT a.*, xmin, xmax, ymin, ymax, px > xmin AND px < xmax AND py > ymin AND py < ymax AS s1
           FROM a LEFT JOIN cubes ON c1 = cube_id),
@@ -434,7 +427,26 @@ add(
           CASE WHEN py < ymin OR py > ymax THEN px WHEN px < xmin THEN px - 10000 WHEN px > xmax THEN px + 10000 ELSE px END AS mx FROM b),
         d AS (SELECT c.point_id, c.c1, c.s1, c.px, c.py, CASE WHEN NOT s1 THEN {_MLON} END AS mlon, CASE WHEN NOT s1 THEN {_MLAT} END AS mlat FROM c),
         d2 AS (SELECT d.*, (SELECT min(cube_id) FROM cubes WHERE {_STRICT.replace('BY_LON', 'mlon').replace('BY_LAT', 'mlat')}) AS c2 FROM d),
-        e AS (SELECT d2.*, px > xmin AND px < xmax AND py > ymin AND py < ymax AS s2 FROM d2 LEFT JOIN cubes ON c2 = cube_id)""",
+        e AS (SELECT d2.*, px > xmin AND px < xmax AND py > ymin AND py < ymax AS s2 FROM d2 LEFT JOIN cubes ON c2 = cube_id)"""
+add(
+    "legacy_locate",
+    "points cubes",
+    """SELECT point_id, CASE WHEN s1 THEN c1 WHEN s2 THEN c2 END AS cube_id,
+       CASE WHEN s1 OR c2 IS NOT NULL THEN round(px, 2) END AS x, CASE WHEN s1 OR c2 IS NOT NULL THEN round(py, 2) END AS y,
+       CASE WHEN c1 IS NULL THEN 'no_cube' WHEN s1 THEN 'direct' WHEN c2 IS NULL THEN 'no_cube_after_offset'
+            WHEN s2 THEN 'offset' ELSE 'not_in_box_after_offset' END AS status FROM e""",
+    _TWO_STEP,
+)
+_CELL_OF = """near AS (SELECT point_id, cube_id,
+    CAST(least(greatest(floor((px - x0) / dx + 0.5), 0), 4) AS INT) AS ix,
+    CAST(least(greatest(ceil((py - y0) / dy - 0.5), 0), 7) AS INT) AS iy
+    FROM (SELECT point_id, px, py, CASE WHEN s1 THEN c1 WHEN s2 THEN c2 END AS cube_id FROM e) JOIN cubes USING (cube_id))"""
+add(
+    "legacy_series",
+    "points cubes observations",
+    """SELECT n.point_id, n.cube_id, n.ix, n.iy, mid_date, v FROM near n
+       JOIN observations o ON o.cube_id = n.cube_id AND o.ix = n.ix AND o.iy = n.iy""",
+    _TWO_STEP + ", " + _CELL_OF,
 )
 
 # ---- series --------------------------------------------------------------------------------------------------------
@@ -776,3 +788,4 @@ add(
     """SELECT roi_id, roi_id % 3 <> 0 AS is_simple, round(roi_minx, 6) AS minx, round(roi_maxy, 6) AS maxy, FALSE AS edge_strict,
        FALSE AS far_point FROM rois""",
 )
+add("ring_texts", "granules", "SELECT granule_id, 4 AS vertices, minx, miny, maxx, maxy FROM granules")

@@ -489,6 +489,14 @@ def legacy_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(locate.locate_two_step(rows, view(spark, sf_dir, "cubes")), 2, "x", "y")
 
 
+@register
+def legacy_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of points given in their own system, by the two-step lookup."""
+    rows = view(spark, sf_dir, "points").select("point_id", F.col("lon").alias("x"), F.col("lat").alias("y"), F.lit(4326).alias("epsg"))
+    out = series.time_series_in_system(rows, view(spark, sf_dir, "cubes"), observations(spark, sf_dir))
+    return out.select("point_id", "cube_id", "ix", "iy", "mid_date", "v")
+
+
 # ---- series ------------------------------------------------------------------------------------------------------
 
 
@@ -839,3 +847,14 @@ def ring_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         rings.ring_contains(c("ring"), c("roi_minx"), c("roi_cy")).alias("edge_strict"),
         rings.ring_contains(c("ring"), c("roi_minx"), c("roi_cy") + 100, strict=False).alias("far_point"),
     )
+
+
+@register
+def ring_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprints as GeoJSON text and back."""
+    ring = rings.ring_from_geojson(rings.ring_geojson(rings.box_ring(*search.box_columns())))
+    rows = granules(spark, sf_dir).select("granule_id", ring.alias("ring"))
+    minx, miny, maxx, maxy = rings.ring_bounds(F.col("ring"))
+    return rows.select(
+        "granule_id", F.size("ring").alias("vertices"), minx.alias("minx"), miny.alias("miny"), maxx.alias("maxx"), maxy.alias("maxy")
+    )

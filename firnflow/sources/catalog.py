@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firnflow.functions.urls import file_name
 from firnflow.operators.search import ASSETS_TYPE, with_tile
 
 # The missions of the latitude/longitude layout, and the hexagon resolutions that exist.
@@ -113,6 +114,21 @@ def write_catalog(granules: DataFrame, path: str, grid: str = "latlon", level: i
     ranged.sortWithinPartitions(*keys).write.partitionBy("grid", "level", "tile").parquet(path)
 
 
+def union_catalogs(*parts: DataFrame) -> DataFrame:
+    """Several catalogs as one, matched by column name; columns a part lacks are NULL there."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def read_landed_files(spark: SparkSession, path: str, suffix: str = ".nc", content: bool = False) -> DataFrame:
+    """Downloaded files next to a manifest: ``path, filename, length`` and, if asked for, their bytes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)
+    named = files.withColumn("filename", file_name(F.col("path")))
+    return named.select("path", "filename", "length", *(["content"] if content else []))
+
+
 # ---- items -------------------------------------------------------------------------------------------------------
 
 

@@ -211,9 +211,27 @@ def test_subset_of_the_missing_test(three):
 def test_text_table_and_formats(three):
     text = series_sink.write_series(three, "stdout")
     assert text.splitlines()[0].startswith("| mid_date") and len(text.splitlines()) == 5
-    for bad in (("netcdf", "x"), ("csv", None)):
-        with pytest.raises(ValueError):
-            series_sink.write_series(three, *bad)
+    with pytest.raises(ValueError):
+        series_sink.write_series(three, "netcdf", "x")
+
+
+def test_default_folder(spark, three, tmp_path, monkeypatch):
+    monkeypatch.setattr(series_sink, "write_csv", lambda series, path, variables: None)
+    first, second = (series_sink.write_series(three, "csv") for _ in range(2))
+    assert first.startswith("series-") and first != second
+
+
+def test_landed_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.nc").write_bytes(b"123")
+    (tmp_path / "in" / "a.png").write_bytes(b"1")
+    rows = catalog.read_landed_files(spark, str(tmp_path), content=True).collect()
+    assert [(r.filename, r.length, bytes(r.content)) for r in rows] == [("a.nc", 3, b"123")]
+
+
+def test_union_of_catalogs(spark):
+    a, b = spark.createDataFrame([(1, "x")], "id int, a string"), spark.createDataFrame([(2, 5)], "id int, b int")
+    assert sorted(tuple(r) for r in catalog.union_catalogs(a, b).collect()) == [(1, "x", None), (2, None, 5)]
 
 
 def test_url_files(spark, tmp_path):
