@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firnflow.functions.filters import all_of
 from firnflow.functions.times import PERIOD_LABELS, periods_between, shift_period
 
 OPERATIONS = {"max": F.max, "min": F.min, "mean": F.avg, "average": F.avg}
@@ -122,6 +123,7 @@ def resample(
     key and period first; what the window then holds per key is bounded by the calendar, not by the data.
     """
     labelled = rows.select(*keys, PERIOD_LABELS[freq](F.col(time)).alias("period"), F.col(value).alias("_value"))
+    labelled = labelled.where(all_of(F.col(k).isNotNull() for k in (*keys, "period")))
     if op == "median":
         reduced = exact_median(labelled, [*keys, "period"], "_value")
     else:

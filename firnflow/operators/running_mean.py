@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firnflow.functions.filters import all_of
 from firnflow.functions.times import MICROS_PER_DAY, from_micros, micros
 from firnflow.operators.bounded import join_salted
 
@@ -33,6 +34,8 @@ def running_mean(
     keys = list(keys)
     f, h = int(freq_days * MICROS_PER_DAY), int(freq_days / 2) * MICROS_PER_DAY
     timed = rows.select(*keys, micros(F.col(time)).alias("_t"), F.col(value).alias("_v"))
+    # Said here once, the condition is the same in every branch below and their common shuffle is done once.
+    timed = timed.where(all_of(F.col(k).isNotNull() for k in (*keys, "_t")))
     spans = (
         timed.groupBy(*keys)
         .agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))

@@ -46,11 +46,13 @@ def axis_value(axis: Column, index: Column) -> Column:
 def read_observations(
     spark: SparkSession, path: str, variables: Sequence[str], cube_ids: Sequence[int] | None = None
 ) -> DataFrame:
-    """Named variables of the long table, from the folders of the cubes asked for only."""
+    """Named variables of the long table, from the folders of the cubes asked for only; NaN comes in as NULL."""
     rows = spark.read.parquet(path)
     if cube_ids is not None:
         rows = rows.where(F.col("cube_id").isin(list(cube_ids)))
-    return rows.select(*CELL, "mid_date", *variables)
+    floating = {n for n, t in rows.dtypes if t in ("double", "float")}
+    wanted = [missing_to_null(F.col(n)).alias(n) if n in floating else F.col(n) for n in variables]
+    return rows.select(*CELL, "mid_date", *wanted)
 
 
 def write_observations(rows: DataFrame, path: str, files: int | None = None) -> None:

@@ -20,6 +20,18 @@ def test_entry(spark):
     assert entry(spark).count() == 1100
 
 
+# With the fewest rows these have nothing to join.
+LARGER = ("point_series", "annual_series", "legacy_series", "profile_patches", "subcube_bbox")
+
+
+@pytest.mark.parametrize("name", LARGER)
+def test_larger(spark, name):
+    folder = "/root/testdata/sf0.01"
+    df = queries()[name](spark, folder)
+    assert compare(df, connect(folder), oracle_sql()[name]) == []
+    assert df.count() > 0
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, sf_dir, con, name):
     assert compare(queries()[name](spark, sf_dir), con, oracle_sql()[name]) == []

@@ -189,3 +189,39 @@ def test_salted_join_keeps_every_row(spark):
         assert rows_of(bounded.join_salted(big, small, ["k"], ["i"], how)) == rows_of(big.join(small, "k", how))
     with pytest.raises(ValueError):
         bounded.join_salted(big, small, ["k"], ["i"], "full")
+
+
+def test_hot_key_is_spread(spark):
+    """A third of all rows share one key; in the shuffle no partition gets more than a fair part of them."""
+    big = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k"), "id")
+    small = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("s"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = bounded.join_bounded(big, small, ["k"], rows=0, salt_by=["id"])
+        parts = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(parts) == 60_000 and max(parts) < 15_000
+
+
+def test_series_by_either_join(spark):
+    from firnflow.operators import series
+
+    tables = [view(spark, "/root/testdata/sf0.01", n) for n in ("points", "cubes", "observations")]
+    names = ["point_id", "mid_date", "v", "v_error", "satellite_img1", "x", "y"]
+    small, large = (series.time_series(*tables, rows=rows).select(names) for rows in (200_000, 0))
+    assert small.count() > 0 and small.exceptAll(large).count() == 0 == large.exceptAll(small).count()
+
+
+def test_boxes_by_either_join(spark):
+    cubes = spark.createDataFrame([(1, 4326, 0.0, 0.0, 100.0, 100.0, 0.0, 0.0, 100.0, 100.0)], CUBES)
+    cells = spark.createDataFrame([(c, float(x), float(y)) for c in (1, 2) for x in range(0, 100, 5) for y in range(0, 100, 5)], "cube_id long, x double, y double")
+    boxes = spark.createDataFrame(
+        [(1, 10.0, 10.0, 30.0, 20.0, 4326), (2, 10.0, 10.0, 30.0, 20.0, 3413), (3, 500.0, 500.0, 600.0, 600.0, 4326)],
+        "box_id int, b_minx double, b_miny double, b_maxx double, b_maxy double, epsg int",
+    )
+    for rows in (200_000, 0):
+        cut = subcube.in_boxes(cells, boxes, cubes, base=7.0, rows=rows)
+        assert rows_of(cut.select("box_id", "cube_id", "x", "y")) == [(1, 1, float(x), float(y)) for x in range(10, 31, 5) for y in range(10, 21, 5)]
+    gt = subcube.geotransforms(cut, ["box_id"], 5.0, -5.0).first()
+    assert gt.geotransform == "7.5 5.0 0.0 22.5 0.0 -5.0" and gt.cells == 15
