@@ -6,9 +6,11 @@ way), ``point_tile`` truncates a position toward zero.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from firnflow.functions import rings
+
 TILE_DEGREES = 10
 
 
@@ -57,6 +59,26 @@ def cover_tiles(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Colum
     )
 
 
+def cover_ring(ring: Column) -> Column:
+    """The same array of tiles for a ring: those of its box that the ring itself meets."""
+    edges = rings.ring_edges(ring)
+
+    def meets(tile: Column) -> Column:
+        lon, lat = tile["lon_c"], tile["lat_c"]
+        return rings.edges_meet_box(edges, (lon - 5, lat - 5, lon + 5, lat + 5))
+
+    return F.filter(cover_tiles(*rings.ring_bounds(ring)), meets)
+
+
+def region_tiles(spark: SparkSession, roi: rings.Region) -> list[str]:
+    """Names of the tiles that meet a literal region, to name the folders to read; the globe has 703 of them."""
+    box = [F.lit(v) for v in roi.bounds]
+    tiles = spark.range(1).select(F.explode(cover_tiles(*box)).alias("t")).select("t.*")
+    lon, lat = F.col("lon_c"), F.col("lat_c")
+    met = tiles.where(rings.region_meets_box(roi, [lon - 5, lat - 5, lon + 5, lat + 5]))
+    return sorted(r.tile for r in met.select("tile").collect())
+
+
 def wrap_longitude(lon: Column) -> Column:
     """Longitude in -180..180 (180 itself becomes -180)."""
     return F.pmod(lon + 180, F.lit(360.0)) - 180

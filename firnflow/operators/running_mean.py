@@ -29,7 +29,8 @@ def running_mean(
     limits fall on j·f - h and j·f + h, so each row belongs to one of two pieces of period j, "seam" [j·f - h, j·f + h) or
     "core" [j·f + h, (j+1)·f - h), and bin i is seam i, core i and seam i+1.  Rows are summed per piece, map side first,
     and only those sums are copied to the bins: no range join, no copies of observations.  First dates meet the observations in a
-    join salted by time, so a series that holds a third of all rows is spread over many tasks.
+    join salted by time, so a series that holds a third of all rows is spread over many tasks.  ``rows`` is read twice, first for
+    the spans (keys and times only), so it should be a stored table rather than the end of a long plan.
     """
     keys = list(keys)
     f, h = int(freq_days * MICROS_PER_DAY), int(freq_days / 2) * MICROS_PER_DAY

@@ -280,6 +280,14 @@ add(
        FROM rois, (SELECT CAST(x * 10 AS INT) AS lon_c FROM range(-19, 20) t(x)), (SELECT CAST(x * 10 AS INT) AS lat_c FROM range(-10, 11) t(x))
        WHERE lon_c - 5 <= roi_maxx AND lon_c + 5 >= roi_minx AND lat_c - 5 <= roi_maxy AND lat_c + 5 >= roi_miny""",
 )
+add(
+    "tile_cover_polygon",
+    "rois",
+    """SELECT roi_id, concat(CASE WHEN lat_c >= 0 THEN 'N' ELSE 'S' END, lpad(CAST(abs(lat_c) AS VARCHAR), 2, '0'),
+       CASE WHEN lon_c >= 0 THEN 'E' ELSE 'W' END, lpad(CAST(abs(lon_c) AS VARCHAR), 3, '0')) AS tile
+       FROM rois, (SELECT CAST(x * 10 AS INT) AS lon_c FROM range(-19, 20) t(x)), (SELECT CAST(x * 10 AS INT) AS lat_c FROM range(-10, 11) t(x))
+       WHERE greatest(0, lon_c - 5 - roi_cx, roi_cx - lon_c - 5) + greatest(0, lat_c - 5 - roi_cy, roi_cy - lat_c - 5) <= roi_half""",
+)
 add(
     "wrapped_longitudes",
     "points",

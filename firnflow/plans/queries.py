@@ -113,12 +113,16 @@ def search_many_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.where(flt.granule_predicate(percent_valid_pixels=20, **PERIOD)).select("roi_id", "granule_id", "href")
 
 
-@register
-def search_many_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     corners = ((c("roi_minx"), c("roi_cy")), (c("roi_cx"), c("roi_miny")), (c("roi_maxx"), c("roi_cy")), (c("roi_cx"), c("roi_maxy")))
     ring = F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in corners))
-    rois = view(spark, sf_dir, "rois").withColumn("roi_ring", ring)
+    return view(spark, sf_dir, "rois").withColumn("roi_ring", ring)
+
+
+@register
+def search_many_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rois = _diamonds(spark, sf_dir)
     pairs = search.search_many(granules(spark, sf_dir), rois.select("roi_id", *("roi_" + n for n in search.BOX), "roi_ring"))
     return pairs.select("roi_id", "granule_id")
 
@@ -360,6 +364,12 @@ def tile_cover_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def tile_cover_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _diamonds(spark, sf_dir).select("roi_id", F.explode(tiles.cover_ring(F.col("roi_ring"))).alias("t"))
+    return rows.select("roi_id", "t.tile")
+
+
 @register
 def catalog_hive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog written in folders by tile and read back from two of them."""

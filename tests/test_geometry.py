@@ -156,6 +156,15 @@ def test_tile_cover(spark, box, names):
         assert lon - 5 <= box[2] and lon + 5 >= box[0] and lat - 5 <= box[3] and lat + 5 >= box[1]
 
 
+def test_region_tiles(spark):
+    assert tiles.region_tiles(spark, rings.polygon_region([-50, 65, -40, 65, -40, 75, -50, 75])) == [
+        f"N{lat}W{lon:03d}" for lat in (60, 70, 80) for lon in (40, 50)
+    ]
+    # A thin triangle meets fewer tiles than its box does.
+    thin = rings.polygon_region([-48, 66, -12, 102, -47, 66])
+    assert len(tiles.region_tiles(spark, thin)) < len(tiles.region_tiles(spark, rings.box_region(*thin.bounds)))
+
+
 # ---- projections -----------------------------------------------------------------------------------------------------
 def run(spark, pair, rows):
     df = spark.createDataFrame(rows, "a double, b double, epsg int")
