@@ -140,8 +140,8 @@ def grid_join(
     bx0, by0, bx1, by1 = big_box
     if max_extent > 0:
         extent = F.greatest(bx1 - bx0, by1 - by0)
-        # The small addend keeps rounding of the logarithm from choosing a cell that is a hair too small.
-        level = F.when(extent <= base, 0).otherwise(F.ceil(F.log2(extent / base) + 1e-9).cast("int"))
+        # The small margins keep rounding from choosing a cell that is a hair too small.
+        level = F.when(extent <= base * (1 - 1e-9), 0).otherwise(F.greatest(F.ceil(F.log2(extent / base) + 1e-8), F.lit(1)).cast("int"))
         level = F.least(level, F.lit(top + 1))
     else:
         level = F.lit(0)  # the folded constants below then leave only the two divisions

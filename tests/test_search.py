@@ -58,6 +58,25 @@ def test_many_regions_like_a_nested_loop(spark, sf_dir, granules, rows, max_degr
         assert "BroadcastHashJoin" not in plan and "_salt" in plan
 
 
+@pytest.mark.parametrize(("base", "most"), [(0.3, 1.2), (0.1, 0.0), (7.0, 0.7)])
+def test_grid_join_on_touching_decimals(spark, base, most):
+    """Boxes on a grid of tenths, where sides equal cells and neighbours touch, although tenths are not exact."""
+    rng = random.Random(4)
+
+    def boxes(n, widest):
+        for i in range(n):
+            x, y, w, h = rng.randint(-40, 40), rng.randint(-40, 40), rng.randint(0, widest), rng.randint(0, widest)
+            yield i, x * 0.1, y * 0.1, (x + w) * 0.1, (y + h) * 0.1
+
+    big = spark.createDataFrame(list(boxes(400, 15 if most else 0)), "g int, ax double, ay double, bx double, by double")
+    small = spark.createDataFrame(list(boxes(60, 9)), "s int, px double, py double, qx double, qy double")
+    here, there = [F.col(c) for c in ("ax", "ay", "bx", "by")], [F.col(c) for c in ("px", "py", "qx", "qy")]
+    want = rows_of(big.crossJoin(small).where(rings.boxes_overlap(here, there)).select("g", "s"))
+    for rows in (200_000, 0):
+        got = bounded.grid_join(big, small, here, there, base, most, rows=rows, salt_by=["g"])
+        assert rows_of(got.select("g", "s")) == want != []
+
+
 def test_ring_footprints(spark, granules):
     ring = rings.box_ring(*(F.col(n) for n in search.BOX))
     shaped = granules.withColumn("footprint", ring)
