@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnflow.llm import embedding_dedup, exact_dedup, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
+from firnflow.llm import embedding_dedup, exact_dedup, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
 from firnflow.llm.common import table, whole
 
 
@@ -34,6 +34,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_text.extracted(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = language.fitted(docs.where(~language.held_out()))
@@ -56,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_embedding_dedup, op3_sharding, op4_minhash_dedup, op5_line_dedup, op7_language, op8_piece_bpe, op9_packing,
+    for f in (op1_pii, op2_embedding_dedup, op3_sharding, op4_minhash_dedup, op5_line_dedup, op6_html_text, op7_language, op8_piece_bpe, op9_packing,
               op10_exact_dedup)
 }
 
