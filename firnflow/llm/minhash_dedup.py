@@ -7,7 +7,7 @@ confirmed by counting both whole sets.
 
 Texts with the same words are one document from the start.  In a band's bucket every document first meets the smallest one, so
 a group of n near copies costs n comparisons.  Only documents that then are still in different components meet each other, in
-blocks, the most similar first, and as long as their components stay apart.
+blocks that carry whole texts: the most similar first, as long as their components stay apart, and only links leave the task.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ SAMPLES = BANDS * ROWS
 SKETCH = 512  # bits
 # Five standard deviations above what differs at 0.85: 18.75 samples of 125, so 35 bits, give or take 7.
 MOST_BITS = 71
-BLOCK = 1024
+BLOCK = 384  # documents of a bucket that one task compares with as many others
 MEMBERS = 256  # compared with one copy of their leader
 REMEMBERED = 500_000
 
@@ -170,42 +170,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(rows.select("a", "doc_id", "lead", "text").mapInArrow(_confirmed, "a long, b long"), "minhash-links")
 
 
-def _apart(first: int, last: int | None):
-    """Pairs of a bucket's rows in different components that the sketches allow; for two components, those ranked first to last."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups_of(batches, ["doc_id", "component", "n_shingles", "sketch", "_block", "_inner"]):
-            doc, comp, n = g["doc_id"], g["component"], g["n_shingles"]
-            bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(doc), -1)
-            good = (comp[:, None] != comp[None, :]) & (doc[:, None] < doc[None, :])
-            good &= (g["_block"][:, None] == g["_block"][None, :]) == bool(g["_inner"][0])
-            good &= 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
-            a, b = np.nonzero(good)
-            found = []
-            for lo in range(0, len(a), 100_000):
-                i, j = a[lo : lo + 100_000], b[lo : lo + 100_000]
-                differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
-                keep = differ <= MOST_BITS
-                found.append((i[keep], j[keep], differ[keep]))
-            if not found:
-                continue
-            i, j, differ = (np.concatenate(x) for x in zip(*found))
-            if not len(i):
-                continue
-            low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-            order = np.lexsort((doc[j], doc[i], differ, high, low))
-            i, j, low, high = i[order], j[order], low[order], high[order]
-            new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            rank = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
-            take = rank >= first if last is None else (rank >= first) & (rank < last)
-            columns = (doc[i], doc[j], comp[i], comp[j])
-            yield pa.RecordBatch.from_arrays([pa.array(c[take].astype("<i8")) for c in columns], ["a", "b", "ca", "cb"])
-
-    return run
-
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a group that have partners: documents of other components that the sketches allow, the most similar first.
 
-# Of the pairs between two components in one bucket: the most similar ones first, all others last.
-TRIES = ((0, 4), (4, 64), (64, None))
+    A pair belongs to the first band that both share, so that it is looked at once.
+    """
+    for g in groups_of(batches, ["doc_id", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]):
+        doc, comp, n = g["doc_id"], g["component"], g["n_shingles"]
+        bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(doc), -1)
+        bands = np.frombuffer(b"".join(g["bands"]), "<i8").reshape(len(doc), -1)
+        band = int(np.flatnonzero(bands[0] == g["bucket"][0])[0])
+        good = (comp[:, None] != comp[None, :]) & (doc[:, None] < doc[None, :])
+        good &= (g["_block"][:, None] == g["_block"][None, :]) == bool(g["_inner"][0])
+        good &= 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
+        a, b = np.nonzero(good)
+        found = []
+        for lo in range(0, len(a), 50_000):
+            i, j = a[lo : lo + 50_000], b[lo : lo + 50_000]
+            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+            keep = differ <= MOST_BITS
+            i, j, differ = i[keep], j[keep], differ[keep]
+            keep = ~(bands[i, :band] == bands[j, :band]).any(1)
+            found.append((i[keep], j[keep], differ[keep]))
+        if not found:
+            continue
+        i, j, differ = (np.concatenate(x) for x in zip(*found))
+        if not len(i):
+            continue
+        order = np.lexsort((differ, i))
+        i, j = i[order], j[order]
+        partners = dict(zip(doc[np.unique(i)].tolist(), np.split(doc[j], np.flatnonzero(np.diff(i)) + 1)))
+        at = np.union1d(i, j)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(g["_group"][at]), pa.array(doc[at].astype("<i8")), pa.array(comp[at].astype("<i8")),
+             pa.array([partners[d].astype("<i8").tobytes() if d in partners else b"" for d in doc[at].tolist()], pa.binary())],
+            ["_group", "doc_id", "component", "partners"],
+        )
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components of a group, confirmed on whole sets; pairs that links so far have joined are not looked at."""
+    for g in groups_of(batches, ["doc_id", "component", "partners", "text"]):
+        sets = {d: shingles(words_of(t)) for d, t in zip(g["doc_id"].tolist(), g["text"])}
+        comp = dict(zip(g["doc_id"].tolist(), g["component"].tolist()))
+        parent = {c: c for c in comp.values()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        a, b = [], []
+        for d, raw in zip(g["doc_id"].tolist(), g["partners"]):
+            own = sets[d]
+            for other in np.frombuffer(raw, "<i8").tolist():
+                x, y = root(comp[d]), root(comp[other])
+                if x == y:
+                    continue
+                theirs = sets[other]
+                both = len(np.intersect1d(own, theirs, assume_unique=True))
+                if 100 * both >= PERCENT * (len(own) + len(theirs) - both):
+                    parent[max(x, y)] = min(x, y)
+                    a.append(d)
+                    b.append(other)
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -236,30 +266,19 @@ def classes(docs: DataFrame) -> DataFrame:
     found = components(links, "minhash-components")
 
     # Buckets of three or more in which the smallest one has not connected all.
-    start = found
-    placed = entries.where("n > 2").join(start.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = entries.where("n > 2").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id")).drop("a", "n")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("bucket")
-    placed = placed.join(mixed, "bucket").join(narrow, "doc_id")
-    dealt = in_blocks(placed, ["bucket"], "doc_id", BLOCK)
-    names = ["_group", "doc_id", "component", "n_shingles", "sketch", "_block", "_inner"]
-    dealt = stored(dealt.select(*names), "minhash-apart")
-    if not dealt.isEmpty():
-        sorted_rows = dealt.repartition("_group").sortWithinPartitions("_group")
-        for first, last in TRIES:
-            more = sorted_rows.mapInArrow(_apart(first, last), "a long, b long, ca long, cb long").distinct()
-            now = found.select(F.col("node").alias("ca"), F.col("component").alias("now_a"))
-            then = found.select(F.col("node").alias("cb"), F.col("component").alias("now_b"))
-            more = more.join(now, "ca", "left").join(then, "cb", "left")
-            more = more.where(F.coalesce("now_a", "ca") != F.coalesce("now_b", "cb")).select("a", "b")
-            more = stored(more.join(pairs, ["a", "b"], "left_anti"), "minhash-candidates")
-            if more.isEmpty():
-                continue
-            new = confirmed(more, standing)
-            if new.isEmpty():
-                continue
-            links = stored(links.unionByName(new), "minhash-links")
-            found = components(links, "minhash-components")
+    dealt = in_blocks(placed.join(mixed, "bucket"), ["bucket"], "doc_id", BLOCK).join(reps, "doc_id")
+    names = ["_group", "doc_id", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]
+    dealt = dealt.select(*names).repartition("_group").sortWithinPartitions("_group")
+    apart = stored(dealt.mapInArrow(_apart, "_group long, doc_id long, component long, partners binary"), "minhash-apart")
+    if not apart.isEmpty():
+        both = apart.join(standing, "doc_id").select("_group", "doc_id", "component", "partners", "text")
+        both = both.repartition("_group").sortWithinPartitions("_group", "doc_id")
+        new = stored(both.mapInArrow(_joining, "a long, b long"), "minhash-links")
+        if not new.isEmpty():
+            found = components(links.unionByName(new), "minhash-components")
 
     of_copies = same.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     of_copies = of_copies.select("same", F.coalesce("component", "rep").alias("component_id"))
