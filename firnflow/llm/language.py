@@ -91,9 +91,9 @@ def predicted(docs: DataFrame, dictionaries: dict[str, bytes], *keep: Column) ->
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     judged = F.arrow_udf(run, "struct<lang_pred:string,score:double>")
-    rows = docs.select(*keep, judged(docs["text"]).alias("_said"))
+    rows = docs.select(*keep, judged(docs["text"]).alias("__said"))
     names = rows.columns[:-1]
-    lang, score = F.col("_said.lang_pred"), F.col("_said.score")
+    lang, score = F.col("__said.lang_pred"), F.col("__said.score")
     return rows.select(
         *(F.col(f"`{n}`") for n in names), lang.alias("lang_pred"), score.alias("score"),
         ((lang == UNKNOWN) | (score < NARROW)).alias("rejected"),

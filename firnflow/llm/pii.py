@@ -154,9 +154,9 @@ def detected(docs: DataFrame) -> DataFrame:
 def without(docs: DataFrame) -> DataFrame:
     """``docs`` with spans replaced in ``text`` and ``n_chars`` counted anew where something was; other rows as they are."""
     names = docs.columns
-    rows = docs.select(*(docs[f"`{n}`"] for n in names), found(docs["text"])["redacted"].alias("_redacted"))
-    changed = F.col("_redacted").isNotNull()
-    new = {"text": F.when(changed, F.col("_redacted")).otherwise(F.col("text"))}
+    rows = docs.select(*(docs[f"`{n}`"] for n in names), found(docs["text"])["redacted"].alias("__redacted"))
+    changed = F.col("__redacted").isNotNull()
+    new = {"text": F.when(changed, F.col("__redacted")).otherwise(F.col("text"))}
     if "n_chars" in names:
-        new["n_chars"] = F.when(changed, F.length("_redacted").cast("long")).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.when(changed, F.length("__redacted").cast("long")).otherwise(F.col("n_chars"))
     return rows.select(*(new[n].alias(n) if n in new else F.col(f"`{n}`") for n in names))

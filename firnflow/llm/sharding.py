@@ -28,8 +28,8 @@ _TOP = 1 << 64
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.xxhash64(whole("text"))
     high = F.shiftleft(F.shiftrightunsigned(text, 32), 32)
-    return docs.withColumn("_size", F.octet_length(whole("text")).cast("long") + ROW_BYTES).withColumn(
-        "_key", high.bitwiseOR(F.shiftrightunsigned(F.xxhash64("doc_id"), 32))
+    return docs.withColumn("__size", F.octet_length(whole("text")).cast("long") + ROW_BYTES).withColumn(
+        "__key", high.bitwiseOR(F.shiftrightunsigned(F.xxhash64("doc_id"), 32))
     )
 
 
@@ -47,9 +47,9 @@ class Bins:
             # The bins to be divided are fewer than twice the ranges, whatever the data.
             wanted = [s >> above for s in inside]
             signed = [w - _TOP if w >= _TOP >> 1 else w for w in wanted]
-            rows = rows.where((F.shiftrightunsigned("_key", above) if above < 64 else F.lit(0).cast("long")).isin(signed))
-        counted = rows.groupBy(F.shiftrightunsigned("_key", shift).alias("bin") if shift else F.col("_key").alias("bin")).agg(
-            F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("n")
+            rows = rows.where((F.shiftrightunsigned("__key", above) if above < 64 else F.lit(0).cast("long")).isin(signed))
+        counted = rows.groupBy(F.shiftrightunsigned("__key", shift).alias("bin") if shift else F.col("__key").alias("bin")).agg(
+            F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("n")
         )
         return [((r["bin"] % _TOP) << shift, shift, r["bytes"], r["n"]) for r in counted.collect()]
 
@@ -92,10 +92,10 @@ class Bins:
 
     def _within(self, lower: int, own: int, at: list[int]) -> list[tuple[int, int, int, int]]:
         if own - lower < STEP:  # the last few bits
-            prefix = F.shiftrightunsigned("_key", own)
+            prefix = F.shiftrightunsigned("__key", own)
             signed = [s >> own for s in at]
             rows = self.keys.where(prefix.isin(signed))
-            counted = rows.groupBy(F.col("_key").alias("bin")).agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+            counted = rows.groupBy(F.col("__key").alias("bin")).agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("n"))
             return [(r["bin"] % _TOP, 0, r["bytes"], r["n"]) for r in counted.collect()]
         return self.count(lower, at)
 
@@ -104,9 +104,9 @@ def sharded(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, toleran
     """``docs`` with size (UTF-8 bytes of the text plus 16), shard, slot (gapless from 0 in each shard, in key order).
 
     A null text has no bytes, a null doc_id hashes like a value of its own, repeated rows get slots of their own, the empty
-    table stays empty.  Shards are filled to within the tolerance of equal bytes, or to the nearest whole row.
+    table stays empty, other columns pass through but for ones of these three names.  Shards are filled to within the tolerance of equal bytes, or to the nearest whole row.
     """
-    keys = stored(_keyed(docs).select("_key", "_size"), "histogram-sort")
+    keys = stored(_keyed(docs).select("__key", "__size"), "histogram-sort")
     bins = Bins(keys)
     splitters = bins.refine(shards, ranges, tolerance)
 
@@ -127,14 +127,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, toleran
         slot += n
 
     # Some thousand rows, set by the parameters and not by the data; an interval lies in one bin of the first round.
-    shape = "_bin long, _low long, _high long, _range int, shard int, _base long"
+    shape = "__bin long, __low long, __high long, __range int, __shard int, __base long"
     plan = docs.sparkSession.createDataFrame(pieces, shape)
-    names = docs.columns
-    rows = _keyed(docs.withColumns({"size": F.octet_length(whole("text")).cast("long") + ROW_BYTES}) if "size" not in names else docs)
-    if "size" in names:
-        rows = rows.withColumn("size", F.col("_size"))
-    rows = rows.withColumn("_bin", F.shiftrightunsigned("_key", 64 - STEP)).drop(*(c for c in ("shard", "slot") if c in names))
-    placed = rows.join(F.broadcast(plan), ["_bin"]).where(F.col("_key").between(F.col("_low"), F.col("_high")))
-    order = Window.partitionBy("_range").orderBy(F.col("_key").bitwiseXOR(F.lit(-(1 << 63))), F.col("doc_id").asc_nulls_last())
-    placed = placed.withColumn("slot", F.col("_base") + F.row_number().over(order) - 1)
-    return placed.drop("_key", "_size", "_bin", "_low", "_high", "_range", "_base")
+    rows = _keyed(docs).withColumn("__bin", F.shiftrightunsigned("__key", 64 - STEP))
+    placed = rows.join(F.broadcast(plan), ["__bin"]).where(F.col("__key").between(F.col("__low"), F.col("__high")))
+    order = Window.partitionBy("__range").orderBy(F.col("__key").bitwiseXOR(F.lit(-(1 << 63))), F.col("doc_id").asc_nulls_last())
+    placed = placed.withColumn("__slot", F.col("__base") + F.row_number().over(order) - 1)
+    kept = [F.col(f"`{n}`") for n in docs.columns if n not in ("size", "shard", "slot")]
+    return placed.select(*kept, F.col("__size").alias("size"), F.col("__shard").alias("shard"), F.col("__slot").alias("slot"))
