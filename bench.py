@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR: folder of the tables (default /root/testdata/sf0.1); BENCH_CPUS: threads (default 8); BENCH_RUNS: timed runs
-per query after one warm-up (default 3, the median counts).  Each run plans and executes the whole query and drops the rows.
+per query after one warm-up (default 3, the median counts); BENCH_WORK: folder for the stored catalog.  Each run plans and executes the whole query and drops the rows.
 """
 
 from __future__ import annotations
@@ -10,13 +10,12 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from firnflow.operators import search
 from firnflow.plans.queries import BBOX, PERIOD, QUERIES
 from firnflow.plans.views import view
-from firnflow.session import build
+from firnflow.session import build, shared_folder
 from firnflow.sources import catalog
 
 HEADLINES = (
@@ -49,6 +48,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_WORK", "/tmp/firnflow-bench"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -56,7 +56,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     # The catalog as it is kept for search, in folders by tile, with its index beside it.
-    base = tempfile.mkdtemp(prefix="firnflow-bench-")
+    base = shared_folder(spark, "bench")
     catalog.write_catalog(view(spark, sf_dir, "granules"), base + "/catalog", files=int(cpus))
     stored = catalog.read_hive_catalog(spark, base + "/catalog", merge=False)
     search.tile_index(stored).coalesce(1).write.parquet(base + "/index")

@@ -181,12 +181,14 @@ def _in_system(a: Column, b: Column, epsg: int, polar, utm) -> tuple[Column, Col
 def _by_system(a: Column, b: Column, epsg: int | Column, polar, utm, systems: Sequence[int] | None) -> tuple[Column, Column]:
     if isinstance(epsg, int):
         return _in_system(a, b, epsg, polar, utm)
-    if systems and all(_is_utm(s) for s in systems):
-        return utm(a, b, F.pmod(epsg, F.lit(100)), epsg > 32700)
-    if systems is not None and 0 < len(systems) <= FLAT_SYSTEMS:
-        known = [(epsg == s, _in_system(a, b, s, polar, utm)) for s in systems]
-        if len(known) == 1:
-            return known[0][1]
+    # Whatever the form, a code that is missing, unknown or not in the list gives NULL.
+    listed = None if systems is None else [s for s in systems if s == GEOGRAPHIC or s in POLAR_SYSTEMS or _is_utm(s)]
+    if listed and all(_is_utm(s) for s in listed):
+        x, y = utm(a, b, F.pmod(epsg, F.lit(100)), epsg > 32700)
+        held = epsg.isin(listed)
+        return F.when(held, x), F.when(held, y)
+    if listed and len(listed) <= FLAT_SYSTEMS:
+        known = [(epsg == s, _in_system(a, b, s, polar, utm)) for s in listed]
         x, y = (F.when(known[0][0], known[0][1][i]) for i in (0, 1))
         for test, (px, py) in known[1:]:
             x, y = x.when(test, px), y.when(test, py)

@@ -18,8 +18,13 @@ _SALT = "_salt"
 
 
 def is_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``rows`` rows; reads no more than that many."""
-    return df.limit(rows + 1).count() <= rows
+    """True if the table has at most ``rows`` rows; every task counts its own, so no row leaves its task."""
+    return df.count() <= rows
+
+
+def plain_columns(df: DataFrame) -> list[str]:
+    """Columns whose values can be hashed, which together spread the rows of any key."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def settled(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from firnflow.functions import rings
 from firnflow.functions.projections import offset_metres, project, unproject
 from firnflow.functions.urls import composite_url, epsg_code
-from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, join_bounded, listed_rows, settled
+from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, join_bounded, listed_rows, plain_columns, settled
 from firnflow.operators.search import BOX, data_assets
 
 GRID = ("x0", "y0", "dx", "dy", "nx", "ny")
@@ -168,7 +168,7 @@ def snap_points(located: DataFrame, systems: Sequence[int] | None = None) -> Dat
 def with_cell_index(rows: DataFrame, cubes: DataFrame) -> DataFrame:
     """Observations given by coordinates get the indices ``ix, iy`` of their cell, once, when they are taken in."""
     grid = cubes.select("cube_id", *GRID)
-    joined = join_bounded(rows, grid, ["cube_id"], salt_by=["x", "y"])
+    joined = join_bounded(rows, grid, ["cube_id"], salt_by=plain_columns(rows))
     c = F.col
     return joined.withColumns(
         {

@@ -42,6 +42,12 @@ def first_per_timestamp(
     return rows.groupBy(*keys, time).agg(first.alias("_f")).select(*keys, time, *(F.col("_f." + v).alias(v) for v in values))
 
 
+def _without_nan(rows: DataFrame, value: str) -> DataFrame:
+    if dict(rows.dtypes)[value] not in ("float", "double"):
+        return rows
+    return rows.withColumn(value, F.when(~F.isnan(value), F.col(value)))
+
+
 def _magnitude_bucket(v: Column) -> Column:
     """Whole number that never falls as ``v`` rises: 32 buckets per doubling, mirrored below zero; -100000 if missing."""
     size = F.floor(F.log2(F.greatest(F.abs(v), F.lit(2.0**-20))) * 32) + 800
@@ -53,12 +59,13 @@ HOT_VALUES = 500_000
 
 
 def exact_median(rows: DataFrame, keys: Sequence[str], value: str, hot_values: int = HOT_VALUES) -> DataFrame:
-    """Median per key; keys with very many values go another way that never brings them together.
+    """Median per key; keys with very many values go another way that never brings them together.  NaN counts as missing.
 
     There is at most one such key per ``hot_values`` rows, so their list is small enough to broadcast; where there is none,
     adaptive execution drops that branch before it starts.
     """
     keys = list(keys)
+    rows = _without_nan(rows, value)
     sizes = rows.groupBy(*keys).agg(F.count(value).alias("_n"))
     hot = F.broadcast(sizes.where(F.col("_n") > hot_values).select(*keys))
     return _sorted_median(rows.join(hot, keys, "left_anti"), keys, value).unionByName(
@@ -83,7 +90,7 @@ def spread_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     """
     keys = list(keys)
     counted = (
-        rows.groupBy(*keys, F.col(value).alias("_v"))
+        _without_nan(rows, value).groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_c"))
         .withColumn("_b", _magnitude_bucket(F.col("_v")))
     )

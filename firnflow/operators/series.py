@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firnflow.functions.sensors import composite_variables, present, velocity_variables
+from firnflow.functions.sensors import composite_variables, present, stored_variables, velocity_variables
 from firnflow.functions.times import from_micros, micros
 from firnflow.operators.bounded import BROADCAST_ROWS, join_bounded
 from firnflow.operators.locate import CELL_DEGREES, GRID, cube_facts, locate, locate_two_step, snap, snap_points
@@ -32,16 +32,18 @@ def series_at(
     variables: Iterable[str],
     rows: int = BROADCAST_ROWS,
     measured: DataFrame | None = None,
+    wanted: Iterable[str] = (),
 ) -> DataFrame:
     """Rows of a cell table at snapped points: the point's columns repeated, then the time and the variables.
 
-    ``measured`` may name the points the snapped ones come from: they are no fewer and quicker to count.
+    ``measured`` may name the points the snapped ones come from: they are no fewer and quicker to count.  A variable of
+    ``wanted`` that the table lacks is an error; others are left out.
     """
-    names = present(table, variables)
-    wanted = table.select(*CELL, *time, *names)
+    names = stored_variables(table, variables, wanted)
+    values = table.select(*CELL, *time, *names)
     points = on_cells.select(*present(on_cells, (*POINT_COLUMNS, "zarr_url", "composite_zarr_url")))
     # Times and values differ between the rows of one cell, so they spread a crowded cell in a shuffle.
-    return join_bounded(wanted, points, CELL, rows=rows, salt_by=[*time, *names], measured=measured)
+    return join_bounded(values, points, CELL, rows=rows, salt_by=[*time, *names], measured=measured)
 
 
 def time_series(
@@ -55,7 +57,7 @@ def time_series(
     """Velocity series of every point: its first cube, nearest cell, and all observations there."""
     facts = cube_facts(cubes, cell_degrees, rows)
     on_cells = snap_points(locate(points, cubes, cell_degrees, rows, facts), facts.systems)
-    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
+    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, points, variables)
 
 
 def time_series_in_system(
@@ -71,7 +73,7 @@ def time_series_in_system(
     placed = found.select("point_id", "cube_id", F.col("x").alias("px"), F.col("y").alias("py"))
     grid = cubes.select("cube_id", "epsg", *GRID)
     on_cells = snap(join_bounded(placed, grid, ["cube_id"], rows=rows, salt_by=["point_id"]))
-    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, measured=points)
+    return series_at(on_cells, observations, ["mid_date"], velocity_variables(variables), rows, points, variables)
 
 
 def annual_series(
@@ -92,6 +94,9 @@ def annual_series(
     on_cells = snap_points(located, facts.systems)
     names = composite_variables(variables)
     out = series_at(on_cells, composites, ["year"], names, rows, measured=points)
+    have = {*out.columns, *(static.columns if static is not None else ())}
+    if lost := [n for n in variables if n not in have]:
+        raise ValueError(f"no composite variable {', '.join(lost)}")
     if static is None:
         return out
     extra = [n for n in present(static, names) if n not in out.columns]

@@ -483,6 +483,23 @@ add(
            FROM observations GROUP BY ALL),
     still AS (SELECT cube_id, ix, iy, avg(v) AS v0, count(*) AS count0 FROM observations GROUP BY ALL)""",
 )
+add(
+    "export_from_points",
+    "points cubes observations",
+    """SELECT mid_date, round(c.lon, 4) AS lon, round(c.lat, 4) AS lat, o.v AS "v [m/yr]", o.v_error AS "v_error [m/yr]",
+       o.vx AS "vx [m/yr]", o.vx_error AS "vx_error [m/yr]", o.vy AS "vy [m/yr]", o.vy_error AS "vy_error [m/yr]",
+       CAST(floor(date_dt_days) AS INT) AS "date_dt [days]", mission_img1 AS mission, satellite_img1 AS satellite, k.epsg
+       FROM cells c JOIN observations o ON o.cube_id = c.cube_id AND o.ix = c.ix AND o.iy = c.iy
+       JOIN cubes k ON k.cube_id = c.cube_id
+       WHERE o.v IS NOT NULL AND o.vx IS NOT NULL AND o.vy IS NOT NULL AND o.v_error IS NOT NULL AND o.vx_error IS NOT NULL
+         AND o.vy_error IS NOT NULL AND date_dt_days IS NOT NULL AND mission_img1 IS NOT NULL AND satellite_img1 IS NOT NULL""",
+    _SNAPPED,
+)
+# Points are rounded before they are looked up.
+_GIVEN = ", points AS (SELECT * REPLACE (round(lon, 4) AS lon, round(lat, 4) AS lat) FROM given), cubes AS ("
+ORACLES["export_from_points"] = (
+    ORACLES["export_from_points"].replace("WITH points AS (", "WITH given AS (", 1).replace(", cubes AS (", _GIVEN, 1)
+)
 _LABELLED = "labelled AS (SELECT *, -50 + point_id / 7 AS lon, 60 + point_id / 90 AS lat, 3413 AS epsg FROM observations)"
 add(
     "export_rows",

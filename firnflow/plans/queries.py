@@ -552,6 +552,14 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series_sink.csv_rows(_labelled(spark, sf_dir))
 
 
+@register
+def export_from_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points as an export takes them, to four decimals, then lookup, series and the fixed columns in one plan."""
+    points = series_sink.rounded_points(view(spark, sf_dir, "points"))
+    rows = series.time_series(points, view(spark, sf_dir, "cubes"), observations(spark, sf_dir), ["date_dt"])
+    return series_sink.csv_rows(rows)
+
+
 @register
 def export_extra_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extra variable with gaps removes rows although the CSV columns do not hold it."""

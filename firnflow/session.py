@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,9 +36,13 @@ def build(app: str = "firnflow", master: str | None = None, **options: str) -> S
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """New path below the folder the cluster shares (``spark.checkpoint.dir``); a local one only where that is unset."""
+    """New path below the folder the cluster shares (``spark.checkpoint.dir``).
+
+    Where that is unset, a local session, which is one machine, takes a folder beside its warehouse; a cluster is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = tempfile.mkdtemp(prefix="firnflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

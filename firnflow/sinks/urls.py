@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +30,13 @@ def write_url_json(found: DataFrame, path: str) -> None:
     found.select("href").write.json(path)
 
 
-def json_array(found: DataFrame, at_most: int = 100_000) -> str:
-    """The whole list as one JSON array of addresses, in order; for results a terminal can show, else an error."""
-    import json
-
-    rows = found.select("href").orderBy("href").limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} addresses: write them with write_url_json")
-    return json.dumps([r.href for r in rows], indent=2)
+def json_array(found: DataFrame) -> Iterator[str]:
+    """The whole list as one JSON array of addresses, in order, in parts that are passed on one by one."""
+    start = "["
+    for r in found.select("href").orderBy("href").toLocalIterator():
+        yield f"{start}\n  {json.dumps(r.href)}"
+        start = ","
+    yield "[]" if start == "[" else "\n]"
 
 
 def download_manifest(found: DataFrame, limit: int | None = None, s3_pattern: str = S3_PREFIX_PATTERN) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import Any
 
@@ -93,7 +94,9 @@ def read_integer_catalog(
     """Catalog under ``<decimal tile>/``; ``hexagons(tile)`` keeps the rows of those hexadecimal ids."""
     reader = _lenient(spark, merge).option("recursiveFileLookup", True)
     df = _with_source(reader.parquet(path))
-    df = df.withColumn("directory", F.regexp_extract("source_parquet", r"/(\d+)/[^/]+$", 1))
+    # The first folder below the base names the tile; more folders may follow.
+    base = re.escape(path.rstrip("/").rsplit("/", 1)[-1])
+    df = df.withColumn("directory", F.regexp_extract("source_parquet", rf"/{base}/(\d+)/", 1))
     if hexagons is None:
         return df
     # At most a few thousand tiles exist at the resolutions above.

@@ -208,13 +208,22 @@ def test_subset_of_the_missing_test(three):
     assert series_sink.export_rows(gaps, ["extra"], subset=["v"]).count() == 3
 
 
-def test_text_table_and_formats(three):
-    text = series_sink.write_series(three, "stdout")
-    assert text.splitlines()[0].startswith("| mid_date") and len(text.splitlines()) == 5
+def test_text_table_and_formats(spark, three, capsys):
+    series_sink.write_series(three, "stdout")
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0].startswith("| mid_date") and len(lines) == 5
+    many = three.crossJoin(spark.range(1000)).drop("id")
+    assert sum(1 for _ in series_sink.text_lines(many)) == 3002
     with pytest.raises(ValueError):
         series_sink.write_series(three, "netcdf", "x")
 
 
+def test_absent_variable(spark, three):
+    with pytest.raises(ValueError):
+        series_sink.csv_rows(three, ["vv_typo"])
+    assert series_sink.csv_rows(three.drop("vx")).columns == ["mid_date", *series_sink.CSV_COLUMNS]
+
+
 def test_default_folder(spark, three, tmp_path, monkeypatch):
     monkeypatch.setattr(series_sink, "write_csv", lambda series, path, variables: None)
     first, second = (series_sink.write_series(three, "csv") for _ in range(2))
@@ -242,9 +251,8 @@ def test_url_files(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["url", "filename"]
     url_sink.write_url_json(found, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
-    assert json.loads(url_sink.json_array(found)) == ["https://e.org/b.nc", "https://x.s3.amazonaws.com/a.nc"]
-    with pytest.raises(ValueError):
-        url_sink.json_array(found, at_most=1)
+    assert json.loads("".join(url_sink.json_array(found))) == ["https://e.org/b.nc", "https://x.s3.amazonaws.com/a.nc"]
+    assert json.loads("".join(url_sink.json_array(found.limit(0)))) == []
     manifest = [tuple(r) for r in url_sink.download_manifest(found, limit=5).orderBy("href").collect()]
     assert manifest == [("https://e.org/b.nc", "b.nc", "daac"), ("https://x.s3.amazonaws.com/a.nc", "a.nc", "s3")]
 

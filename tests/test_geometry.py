@@ -227,3 +227,14 @@ def test_unknown_system(spark):
     with pytest.raises(ValueError):
         projections.project(F.lit(1.0), F.lit(2.0), 2154)
     assert run(spark, projections.project, [(1.0, 2.0, 2154)]) == [(None, None)]
+
+
+def test_missing_and_unknown_systems(spark):
+    """Whatever the list of systems holds, a code that is missing, unknown or not listed gives NULL."""
+    rows = spark.createDataFrame([(10.0, 70.0, None), (10.0, 70.0, 3573), (10.0, 70.0, 3413)], "lon double, lat double, code int")
+    for listed in ([3413], [3413, 3031], [3413, 3031, 32632, 32633], [3413, 3573], None):
+        x, y = projections.project(F.col("lon"), F.col("lat"), F.col("code"), listed)
+        got = [r[0] is None for r in rows.select(x, "code").collect()]
+        assert got == [True, True, False], listed
+    x, _ = projections.project(F.col("lon"), F.col("lat"), F.col("code"), [32632])
+    assert [r[0] for r in rows.select(x).collect()] == [None] * 3

@@ -156,3 +156,10 @@ def test_project_profile(spark):
     first = samples.orderBy("k").first()
     assert abs(first.lon + 140.8) < 1e-9 and abs(first.lat - 59.76) < 1e-9
     assert samples.count() == samples.first().n_points > 30
+
+
+def test_nan_in_medians(spark):
+    """Both ways to a median treat NaN as missing."""
+    rows = spark.createDataFrame([("a", float(i)) for i in range(9)] + [("a", float("nan")), ("b", float("nan"))], "k string, v double")
+    for hot in (3, 1000):
+        assert {r["k"]: r["value"] for r in resample.exact_median(rows, ["k"], "v", hot).collect()} == {"a": 4.0, "b": None}
