@@ -25,13 +25,17 @@ UNROLL_EDGES = 48
 
 @dataclass(frozen=True)
 class Region:
-    """Region of interest: closed rings that bound an area, open lines, single points."""
+    """Region of interest: areas of an outer ring and its holes, open lines, single points.  Parts may overlap."""
 
-    rings: tuple[tuple[Vertex, ...], ...] = ()
+    areas: tuple[tuple[tuple[Vertex, ...], ...], ...] = ()
     lines: tuple[tuple[Vertex, ...], ...] = ()
     points: tuple[Vertex, ...] = ()
     is_box: bool = False
 
+    @property
+    def rings(self) -> list[tuple[Vertex, ...]]:
+        return [r for area in self.areas for r in area]
+
     @property
     def bounds(self) -> tuple[float, float, float, float]:
         vertices = [v for part in (*self.rings, *self.lines, self.points) for v in part]
@@ -39,13 +43,16 @@ class Region:
         return min(xs), min(ys), max(xs), max(ys)
 
     @property
-    def ring_edges(self) -> list[Edge]:
-        return [(r[i - 1], r[i]) for r in self.rings for i in range(len(r))]
+    def area_edges(self) -> list[list[Edge]]:
+        return [[(r[i - 1], r[i]) for r in area for i in range(len(r))] for area in self.areas]
+
+    @property
+    def open_edges(self) -> list[Edge]:
+        return [(a, b) for line in self.lines for a, b in zip(line, line[1:])] + [(p, p) for p in self.points]
 
     @property
     def edges(self) -> list[Edge]:
-        lines = [(a, b) for line in self.lines for a, b in zip(line, line[1:])]
-        return self.ring_edges + lines + [(p, p) for p in self.points]
+        return [e for area in self.area_edges for e in area] + self.open_edges
 
 
 def _vertices(values: Sequence) -> tuple[Vertex, ...]:
@@ -68,12 +75,12 @@ def _ring(values: Sequence) -> tuple[Vertex, ...]:
 
 def box_region(minx: float, miny: float, maxx: float, maxy: float) -> Region:
     corners = ((maxx, miny), (maxx, maxy), (minx, maxy), (minx, miny))
-    return Region(rings=(tuple((float(x), float(y)) for x, y in corners),), is_box=True)
+    return Region(areas=((tuple((float(x), float(y)) for x, y in corners),),), is_box=True)
 
 
 def polygon_region(vertices: Sequence) -> Region:
     """Polygon of pairs or of a flat list; closed if it is open."""
-    return Region(rings=(_ring(vertices),))
+    return Region(areas=((_ring(vertices),),))
 
 
 def geojson_region(obj: Mapping[str, Any]) -> Region:
@@ -82,7 +89,7 @@ def geojson_region(obj: Mapping[str, Any]) -> Region:
     kind = (geometry or {}).get("type")
     if kind == "GeometryCollection":
         parts = [geojson_region(g) for g in geometry["geometries"]]
-        return Region(*(tuple(x for p in parts for x in getattr(p, f)) for f in ("rings", "lines", "points")))
+        return Region(*(tuple(x for p in parts for x in getattr(p, f)) for f in ("areas", "lines", "points")))
     c = (geometry or {}).get("coordinates")
     if kind is None or c is None:
         raise ValueError(f"not a GeoJSON geometry: {obj!r}")
@@ -95,9 +102,9 @@ def geojson_region(obj: Mapping[str, Any]) -> Region:
     if kind == "MultiLineString":
         return Region(lines=tuple(_vertices(x) for x in c))
     if kind == "Polygon":
-        return Region(rings=tuple(_ring(r) for r in c))
+        return Region(areas=(tuple(_ring(r) for r in c),))
     if kind == "MultiPolygon":
-        return Region(rings=tuple(_ring(r) for p in c for r in p))
+        return Region(areas=tuple(tuple(_ring(r) for r in p) for p in c))
     raise ValueError(f"unknown geometry type {kind!r}")
 
 
@@ -132,21 +139,19 @@ def _edge_literals(edges: Sequence[Edge]) -> Column:
 
 def _parity(px, py, qx, qy, x: Column, y: Column) -> Column:
     """The edge crosses the ray that runs from (x, y) to the right; a literal edge must not be level."""
-    if not isinstance(px, Column):
-        slope = (qx - px) / (qy - py)
-        return ((y < py) != (y < qy)) & (x < slope * (y - py) + px)
-    return ((py > y) != (qy > y)) & (x < (qx - px) * (y - py) / F.nullif(qy - py, F.lit(0.0)) + px)
+    rise = F.nullif(qy - py, F.lit(0.0)) if isinstance(qy, Column) else qy - py
+    return ((y < py) != (y < qy)) & (x < (qx - px) * (y - py) / rise + px)
 
 
-def _crossings_odd(edges: Sequence[Edge], x: Column, y: Column) -> Column:
-    if len(edges) <= UNROLL_EDGES:
-        crossed = [_parity(*p, *q, x, y) for p, q in edges if p[1] != q[1]]
-        return reduce(lambda a, b: a != b, crossed) if crossed else F.lit(False)
-    return F.aggregate(
-        _edge_literals(edges),
-        F.lit(False),
-        lambda acc, e: acc != F.coalesce(_parity(e["px"], e["py"], e["qx"], e["qy"], x, y), F.lit(False)),
-    )
+def _inside(roi: Region, x: Column, y: Column) -> Column:
+    """A point lies in one of the areas, by the parity of its edges; areas that overlap do not cancel each other."""
+    areas = roi.area_edges
+    if not areas:
+        return F.lit(False)
+    if len(roi.edges) <= UNROLL_EDGES:
+        crossed = [[_parity(*p, *q, x, y) for p, q in edges if p[1] != q[1]] for edges in areas]
+        return any_of(reduce(lambda a, b: a != b, tests) if tests else F.lit(False) for tests in crossed)
+    return F.exists(F.array(*(_edge_literals(edges) for edges in areas)), lambda edges: _edges_inside(edges, x, y))
 
 
 def _edge_meets_box(edge: Edge, box: Sequence[Column]) -> Column:
@@ -192,7 +197,20 @@ def region_meets_box(roi: Region, box: Sequence[Column]) -> Column:
         touch = any_of(_edge_meets_box(e, box) for e in edges)
     else:
         touch = F.exists(_edge_literals(edges), lambda e: _segment_meets_box(e, box))
-    return coarse & (touch | _crossings_odd(roi.ring_edges, box[0], box[1]))
+    return coarse & (touch | _inside(roi, box[0], box[1]))
+
+
+def region_meets_ring(roi: Region, ring: Column) -> Column:
+    """A literal region and a ring of columns share at least a boundary point.  AND a box test before this one.
+
+    Edges touch, or the ring starts inside of an area, or a part of the region starts inside of the ring.
+    """
+    edges = ring_edges(ring)
+    first = F.element_at(ring, 1)
+    starts = [(v, v) for v in (*(part[0] for part in (*roi.rings, *roi.lines)), *roi.points)]
+    touch = F.exists(edges, lambda e: F.exists(_edge_literals(roi.edges), lambda f: _edges_touch(e, f)))
+    held = F.exists(_edge_literals(starts), lambda v: _edges_inside(edges, v["px"], v["py"]))
+    return touch | _inside(roi, first["x"], first["y"]) | held
 
 
 def _on_segment(px, py, qx, qy, x: Column, y: Column) -> Column:
@@ -201,20 +219,19 @@ def _on_segment(px, py, qx, qy, x: Column, y: Column) -> Column:
 
 
 def region_contains(roi: Region, x: Column, y: Column, strict: bool = True) -> Column:
-    """A point of columns lies in a literal region; its boundary counts unless ``strict``."""
-    edges = roi.edges
+    """A point of columns lies in a literal region; its boundary counts unless ``strict``, which asks each area by itself."""
 
-    def as_columns(e: Edge) -> list[Column]:
-        return [F.lit(v) for v in (*e[0], *e[1])]
+    def on_border(edges: Sequence[Edge]) -> Column:
+        if len(edges) <= UNROLL_EDGES:
+            return any_of(_on_segment(*(F.lit(v) for v in (*p, *q)), x, y) for p, q in edges)
+        return F.exists(_edge_literals(edges), lambda e: _on_segment(e["px"], e["py"], e["qx"], e["qy"], x, y))
 
-    if len(edges) <= UNROLL_EDGES:
-        border = any_of(_on_segment(*as_columns(e), x, y) for e in edges)
-    else:
-        border = F.exists(_edge_literals(edges), lambda e: _on_segment(e["px"], e["py"], e["qx"], e["qy"], x, y))
-    inner = _crossings_odd(roi.ring_edges, x, y)
     minx, miny, maxx, maxy = roi.bounds
     coarse = x.between(minx, maxx) & y.between(miny, maxy)
-    return coarse & (inner & ~border if strict else inner | border)
+    if not strict:
+        return coarse & (_inside(roi, x, y) | on_border(roi.edges))
+    areas = [Region(areas=(a,)) for a in roi.areas]
+    return coarse & any_of(_inside(a, x, y) & ~on_border(a.edges) for a in areas) if areas else F.lit(False)
 
 
 # ---- rings that are columns: ARRAY<STRUCT<x, y>>, open (last vertex differs from the first) -----------------------
@@ -305,11 +322,6 @@ def edges_meet_box(edges: Column, box: Sequence[Column]) -> Column:
     return F.exists(edges, lambda e: _segment_meets_box(e, box)) | _edges_inside(edges, box[0], box[1])
 
 
-def region_ring(roi: Region) -> Column:
-    """First ring of a literal region as an array column."""
-    return F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in roi.rings[0]))
-
-
 def ring_is_simple(ring: Column) -> Column:
     """No two edges of the ring cross, none has zero length and only neighbours touch: the ring bounds one area."""
     edges = ring_edges(ring)

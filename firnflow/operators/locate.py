@@ -34,7 +34,7 @@ def cubes_from_items(items: DataFrame) -> DataFrame:
     ).drop("href", "assets", "proj:code")
 
 
-def find_cubes(cubes: DataFrame, rois: DataFrame, base_degrees: float = CELL_DEGREES, max_degrees: float = 64.0) -> DataFrame:
+def find_cubes(cubes: DataFrame, rois: DataFrame, base_degrees: float = CELL_DEGREES, max_degrees: float = 512.0) -> DataFrame:
     """Cubes that meet each region of a table, one row per pair, with the cube's own footprint."""
     roi_box = [F.col("roi_" + n) for n in BOX]
     pairs = grid_join(rois, cubes, roi_box, [F.col(n) for n in BOX], base_degrees, max_degrees, salt_by=["roi_id"])

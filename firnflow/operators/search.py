@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from firnflow.functions import rings
 from firnflow.functions.filters import PropertyFilter, granule_predicate
 from firnflow.functions.tiles import point_tile
-from firnflow.operators.bounded import BROADCAST_ROWS, grid_join
+from firnflow.operators.bounded import BROADCAST_ROWS, grid_join, join_bounded
 
 BOX = ("minx", "miny", "maxx", "maxy")
 ASSETS_TYPE = "map<string,struct<href:string,roles:array<string>>>"
@@ -32,12 +32,7 @@ def region_predicate(granules: DataFrame, roi: rings.Region) -> Column:
     if "footprint" not in granules.columns:
         return rings.region_meets_box(roi, box)
     coarse = rings.boxes_overlap(box, [F.lit(v) for v in roi.bounds])
-    if len(roi.rings) == 1 and not roi.lines and not roi.points:
-        return coarse & rings.rings_meet(F.col("footprint"), rings.region_ring(roi))
-    if roi.points and not roi.rings and not roi.lines:
-        tests = [rings.ring_contains(F.col("footprint"), F.lit(x), F.lit(y), strict=False) for x, y in roi.points]
-        return coarse & F.array_contains(F.array(*tests), True)
-    raise ValueError("ring footprints are tested against one polygon or against points")
+    return coarse & rings.region_meets_ring(roi, F.col("footprint"))
 
 
 def data_assets(items: DataFrame, suffix: str = ".nc", first_only: bool = False) -> DataFrame:
@@ -116,21 +111,30 @@ def search_many(
     granules: DataFrame,
     rois: DataFrame,
     base_degrees: float = 1.0,
-    max_degrees: float = 16.0,
+    max_degrees: float = 512.0,
     rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Every region of a table against the catalog: ``(roi_id, <granule columns>)``, each pair once.
 
-    ``rois`` holds ``roi_id`` and a box ``roi_minx, …``, and a ``roi_ring`` where regions are polygons.
+    ``rois`` holds ``roi_id``, which is unique, and a box ``roi_minx, …``, and a ``roi_ring`` where regions are polygons.  Cells
+    list ids and boxes; rings and other columns join the pairs of boxes by ``roi_id``, and are broadcast while all of them
+    have at most ``rows`` vertices.  No box is wider than the largest level of the default.
     """
-    roi_box = [F.col("roi_" + n) for n in BOX]
+    names = ["roi_" + n for n in BOX]
+    boxes = rois.select("roi_id", *names)
+    pairs = grid_join(
+        granules, boxes, box_columns(), [F.col(n) for n in names], base_degrees, max_degrees, rows=rows, salt_by=["granule_id"]
+    )
     polygons = "roi_ring" in rois.columns
+    if not polygons and set(rois.columns) == set(boxes.columns):
+        return pairs
+    parts = rois.drop(*names)
+    size = F.size("roi_ring") if polygons else F.lit(1)
     if polygons:
         # Edges are built once per region, not once per pair.
-        rois = rois.withColumn("roi_edges", rings.ring_edges(F.col("roi_ring")))
-    pairs = grid_join(
-        granules, rois, box_columns(), roi_box, base_degrees, max_degrees, rows=rows, salt_by=["granule_id"]
-    )
+        parts = parts.withColumn("roi_edges", rings.ring_edges(F.col("roi_ring")))
+    fits = (rois.agg(F.sum(size)).first()[0] or 0) <= rows
+    pairs = join_bounded(pairs, parts, ["roi_id"], salt_by=["granule_id"], measured=fits)
     if not polygons:
         return pairs
     if "footprint" in granules.columns:

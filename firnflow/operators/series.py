@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from firnflow.functions.sensors import composite_variables, present, stored_variables, velocity_variables
 from firnflow.functions.times import from_micros, micros
-from firnflow.operators.bounded import BROADCAST_ROWS, join_bounded
+from firnflow.operators.bounded import BROADCAST_ROWS, is_bounded, join_bounded
 from firnflow.operators.locate import CELL_DEGREES, GRID, cube_facts, locate, locate_two_step, snap, snap_points
 
 CELL = ("cube_id", "ix", "iy")
@@ -31,12 +31,12 @@ def series_at(
     time: Sequence[str],
     variables: Iterable[str],
     rows: int = BROADCAST_ROWS,
-    measured: DataFrame | None = None,
+    measured: DataFrame | bool | None = None,
     wanted: Iterable[str] = (),
 ) -> DataFrame:
     """Rows of a cell table at snapped points: the point's columns repeated, then the time and the variables.
 
-    ``measured`` may name the points the snapped ones come from: they are no fewer and quicker to count.  A variable of
+    ``measured`` may name the points the snapped ones come from, no fewer and quicker to count, or tell the outcome.  A variable of
     ``wanted`` that the table lacks is an error; others are left out.
     """
     names = stored_variables(table, variables, wanted)
@@ -93,14 +93,17 @@ def annual_series(
     located = locate(points, cubes, cell_degrees, rows, facts).where("composite_zarr_url <> ''")
     on_cells = snap_points(located, facts.systems)
     names = composite_variables(variables)
-    out = series_at(on_cells, composites, ["year"], names, rows, measured=points)
+    fits = is_bounded(points, rows)
+    out = series_at(on_cells, composites, ["year"], names, rows, measured=fits)
     have = {*out.columns, *(static.columns if static is not None else ())}
     if lost := [n for n in variables if n not in have]:
         raise ValueError(f"no composite variable {', '.join(lost)}")
     if static is None:
         return out
     extra = [n for n in present(static, names) if n not in out.columns]
-    return out.join(static.select(*CELL, *extra), list(CELL), "left")
+    # One row per cell asked for, which is no more than there are points; a crowded cell is spread by point and year.
+    wanted = join_bounded(static.select(*CELL, *extra), on_cells.select(*CELL).distinct(), CELL, "left_semi", salt_by=CELL, measured=fits)
+    return join_bounded(out, wanted, CELL, "left", salt_by=["point_id", "year"], measured=fits)
 
 
 def found_count(series: DataFrame) -> DataFrame:

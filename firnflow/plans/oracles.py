@@ -92,7 +92,25 @@ add(
 )
 for key in ("search_pruned", "search_unpruned"):
     add(key, "granules", f"SELECT DISTINCT href FROM granules WHERE {BBOX} AND percent_valid_pixels >= 10 AND {PERIOD}")
-add("search_no_region", "granules", "SELECT href FROM granules WHERE FALSE")
+_HOLED = f"({overlaps(-65, 62, -35, 80)} AND NOT (minx > -58 AND maxx < -42 AND miny > 66 AND maxy < 77))"
+add(
+    "search_precedence",
+    "granules",
+    f"""SELECT DISTINCT 'bbox+polygon+geojson' AS given, href FROM granules WHERE {_HOLED} AND {VALID} AND {PERIOD}
+        UNION ALL SELECT DISTINCT 'bbox+polygon', href FROM granules WHERE {CONVEX} AND {VALID} AND {PERIOD}""",
+)
+add(
+    "search_collection_overlap",
+    "granules",
+    f"""SELECT DISTINCT href FROM granules WHERE ({overlaps(-60, 62, -40, 76)} OR {overlaps(-56, 64, -36, 80)})
+        AND {VALID} AND {PERIOD}""",
+)
+add(
+    "search_ring_footprints",
+    "granules",
+    f"""SELECT DISTINCT href FROM granules WHERE ({_HOLED} OR {overlaps(-56, 68, -52, 70)} OR {overlaps(-50, 72, -44, 72)})
+        AND {VALID} AND {PERIOD}""",
+)
 add(
     "search_default_period",
     "granules",
@@ -336,27 +354,20 @@ _Q = repr(2 * prj._N**0.5 / (1 + prj._N))
 _K = repr(prj.UTM_SCALE * prj.RECTIFYING_RADIUS)
 _xi = "xi0 + " + " + ".join(f"{a!r} * sin({2 * j} * xi0) * cosh({2 * j} * eta0)" for j, a in enumerate(prj.ALPHA, start=1))
 _eta = "eta0 + " + " + ".join(f"{a!r} * cos({2 * j} * xi0) * sinh({2 * j} * eta0)" for j, a in enumerate(prj.ALPHA, start=1))
-add(
-    "project_utm",
-    "utm_points",
-    f"""SELECT point_id, epsg, round(500000 + {_K} * ({_eta}), 2) AS x,
-        round(CASE WHEN epsg > 32700 THEN 10000000 ELSE 0 END + {_K} * ({_xi}), 2) AS y FROM c""",
-    f"""a AS (SELECT point_id, {_SYSTEM} AS epsg, sin(radians(lat)) AS s, lon FROM utm_points WHERE abs(lat) <= 65),
-        b AS (SELECT point_id, epsg, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
-        c AS (SELECT point_id, epsg, atan2(t, cos(dl)) AS xi0, atanh(sin(dl) / sqrt(1 + t * t)) AS eta0 FROM b)""",
-)
 _NX, _NY = polar_xy("lon", "lat", 3413)
 _SX, _SY = polar_xy("lon", "lat", 3031)
-add(
-    "project_mixed",
-    "utm_points",
-    f"""SELECT point_id, epsg, round(CASE epsg WHEN 3413 THEN {_NX} WHEN 3031 THEN {_SX} ELSE 500000 + {_K} * ({_eta}) END, 2) AS x,
-        round(CASE epsg WHEN 3413 THEN {_NY} WHEN 3031 THEN {_SY}
-              ELSE CASE WHEN epsg > 32700 THEN 10000000 ELSE 0 END + {_K} * ({_xi}) END, 2) AS y FROM c""",
-    f"""a AS (SELECT point_id, {_SYSTEM} AS epsg, sin(radians(lat)) AS s, lon, lat FROM utm_points),
-        b AS (SELECT point_id, epsg, lon, lat, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
-        c AS (SELECT point_id, epsg, lon, lat, atan2(t, cos(dl)) AS xi0, CASE WHEN epsg > 32000 THEN atanh(sin(dl) / sqrt(1 + t * t)) ELSE 0 END AS eta0 FROM b)""",
-)
+# UTM goes as far as 84 degrees; the working systems are polar from 65 on.
+for key, system in (("project_utm", _SYSTEM.replace("65", "84")), ("project_mixed", _SYSTEM)):
+    add(
+        key,
+        "utm_points",
+        f"""SELECT point_id, epsg, round(CASE epsg WHEN 3413 THEN {_NX} WHEN 3031 THEN {_SX} ELSE 500000 + {_K} * ({_eta}) END, 2) AS x,
+            round(CASE epsg WHEN 3413 THEN {_NY} WHEN 3031 THEN {_SY}
+                  ELSE CASE WHEN epsg > 32700 THEN 10000000 ELSE 0 END + {_K} * ({_xi}) END, 2) AS y FROM c""",
+        f"""a AS (SELECT point_id, {system} AS epsg, sin(radians(lat)) AS s, lon, lat FROM utm_points),
+            b AS (SELECT point_id, epsg, lon, lat, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
+            c AS (SELECT point_id, epsg, lon, lat, atan2(t, cos(dl)) AS xi0, CASE WHEN epsg > 32000 THEN atanh(sin(dl) / sqrt(1 + t * t)) ELSE 0 END AS eta0 FROM b)""",
+    )
 _xi0 = "xi - (" + " + ".join(f"{b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
 _eta0 = "eta - (" + " + ".join(f"{b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
 _lat = "chi + " + " + ".join(f"({d!r}) * sin({2 * j} * chi)" for j, d in enumerate(prj.DELTA, start=1))

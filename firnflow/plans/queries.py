@@ -37,6 +37,21 @@ HOLED = {
         ],
     },
 }
+OVERLAPPING = {
+    "type": "GeometryCollection",
+    "geometries": [
+        {"type": "Polygon", "coordinates": [[[-60, 62], [-40, 62], [-40, 76], [-60, 76], [-60, 62]]]},
+        {"type": "Polygon", "coordinates": [[[-56, 64], [-36, 64], [-36, 80], [-56, 80], [-56, 64]]]},
+    ],
+}
+MIXED_PARTS = {
+    "type": "GeometryCollection",
+    "geometries": [
+        HOLED["geometry"],
+        {"type": "Polygon", "coordinates": [[[-56, 68], [-52, 68], [-52, 70], [-56, 70], [-56, 68]]]},
+        {"type": "LineString", "coordinates": [[-50, 72], [-44, 72]]},
+    ],
+}
 FILTER_TEXTS = ("percent_valid_pixels:>=:20", "proj:code:=:EPSG:3413", "version:=:002", "date_dt:<:200.5")
 # Regular grid of the elevation view: first centre, step and count per axis.
 ELEVATION_GRID = (-1_100_000.0, 1_100_000.0, 200_000.0, -200_000.0, 12, 12)
@@ -140,8 +155,27 @@ def search_unpruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register
-def search_no_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(granules(spark, sf_dir), **PERIOD)
+def search_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three regions GeoJSON counts, of two the polygon."""
+    every = {"bbox": WIDE_BBOX, "polygon": CONVEX, "geojson": HOLED}
+    parts = [
+        search.search(granules(spark, sf_dir), **{k: every[k] for k in keys}, **PERIOD).select(F.lit("+".join(keys)).alias("given"), "href")
+        for keys in (("bbox", "polygon", "geojson"), ("bbox", "polygon"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def search_collection_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(granules(spark, sf_dir), geojson=OVERLAPPING, **PERIOD)
+
+
+@register
+def search_ring_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprints that are rings against a region with a hole, a second part and a line."""
+    rows = granules(spark, sf_dir)
+    rows = rows.withColumn("footprint", rings.box_ring(*(F.col(n) for n in search.BOX)))
+    return search.search(rows, geojson=MIXED_PARTS, **PERIOD)
 
 
 @register
@@ -161,9 +195,10 @@ def search_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The search as a stream over the landed file, run to its end; the state's delay covers the file's disorder."""
+    """The search as a stream over the landed table, one file or a folder of them, run to its end; the state's delay covers the file's disorder."""
     schema = table(spark, sf_dir, "orders").schema
-    rows = landing.landed(utc(spark), sf_dir, schema, pattern="orders.parquet")
+    # A stream takes a single file only by a pattern; this one also stands for a folder of that name.
+    rows = landing.landed(utc(spark), f"{sf_dir}/orders.parque[t]", schema)
     arriving = rows.selectExpr(*VIEWS["granules"].columns)
     found = landing.stream_search(
         arriving, "36500 days", bbox=WIDE_BBOX, event_time="datetime", percent_valid_pixels=10, **PERIOD
@@ -408,9 +443,12 @@ def project_3031(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def project_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view(spark, sf_dir, "utm_points").where(F.abs("lat") <= 65)
-    placed = rows.withColumn("epsg", projections.working_epsg(F.col("lon"), F.col("lat")))
-    return _projected(placed, F.col("epsg"), UTM_SYSTEMS).select("point_id", "epsg", "x", "y")
+    """All points in their UTM zone, which goes as far as 84 degrees; beyond, in the polar system."""
+    rows = view(spark, sf_dir, "utm_points")
+    lon, lat = F.col("lon"), F.col("lat")
+    zonal = projections.utm_zone(lon, lat) + F.when(lat >= 0, 32600).otherwise(32700)
+    placed = rows.withColumn("epsg", F.when(F.abs(lat) <= 84, zonal).otherwise(projections.working_epsg(lon, lat)).cast("int"))
+    return _projected(placed, F.col("epsg")).select("point_id", "epsg", "x", "y")
 
 
 @register

@@ -95,6 +95,36 @@ def test_region_meets_box(spark, monkeypatch, unroll):
         assert p == {b[0] for b in boxes if inside(ring, b[1:3]) and not any(on(*e, b[1:3]) for e in edges(ring))}
 
 
+@pytest.mark.parametrize("unroll", [True, False])
+def test_parts_of_a_region(spark, monkeypatch, unroll):
+    """Overlapping polygons, one with a hole, a line and a point against boxes and their rings; both forms of the predicate."""
+    if not unroll:
+        monkeypatch.setattr(rings, "UNROLL_EDGES", 0)
+    square = lambda x, y, n: [[x, y], [x + n, y], [x + n, y + n], [x, y + n], [x, y]]
+    shapes = [
+        {"type": "MultiPolygon", "coordinates": [[square(0, 0, 8)], [square(4, 4, 8)]]},
+        {"type": "Polygon", "coordinates": [square(-20, -20, 10), square(-18, -18, 6)]},
+        {"type": "LineString", "coordinates": [[20, 0], [20, 9]]},
+        {"type": "Point", "coordinates": [-20, 5]},
+    ]
+    roi = rings.geojson_region({"type": "GeometryCollection", "geometries": shapes})
+    rng = random.Random(3)
+    rows = []
+    for i in range(500):
+        x, y = rng.randint(-22, 21), rng.randint(-22, 13)
+        a, b = x + rng.randint(0, 3) + 0.5, y + rng.randint(0, 3) + 0.5
+        over = lambda p, q, r, s: x <= r and a >= p and y <= s and b >= q
+        ring = over(-20, -20, -10, -10) and not (x > -18 and a < -12 and y > -18 and b < -12)
+        meets = over(0, 0, 8, 8) or over(4, 4, 12, 12) or ring or over(20, 0, 20, 9) or over(-20, 5, -20, 5)
+        strictly = lambda lo, hi: lo < x < hi and lo < y < hi
+        rows.append((i, float(x), float(y), a, b, meets, strictly(0, 8) or strictly(4, 12) or strictly(-20, -10) and not (-18 <= x <= -12 and -18 <= y <= -12)))
+    df = spark.createDataFrame(rows, "i int, x0 double, y0 double, x1 double, y1 double, meets boolean, within boolean")
+    box = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
+    bad = df.where((rings.region_meets_box(roi, box) != F.col("meets")) | (rings.region_meets_ring(roi, rings.box_ring(*box)) != F.col("meets")))
+    assert bad.count() == 0 and 20 < df.where("meets").count() < 400
+    assert df.where(rings.region_contains(roi, F.col("x0"), F.col("y0")) != F.col("within")).count() == 0
+
+
 def test_region_input_forms():
     flat = rings.polygon_region([0, 0, 4, 0, 4, 4, 0, 0])
     pairs = rings.polygon_region([(0, 0), (4, 0), (4, 4)])

@@ -77,6 +77,18 @@ def test_grid_join_on_touching_decimals(spark, base, most):
         assert rows_of(got.select("g", "s")) == want != []
 
 
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_many_rings_carry_other_columns(spark, sf_dir, granules, rows):
+    """Rings and further columns join the pairs of boxes by region, broadcast or shuffled."""
+    rois = view(spark, sf_dir, "rois").withColumn("name", F.concat(F.lit("r"), "roi_id"))
+    names = ["roi_" + n for n in search.BOX]
+    rois = rois.withColumn("roi_ring", rings.box_ring(*(F.col(n) for n in names))).select("roi_id", *names, "roi_ring", "name")
+    got = search.search_many(granules, rois, rows=rows)
+    plain = search.search_many(granules, rois.select("roi_id", *names))
+    assert rows_of(got.select("roi_id", "granule_id")) == rows_of(plain.select("roi_id", "granule_id")) != []
+    assert got.where("name <> concat('r', roi_id)").count() == 0
+
+
 def test_ring_footprints(spark, granules):
     ring = rings.box_ring(*(F.col(n) for n in search.BOX))
     shaped = granules.withColumn("footprint", ring)

@@ -8,11 +8,31 @@ import pytest
 from pyspark.sql import functions as F
 
 from firnflow.operators import profile, resample, running_mean, series
+from firnflow.operators.locate import locate, snap_points
 from firnflow.plans import products
+from firnflow.plans.views import view
 
 DAY = dt.timedelta(days=1)
 
 
+def test_annual_series_of_a_crowded_cell(spark):
+    """A cell that holds most points, a cell without static values; broadcast and salted shuffle agree."""
+    cubes = view(spark, "/root/testdata/sf0.01", "cubes")
+    points = view(spark, "/root/testdata/sf0.01", "points").limit(300)
+    crowd = locate(points, cubes).where("composite_zarr_url <> ''").agg(F.min("point_id")).first()[0]
+    one = points.where(F.col("point_id") == crowd).crossJoin(spark.range(600).withColumnRenamed("id", "n"))
+    points = points.unionByName(one.withColumn("point_id", (F.col("point_id") + 1_000_000 + F.col("n")).cast(points.schema["point_id"].dataType)).drop("n"))
+    cells = snap_points(locate(points, cubes), None).select("cube_id", "ix", "iy").distinct()
+    yearly = cells.crossJoin(spark.range(3)).selectExpr("cube_id", "ix", "iy", "cast(2000 + id as int) year", "cast(ix + id as double) v")
+    still = cells.where("ix % 2 = 0").withColumn("v0", F.col("iy") * 1.0)
+    results = []
+    for rows in (200_000, 0):
+        got = series.annual_series(points, cubes, yearly, still, ("v", "v0"), rows=rows).select("point_id", "ix", "iy", "year", "v", "v0")
+        results.append(sorted(map(tuple, got.collect()), key=str))
+    assert results[0] == results[1] and len(results[0]) > 1500
+    assert all(r[5] == (float(r[2]) if r[1] % 2 == 0 else None) for r in results[0])
+
+
 @pytest.fixture(scope="module")
 def observed():
     rng = random.Random(8)
