@@ -24,20 +24,23 @@ from firnflow.llm.common import stored, whole
 
 WINDOW = 4096
 END_ID = 2
-REMEMBERED = 600_000  # words kept by each task
+REMEMBERED = 1_000_000  # words, and stretches between white space, kept by each task: some 160 MB
+LONGEST = 64  # characters of one that is kept
 BATCH = 2_000
 
 # Up to here characters are already composed and lower-case one by one, so words can be told apart beforehand.
 _SIMPLE = "ſ"
 _LETTERS = "".join(re.escape(chr(c)) for c in range(ord(_SIMPLE) + 1) if unicodedata.category(chr(c))[0] == "L")
 _NUMBERS = "".join(re.escape(chr(c)) for c in range(ord(_SIMPLE) + 1) if unicodedata.category(chr(c))[0] == "N")
+# With the controls 28 to 31 out of the way, these are what str.split takes for white space as well.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_WHITE}{_LETTERS}{_NUMBERS}]+")
-_OTHER = re.compile(f"[^\\x00-{_SIMPLE}]|<\\|(?:startoftext|endoftext)\\|>")
+_OTHER = re.compile(f"[^\\x00-\\x1b\\x20-{_SIMPLE}]")
+_SPECIAL = "<|"
 
 
 class Words(dict):
-    """Ids of words as little-endian unsigned 32-bit integers, encoded by the library when first met."""
+    """Ids, as little-endian unsigned 32-bit integers, of words and of stretches between white space, learnt when first met."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
@@ -47,8 +50,6 @@ class Words(dict):
 
     def learn(self, words: Iterable[str]) -> None:
         """Encodes new words in one call, as one text, and tells them apart by the ids that end a word."""
-        if len(self) > REMEMBERED:
-            self.clear()
         words = [w for w in words if w not in self]
         held: list[int] = []
         ends, order = self.ends, iter(words)
@@ -58,6 +59,22 @@ class Words(dict):
                 self[next(order)] = struct.pack(f"<{len(held)}I", *held)
                 held = []
 
+    def found(self, stretches: list[str]) -> bytes:
+        """Ids of all stretches, one after the other, of which some are new."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        new = {s for s in stretches if s not in self}
+        cut = {s: _WORDS.findall(s) for s in new if not s.isalpha()}
+        words = {s for s in new if s not in cut}.union(*cut.values())
+        self.learn(words)
+        for s, own in cut.items():
+            self[s] = b"".join([self[w] for w in own])
+        out = b"".join([self[s] for s in stretches])
+        for s in new | words:
+            if len(s) > LONGEST:
+                del self[s]
+        return out
+
 
 @cache
 def loaded(path: str) -> Words:
@@ -66,16 +83,15 @@ def loaded(path: str) -> Words:
 
 def token_bytes(words: Words, text: str) -> bytes:
     """Ids of a text.  The tokenizer's words are independent of each other; texts with characters beyond the simple ones, or
-    that spell a special token, go to the library whole, with the same result."""
-    if _OTHER.search(text):
+    that may spell a special token, go to the library whole, with the same result."""
+    if _OTHER.search(text) or _SPECIAL in text:
         ids = words.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
-    found = _WORDS.findall(text.lower())
+    stretches = text.lower().split()
     try:
-        return b"".join(map(words.__getitem__, found))
+        return b"".join(map(words.__getitem__, stretches))
     except KeyError:
-        words.learn(set(found))
-        return b"".join(map(words.__getitem__, found))
+        return words.found(stretches)
 
 
 def tokens(docs: DataFrame, path: str) -> DataFrame:
