@@ -306,6 +306,57 @@ def test_pipeline(spark, sf_dir):
     assert not any(brute_base(t) for t in kept.values())
 
 
+def test_pipeline_odd(spark, odd, empty):
+    """Every stage takes nulls, repeats and clashing names, and gives the columns of its input; an empty table stays empty."""
+    import corpus_pipeline
+
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        for docs in (odd, empty):
+            got = stage(spark, docs, "")
+            assert got.columns == docs.columns and got.dtypes == docs.dtypes
+            assert got.count() <= docs.count()
+    assert corpus_pipeline.sequences(spark, empty, "").count() == 0
+
+
+def test_packing_odd(spark, odd):
+    """A null and a repeated doc_id are documents of their own, and each id lies in one piece."""
+    tokenizer = Tokenizer.from_file(WORD_PATH)
+    want = sum(len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in odd.collect())
+    got = packing.packed(odd, WORD_PATH, 64).toPandas()
+    assert got["length"].sum() == want and got["doc_id"].isna().any()
+    assert (got["ids"].map(len) == 4 * got["length"]).all() and got["length"].min() > 0
+
+
+def test_packing_memory(monkeypatch):
+    """What is remembered may be given up at any time; long stretches are never kept."""
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    tokenizer = Tokenizer.from_file(WORD_PATH)
+    words = packing.Words(tokenizer)
+    rng = np.random.default_rng(6)
+    letters = list("abcé'.,19-   ") + ["n't", "'s ", "x" * 80, "y" * 80 + "."]
+    for _ in range(500):
+        t = "".join(rng.choice(letters, rng.integers(0, 60)))
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.token_bytes(words, t) == struct.pack(f"<{len(ids)}I", *ids), t
+        assert all(len(s) <= packing.LONGEST for s in words)
+    for t in ("a\x1cb", "<|endoftext|>", "<|", "<| endoftext|>", "\x85\xa0", "ªº²½"):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.token_bytes(words, t) == struct.pack(f"<{len(ids)}I", *ids), t
+
+
+def test_language_long(spark, sf_dir):
+    """A very long text is read whole: what one language fills for the most part is of that language, wherever it stands."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = language.fitted(docs)
+    own = {r["lang"]: r["t"] for r in docs.groupBy("lang").agg(F.concat_ws(" ", F.slice(F.collect_list("text"), 1, 40)).alias("t")).collect() if r["lang"]}
+    model = language.Classifier(learned)
+    first, second = sorted(own)[:2]
+    for most, few in ((first, second), (second, first)):
+        text = own[few][:5_000] + " " + (own[most] + " ") * (200_000 // max(1, len(own[most])) + 1)
+        assert model.predict(text)[0] == most
+    assert model.predict("1234 -- 99")[0] == model.predict(None)[0] == "und"
+
+
 def test_types(spark, sf_dir):
     want = {
         "op1_pii": {"n_email": T.LongType, "spans": T.StringType}, "op3_sharding": {"shard": T.IntegerType, "grown_shard": T.IntegerType, "slot": T.LongType},
