@@ -58,7 +58,8 @@ class Block(NamedTuple):
     text: str
     linked: int  # characters of it that are links
     path: tuple[int, ...]  # hashes of the elements round it
-    main: bool  # inside an article or main element
+    main: str  # "article" or "main" inside such an element, or empty
+    unit: int  # which of the page's article and main elements, from 1
     side: bool  # inside a menu, notice, form and so on
 
     def token(self) -> int:
@@ -69,6 +70,7 @@ class _Element(NamedTuple):
     tag: str
     path: int
     main: str
+    unit: int
     side: bool
     link: bool
 
@@ -78,9 +80,9 @@ def parsed(page: str) -> tuple[list[Block], dict[int, int], dict[int, int]]:
     blocks: list[Block] = []
     counts: dict[int, int] = {}
     above: dict[int, int] = {}
-    stack: list[_Element] = [_Element("", 0, "", False, False)]
+    stack: list[_Element] = [_Element("", 0, "", 0, False, False)]
     held: list[str] = []
-    linked = 0
+    linked = units = 0
     pos, n = 0, len(page)
 
     def close_block() -> None:
@@ -89,7 +91,7 @@ def parsed(page: str) -> tuple[list[Block], dict[int, int], dict[int, int]]:
             text = " ".join("".join(held).split())
             if text:
                 top = stack[-1]
-                blocks.append(Block(text, linked, tuple(e.path for e in stack[1:]), top.main, top.side))
+                blocks.append(Block(text, linked, tuple(e.path for e in stack[1:]), top.main, top.unit, top.side))
             held.clear()
             linked = 0
 
@@ -160,6 +162,9 @@ def parsed(page: str) -> tuple[list[Block], dict[int, int], dict[int, int]]:
                 main = "article"
         if tag == "article" or tag == "main" and not main or role in ("main", "article") and not main:
             main = "article" if tag == "article" or role == "article" else "main"
+        unit = near.unit
+        if main != near.main:
+            unit = units = units + 1
         side = near.side or hidden or tag in _SIDE_TAGS or role in _SIDE_ROLES or bool(names and _SIDE_NAMES.search(names))
         if not main and (tag == "header" or names and _HEAD_NAMES.search(names)):
             side = True
@@ -168,7 +173,7 @@ def parsed(page: str) -> tuple[list[Block], dict[int, int], dict[int, int]]:
             above[path] = near.path
         counts[path] = counts.get(path, 0) + 1
         if not attributes.rstrip().endswith("/") or tag in _BLOCKS:
-            stack.append(_Element(tag, path, main, side, near.link or tag == "a"))
+            stack.append(_Element(tag, path, main, unit, side, near.link or tag == "a"))
     close_block()
     return blocks, counts, above
 
@@ -182,44 +187,51 @@ def _close(stack: list[_Element], tags: tuple[str, ...], limits) -> None:
             return
 
 
+def _letters(blocks: list[Block]) -> int:
+    return sum(len(b.text.replace(" ", "")) for b in blocks)
+
+
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
-    """Blocks of the article, joined by newlines.
+    """Blocks of the slots that hold main text, joined by newlines.
 
-    An article or main element is taken whole but for menus, notices, adverts, forms and comments inside.  Without one, template
-    text goes, and so do slots that hold links for the most part.
+    Menus, notices, adverts, forms and comments go, and so does template text, also inside articles; but where it is most of
+    their text, the host's pages are copies of one another, and it stays.  An article or main element is one slot and evidence
+    for its text: it goes only if it holds links for the most part and other text outweighs it, as with teasers.  Other slots go
+    if they hold links for the most part.
     """
     blocks, _, _ = parsed(page)
     kept = [b for b in blocks if not b.side]
-    for kind in ("article", "main"):
-        inside = [b for b in kept if b.main == kind]
-        if inside:
-            if kind == "article":
-                return "\n".join(b.text for b in inside)
-            return "\n".join(b.text for b in kept if b.main)
-    kept = [b for b in kept if b.token() not in template]
-    slots: dict[int, list[int]] = {}
+    if template:
+        fixed = {t for b in kept if (t := b.token()) in template}
+        inside = [b for b in kept if b.main]
+        copied = 2 * _letters([b for b in inside if b.token() in fixed]) > _letters(inside)
+        kept = [b for b in kept if b.main and copied or b.token() not in fixed]
+    slots: dict[tuple[int, int], list[Block]] = {}
     own = []
     for b in kept:
-        slot = next((p for p in reversed(b.path) if p in template), 0)
-        own.append(slot)
-        total = slots.setdefault(slot, [0, 0])
-        total[0] += len(b.text.replace(" ", ""))
-        total[1] += b.linked
-    return "\n".join(b.text for b, s in zip(kept, own) if 2 * slots[s][1] <= slots[s][0])
+        own.append((b.unit, 0) if b.unit else (0, next((p for p in reversed(b.path) if p in template), 0)))
+        slots.setdefault(own[-1], []).append(b)
+    size = {s: _letters(x) for s, x in slots.items()}
+    links = {s for s, x in slots.items() if 2 * sum(b.linked for b in x) > size[s]}
+    prose = sum(n for s, n in size.items() if s not in links)
+    gone = {s for s in links if not s[0] or prose > size[s]}
+    return "\n".join(b.text for b, s in zip(kept, own) if s not in gone)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Elements and, outside of articles, text blocks of each page, with the element round them and how often they stand there."""
+    """Elements and text blocks of each page, with the element round an element and how often they stand there.
+
+    A block's element stands wherever the block does, so it has none to look for.
+    """
     for b in batches:
         at, tokens, times, rounds = [], [], [], []
         for i, p in enumerate(b.column("html")):
             blocks, counts, above = parsed(p.as_py())
             texts: dict[int, int] = {}
             for x in blocks:
-                if not x.main:
-                    t = x.token()
-                    texts[t] = texts.get(t, 0) + 1
-                    above.setdefault(t, x.path[-1] if x.path else 0)
+                t = x.token()
+                texts[t] = texts.get(t, 0) + 1
+                above[t] = 0
             own = {**counts, **texts}
             at += [i] * (len(own) + 1)
             tokens += [0, *own]

@@ -289,6 +289,27 @@ def test_html(spark):
     assert got[100] == got[101] == got[103] == "" and got[102] == "only open < 3" and got[104] == "T\na b\nc"
 
 
+def html_texts(spark, pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, page struct<url:string,html:string>").select("page_id", "page.*")
+    return [r["text"] for r in html_text.extracted(df).orderBy("page_id").collect()]
+
+
+def test_html_articles(spark):
+    """Articles are evidence: teasers do not displace the main text, and what all of a host's articles repeat goes."""
+    cards = "".join(f"<article><a href=/{i}>Teaser {{0}} {i}</a></article>" for i in range(3))
+    teasers = f"<body><main><h1>T{{0}}</h1><p>Main text of page {{0}}, longer than its teasers.</main>{cards}</body>"
+    beside = f"<body><div><p>Main text of page {{0}}, longer than its teasers.</p></div>{cards}</body>"
+    notice = "<body><article><h1>T{0}</h1><p>Own text of page {0}.</p><p>Part of our series.</p></article><div>More on page {0}</div></body>"
+    copies = "<body><article><h1>Same</h1><p>The same text on all pages.</p></article></body>"
+    kinds = {"http://a.example/": teasers, "http://b.example/": beside, "http://c.example/": notice, "http://d.example/": copies}
+    got = html_texts(spark, [(url, page.format(f"n{i}")) for url, page in kinds.items() for i in range(7)])
+    assert got[:7] == [f"Tn{i}\nMain text of page n{i}, longer than its teasers." for i in range(7)]
+    assert got[7:14] == [f"Main text of page n{i}, longer than its teasers." for i in range(7)]
+    assert got[14:21] == [f"Tn{i}\nOwn text of page n{i}.\nMore on page n{i}" for i in range(7)]
+    assert got[21:] == ["Same\nThe same text on all pages."] * 7
+    assert html_texts(spark, [(None, "<article><a>Only links</a></article>")]) == ["Only links"]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
