@@ -1,8 +1,9 @@
 """Main text of web pages, by deducing each host's template from equivalence classes of tokens.
 
 Tokens are elements, told apart by their path, and whole text blocks.  A token's occurrence vector, how often it stands on each
-page of its host, is kept as a hash that adds up over pages, so that no task needs all pages of a host.  Tokens with the same
-vector form a class; classes that are large, stand on every page and whose elements nest in one another make up the template.
+page of its host, is kept as MinHash samples, which combine over pages, so that no task needs all pages of a host.  Tokens that
+share a sample form a class; their vectors are equal but for a few pages, such as those cut off or with an error.  Classes that
+are large, stand on most pages and whose elements nest in one another make up the template.
 What remains are slots: runs of text in the deepest template element round them.  Template text goes, as do slots that the
 template marks as menus, notices and the like, or that hold links for the most part.
 """
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from firnflow.llm.common import stored, whole
 
 FEWEST_PAGES = 5  # of a host; with fewer, what is equal on all may be content
+SUPPORT = 0.75  # share of a host's pages on which a template's tokens stand; others may be broken
 LARGE = 3  # tokens of a class
+SAMPLES = 3  # of an occurrence vector
 BROADCAST_HOSTS = 50_000  # templates sent to all tasks at most; beyond, they are joined by host
 LONGEST_TEMPLATE = 2_000  # tokens of one host's template that are sent; what is beyond is joined
 
@@ -233,6 +236,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts[t] = texts.get(t, 0) + 1
                 above[t] = 0
             own = {**counts, **texts}
+            if not own:
+                continue
             at += [i] * (len(own) + 1)
             tokens += [0, *own]
             times += [1, *own.values()]
@@ -247,19 +252,21 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host and the tokens of its template: those of large classes that stand on every page, elements nested in one another.
+    """host and the tokens of its template: those of large classes that stand on most pages, elements nested in one another.
 
-    A template is no longer than the shortest page of its host, as all of it stands there.
+    Pages without tokens, as null and empty ones, do not count.  A template has at most 4/3 of the tokens of a mean page.
     """
     rows = pages.mapInArrow(_tokens, "host string, page long, token long, above long, times long")
-    vectors = rows.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("page", "times")).alias("vector"), F.min("above").alias("above")
-    )
-    vectors = stored(vectors.where(F.col("n") >= FEWEST_PAGES), "html-vectors")
-    hosts = vectors.where("token = 0").select("host", F.col("n").alias("pages"))
-    everywhere = vectors.where("token <> 0").join(hosts, "host").where("n = pages")
-    large = everywhere.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("host", "vector")
-    valid = stored(everywhere.join(large, ["host", "vector"]).select("host", "token", "above"), "html-classes")
+    least = [F.min(F.xxhash64(F.lit(i), "page", "times")).alias(f"least{i}") for i in range(SAMPLES)]
+    vectors = rows.groupBy("host", "token").agg(F.count(F.lit(1)).alias("n"), *least, F.min("above").alias("above"))
+    vectors = stored(vectors.where(F.col("n") >= SUPPORT * FEWEST_PAGES), "html-vectors")
+    hosts = vectors.where("token = 0").select("host", F.col("n").alias("pages")).where(F.col("pages") >= FEWEST_PAGES)
+    most = vectors.where("token <> 0").join(hosts, "host").where(F.col("n") >= SUPPORT * F.col("pages"))
+    shared = F.posexplode(F.array(*(f"least{i}" for i in range(SAMPLES)))).alias("sample", "least")
+    classed = stored(most.select("host", "token", "above", shared), "html-samples")
+    large = classed.groupBy("host", "sample", "least").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).drop("size")
+    valid = classed.join(large, ["host", "sample", "least"], "left_semi").select("host", "token", "above").distinct()
+    valid = stored(valid, "html-classes")
     nested = valid.join(valid.select("host", F.col("token").alias("above")), ["host", "above"], "left_semi")
     nested = nested.unionByName(valid.where("above = 0"))
     return nested.groupBy("host").agg(F.collect_list("token").alias("template"))

@@ -310,6 +310,17 @@ def test_html_articles(spark):
     assert html_texts(spark, [(None, "<article><a>Only links</a></article>")]) == ["Only links"]
 
 
+def test_html_broken_pages(spark):
+    """Empty, null, error and cut-off pages leave a large host its template; five pages of text beside an empty one suffice."""
+    page = "<body><div id=top>Welcome to us</div><div class=c><p>Own text {0}</p><p>More {0}</p></div><div>All rights</div><p>The end</p></body>"
+    good = [page.format(f"n{i}") for i in range(200)]
+    cut = [page[: 30 + 3 * i].format(f"c{i}") for i in range(20) if "{" not in page[28 + 3 * i : 34 + 3 * i]]
+    pages = [*good, "", None, "<h1>502 Bad gateway</h1>", *cut]
+    got = html_texts(spark, [("http://h.example/", x) for x in pages] + [("http://i.example/", x) for x in [*good[:5], None]])
+    assert got[:200] == [f"Own text n{i}\nMore n{i}" for i in range(200)] and got[len(pages) :] == [*got[:5], ""]
+    assert got[200:203] == ["", "", "502 Bad gateway"]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
