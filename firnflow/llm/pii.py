@@ -76,6 +76,19 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or "0") <= 255
 
 
+def _accounts(text: str):
+    """Account numbers from the left: after one the search goes on at its end, after a proposal without one at its next word."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        # Capital words may follow an account number: the longest cut at a space that the checksum confirms.
+        part = m.group()
+        while part and not (15 <= len(part.replace(" ", "")) <= 34 and mod97(part.replace(" ", ""))):
+            part = part.rpartition(" ")[0]
+        at = m.start() + len(part or m.group().partition(" ")[0])
+        if part:
+            yield m.start(), at
+
+
 def spans(text: str) -> list[Span]:
     """All spans by start, then kind; positions in code points, ends exclusive."""
     found: list[tuple[int, int, int]] = []
@@ -87,13 +100,7 @@ def spans(text: str) -> list[Span]:
             found.append((m.start(), 2, m.end()))
     if "+" in text:
         found += [(m.start(), 3, m.end()) for m in _PHONE.finditer(text) if 10 <= len(_NOT_DIGIT.sub("", m.group())) <= 15]
-    for m in _IBAN.finditer(text):
-        # Capital words may follow an account number: the longest cut at a space that the checksum confirms.
-        part = m.group()
-        while part and not (15 <= len(part.replace(" ", "")) <= 34 and mod97(part.replace(" ", ""))):
-            part = part.rpartition(" ")[0]
-        if part:
-            found.append((m.start(), 4, m.start() + len(part)))
+    found += [(s, 4, e) for s, e in _accounts(text)]
     found += [(m.start(), 5, m.end()) for m in _SSN.finditer(text)]
     found += [(m.start(), 6, m.end()) for m in _KEY.finditer(text)]
     for m in _SECRET.finditer(text):
