@@ -24,8 +24,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.deduplicated(docs)
 
 
+NEAR_PERCENT = 80  # of two documents' shingles that make them near copies; the stage has no contract of its own
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_dedup.deduplicated(docs)
+    return minhash_dedup.deduplicated(docs, NEAR_PERCENT)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

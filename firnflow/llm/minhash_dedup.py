@@ -12,7 +12,9 @@ blocks that carry whole texts: the most similar first, as long as their componen
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,24 +25,47 @@ from pyspark.sql import functions as F
 from firnflow.llm.common import components, groups_of, in_blocks, stored, whole
 
 WORDS = 5
-PERCENT = 85
-BANDS, ROWS = 25, 5  # two documents at 0.85 share no band with a chance of 4e-7
-SAMPLES = BANDS * ROWS
+PERCENT = 85  # of op4; a caller without a threshold of its own takes less, see ``planned``
+ROWS = 5  # samples of a band
+MISSED = 4.5e-7  # chance that two documents at the threshold share no band
 SKETCH = 512  # bits
-# Five standard deviations above what differs at 0.85: 18.75 samples of 125, so 35 bits, give or take 7.
-MOST_BITS = 71
+DEVIATIONS = 5  # above the bits that differ at the threshold, up to which sketches are let through
 BLOCK = 384  # documents of a bucket that one task compares with as many others
 MEMBERS = 256  # compared with one copy of their leader
 REMEMBERED = 500_000
 
-_RNG = np.random.default_rng(20_240_517)
-_FACTORS = (_RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_SHIFTS = _RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)
-_BAND_MIX = _RNG.integers(0, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
-_WORD_MIX = _RNG.integers(0, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
+_WORD_MIX = np.random.default_rng(20_240_518).integers(0, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # public finaliser constants of a 64-bit mix
 
 
+class Plan(NamedTuple):
+    """What follows from the threshold."""
+
+    percent: int
+    bands: int
+    most_bits: int  # of two sketches that differ
+    factors: np.ndarray
+    shifts: np.ndarray
+    band_mix: np.ndarray
+
+
+def planned(percent: int) -> Plan:
+    """Bands of ``ROWS`` samples and the bound on sketches; 25 bands and 71 bits at 85, 37 and 110 at 80."""
+    alike = percent / 100
+    bands = 1 if percent >= 100 else math.ceil(math.log(MISSED) / math.log1p(-(alike**ROWS)))
+    n = bands * ROWS
+    # Each sample that differs flips two bits; some of these meet.
+    flips = 2 * n * (1 - alike)
+    left = math.exp(-2 * flips / SKETCH)
+    mean = SKETCH / 2 * (1 - left)
+    spread = (2 * left) ** 2 * n * alike * (1 - alike) + SKETCH / 4 * (1 - left**2) - flips * left**2
+    most = math.ceil(mean + DEVIATIONS * math.sqrt(max(spread, 0)))
+    rng = np.random.default_rng(20_240_517)
+    factors = (rng.integers(0, 1 << 32, n, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+    shifts = rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32)
+    return Plan(percent, bands, most, factors, shifts, rng.integers(0, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _A
     x = (x ^ (x >> np.uint64(33))) * _B
@@ -79,33 +104,33 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def samples(hashes: np.ndarray) -> np.ndarray:
+def samples(hashes: np.ndarray, plan: Plan) -> np.ndarray:
     """The smallest value of the set under each of the hash functions."""
-    low = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
+    low = np.full(len(plan.factors), 0xFFFFFFFF, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(short), 1024):
         part = short[i : i + 1024, None]
-        values = part * _FACTORS
+        values = part * plan.factors
         values ^= values >> np.uint32(15)
-        values += _SHIFTS
+        values += plan.shifts
         values *= np.uint32(0x9E3779B1)
         np.minimum(low, values.min(0), out=low)
     return low
 
 
-def bands_of(low: np.ndarray) -> np.ndarray:
-    rows = low.reshape(BANDS, ROWS).astype(np.uint64)
-    return _mixed((rows * _BAND_MIX).sum(1) + np.arange(BANDS, dtype=np.uint64) * _A).view(np.int64)
+def bands_of(low: np.ndarray, plan: Plan) -> np.ndarray:
+    rows = low.reshape(plan.bands, ROWS).astype(np.uint64)
+    return _mixed((rows * plan.band_mix).sum(1) + np.arange(plan.bands, dtype=np.uint64) * _A).view(np.int64)
 
 
 def odd_sketch(low: np.ndarray) -> bytes:
     """Each sample flips one bit of the bitmap; equal samples of two documents flip the same."""
-    at = _mixed(low.astype(np.uint64) + (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32))) % np.uint64(SKETCH)
+    at = _mixed(low.astype(np.uint64) + (np.arange(len(low), dtype=np.uint64) << np.uint64(32))) % np.uint64(SKETCH)
     odd = np.bincount(at.astype(np.int64), minlength=SKETCH) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _profiles(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     for b in batches:
         same, sizes, bands, sketches = [], [], [], []
         for t in b.column("text"):
@@ -113,8 +138,8 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shingles(words)
             same.append(xxhash.xxh3_128_digest(b" ".join(words)))
             sizes.append(len(s))
-            low = samples(s)
-            bands.append(bands_of(low).tobytes())
+            low = samples(s, plan)
+            bands.append(bands_of(low, plan).tobytes())
             sketches.append(odd_sketch(low))
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary())],
@@ -122,24 +147,24 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _opened(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """One row per band."""
     for b in batches:
         raw = b"".join(b.column("bands").to_pylist())
-        at = np.repeat(np.arange(b.num_rows), BANDS)
+        at = np.repeat(np.arange(b.num_rows), plan.bands)
         yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at)), pa.array(np.frombuffer(raw, "<i8"))], ["doc_id", "bucket"])
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches and sizes allow the threshold."""
     for b in batches:
         x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sketch_a", "sketch_b"))
         n, m = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-        good = (np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= MOST_BITS) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+        good = (np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= plan.most_bits) & (100 * np.minimum(n, m) >= plan.percent * np.maximum(n, m))
         yield b.select(["a", "b"]).filter(pa.array(good))
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirmed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """Sorted rows of a leader followed by its members: members whose sets meet the threshold."""
     leader, own = None, np.empty(0, np.uint64)
     for b in batches:
@@ -152,13 +177,13 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raise ValueError("a member came before its leader")
             other = shingles(words_of(t.as_py()))
             both = len(np.intersect1d(own, other, assume_unique=True))
-            if 100 * both >= PERCENT * (len(own) + len(other) - both):
+            if 100 * both >= plan.percent * (len(own) + len(other) - both):
                 a.append(lead)
                 doc.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(doc, pa.int64())], ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     """Pairs (a, b) that meet the threshold on whole sets.  A leader's text is sent once for every ``MEMBERS`` members."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(counts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -167,10 +192,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         leaders.select("a", "part", F.col("a").alias("doc_id"), F.lit(True).alias("lead"))
     )
     rows = wanted.join(texts, "doc_id").repartition("a", "part").sortWithinPartitions("a", "part", F.col("lead").desc())
-    return stored(rows.select("a", "doc_id", "lead", "text").mapInArrow(_confirmed, "a long, b long"), "minhash-links")
+    return stored(rows.select("a", "doc_id", "lead", "text").mapInArrow(lambda batches: _confirmed(batches, plan), "a long, b long"), "minhash-links")
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apart(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """Rows of a group that have partners: documents of other components that the sketches allow, the most similar first.
 
     A pair belongs to the first band that both share, so that it is looked at once.
@@ -182,13 +207,13 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band = int(np.flatnonzero(bands[0] == g["bucket"][0])[0])
         good = (comp[:, None] != comp[None, :]) & (doc[:, None] < doc[None, :])
         good &= (g["_block"][:, None] == g["_block"][None, :]) == bool(g["_inner"][0])
-        good &= 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
+        good &= 100 * np.minimum(n[:, None], n[None, :]) >= plan.percent * np.maximum(n[:, None], n[None, :])
         a, b = np.nonzero(good)
         found = []
         for lo in range(0, len(a), 50_000):
             i, j = a[lo : lo + 50_000], b[lo : lo + 50_000]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
-            keep = differ <= MOST_BITS
+            keep = differ <= plan.most_bits
             i, j, differ = i[keep], j[keep], differ[keep]
             keep = ~(bands[i, :band] == bands[j, :band]).any(1)
             found.append((i[keep], j[keep], differ[keep]))
@@ -208,7 +233,7 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joining(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """Links between components of a group, confirmed on whole sets; pairs that links so far have joined are not looked at."""
     for g in groups_of(batches, ["doc_id", "component", "partners", "text"]):
         sets = {d: shingles(words_of(t)) for d, t in zip(g["doc_id"].tolist(), g["text"])}
@@ -230,7 +255,7 @@ def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 theirs = sets[other]
                 both = len(np.intersect1d(own, theirs, assume_unique=True))
-                if 100 * both >= PERCENT * (len(own) + len(theirs) - both):
+                if 100 * both >= plan.percent * (len(own) + len(theirs) - both):
                     parent[max(x, y)] = min(x, y)
                     a.append(d)
                     b.append(other)
@@ -238,16 +263,17 @@ def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
-    Links join documents whose sets share at least 85 of 100 parts of their union.  A null text, or one without words, has no
+    Links join documents whose sets share at least ``percent`` of 100 parts of their union.  A null text, or one without words, has no
     shingles and links with nothing; fewer than five words are one shingle.  Rows of one doc_id are one node; of equal rows each
     is returned.  A null doc_id links with nothing, has no component and is kept.  Other columns are ignored and may have any name.
     """
+    plan = planned(percent)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
     shape = "doc_id long, same binary, n_shingles long, bands binary, sketch binary"
-    profiles = stored(texts.mapInArrow(_profiles, shape), "minhash-profiles")
+    profiles = stored(texts.mapInArrow(lambda batches: _profiles(batches, plan), shape), "minhash-profiles")
     usable = profiles.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Equal sequences of words: one document stands for them.
     same = stored(usable.groupBy("same").agg(F.min("doc_id").alias("rep")), "minhash-copies")
@@ -256,13 +282,13 @@ def classes(docs: DataFrame) -> DataFrame:
     narrow = reps.select("doc_id", "n_shingles", "sketch")
     standing = texts.where("doc_id IS NOT NULL").join(reps.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
-    buckets = reps.select("doc_id", "bands").mapInArrow(_opened, "doc_id long, bucket long")
+    buckets = reps.select("doc_id", "bands").mapInArrow(lambda batches: _opened(batches, plan), "doc_id long, bucket long")
     shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     entries = stored(buckets.join(shared, "bucket"), "minhash-buckets")
     pairs = entries.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     sides = pairs.join(narrow.toDF("a", "n_a", "sketch_a"), "a").join(narrow.toDF("b", "n_b", "sketch_b"), "b")
-    pairs = stored(sides.mapInArrow(_alike, "a long, b long"), "minhash-candidates")
-    links = confirmed(pairs, standing)
+    pairs = stored(sides.mapInArrow(lambda batches: _alike(batches, plan), "a long, b long"), "minhash-candidates")
+    links = confirmed(pairs, standing, plan)
     found = components(links, "minhash-components")
 
     # Buckets of three or more in which the smallest one has not connected all.
@@ -272,11 +298,11 @@ def classes(docs: DataFrame) -> DataFrame:
     dealt = in_blocks(placed.join(mixed, "bucket"), ["bucket"], "doc_id", BLOCK).join(reps, "doc_id")
     names = ["_group", "doc_id", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]
     dealt = dealt.select(*names).repartition("_group").sortWithinPartitions("_group")
-    apart = stored(dealt.mapInArrow(_apart, "_group long, doc_id long, component long, partners binary"), "minhash-apart")
+    apart = stored(dealt.mapInArrow(lambda batches: _apart(batches, plan), "_group long, doc_id long, component long, partners binary"), "minhash-apart")
     if not apart.isEmpty():
         both = apart.join(standing, "doc_id").select("_group", "doc_id", "component", "partners", "text")
         both = both.repartition("_group").sortWithinPartitions("_group", "doc_id")
-        new = stored(both.mapInArrow(_joining, "a long, b long"), "minhash-links")
+        new = stored(both.mapInArrow(lambda batches: _joining(batches, plan), "a long, b long"), "minhash-links")
         if not new.isEmpty():
             found = components(links.unionByName(new), "minhash-components")
 
@@ -288,7 +314,7 @@ def classes(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document stays: one of each component."""
-    gone = classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = classes(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

@@ -245,6 +245,22 @@ def test_minhash_chain(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_minhash_stage(spark):
+    """Documents at 0.80 to 0.85 are near copies in the pipeline's stage and none in op4."""
+    import corpus_pipeline
+
+    assert [minhash_dedup.planned(p)[1:3] for p in (85, 80)] == [(25, 71), (37, 110)]
+    texts = []
+    for i in range(40):
+        words = [f"s{i}w{k}" for k in range(104)]
+        texts += [" ".join(words), " ".join([*words[:94], *(f"s{i}x{k}" for k in range(10))])]  # 90 of 110 shingles
+        texts.append(" ".join([*words[:90], *(f"s{i}y{k}" for k in range(14))]))  # 86 of 114, and 86 of 114
+    docs = table(spark, texts)
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()}
+    assert kept == {i for i in range(120) if i % 3 != 1}
+    assert minhash_dedup.deduplicated(docs).count() == 120
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     rows, at = [], 0
