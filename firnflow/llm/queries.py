@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnflow.llm import embedding_dedup, exact_dedup, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
+from firnflow.llm import embedding_dedup, exact_dedup, filter_audit, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
 from firnflow.llm.common import table, whole
 
 
@@ -59,10 +59,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.grouped(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_embedding_dedup, op3_sharding, op4_minhash_dedup, op5_line_dedup, op6_html_text, op7_language, op8_piece_bpe, op9_packing,
-              op10_exact_dedup)
+              op10_exact_dedup, op13_filter_audit)
 }
 
 ORACLES = {
@@ -122,4 +126,44 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
                sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op13_filter_audit": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), known AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+        ), failed AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   {'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+                    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+                    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+            FROM words LEFT JOIN known USING (doc_id)
+        ), marks AS (
+            SELECT part, CASE WHEN f['A'] THEN 'A' ELSE '' END || CASE WHEN f['B'] THEN 'B' ELSE '' END || CASE WHEN f['C'] THEN 'C' ELSE '' END
+                   || CASE WHEN f['D'] THEN 'D' ELSE '' END || CASE WHEN f['E'] THEN 'E' ELSE '' END AS fails,
+                   count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM failed GROUP BY ALL
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[1:step - 1] AS before
+                     FROM orders, range(1, 6) r(step)
+        ), found AS (
+            SELECT part, filter_order, step, own,
+                   sum(n) FILTER (fails = '' OR translate(fails, before || own, '') = fails) AS kept,
+                   sum(n) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS removed,
+                   sum(n) FILTER (contains(fails, own) AND translate(fails, before, '') <> fails) AS redundant,
+                   sum(n) FILTER (fails = own) AS unique_fails,
+                   sum(good) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS good_lost,
+                   sum(toxic) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS toxic_lost
+            FROM marks, steps GROUP BY ALL
+        )
+        SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+        FROM found""",
 }
