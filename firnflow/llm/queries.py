@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnflow.llm import embedding_dedup, exact_dedup, filter_audit, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
+from firnflow.llm import (
+    embedding_dedup, exact_dedup, filter_audit, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding, warc,
+)
 from firnflow.llm.common import table, whole
+from firnflow.session import shared_folder
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.grouped(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = shared_folder(spark, "warc")
+    warc.written(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    rows = warc.read(spark, folder, payloads=False)
+    return rows.select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,7 +80,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_embedding_dedup, op3_sharding, op4_minhash_dedup, op5_line_dedup, op6_html_text, op7_language, op8_piece_bpe, op9_packing,
-              op10_exact_dedup, op13_filter_audit)
+              op10_exact_dedup, op11_warc, op13_filter_audit)
 }
 
 ORACLES = {
@@ -126,6 +140,16 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
                sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op11_warc": r"""
+        WITH p AS (
+            SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+                   row_number() OVER w AS nth, first_value(page_id) OVER w AS first
+            FROM pages WINDOW w AS (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST)
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND nth > 1 AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first END AS refers_to
+        FROM p""",
     "op13_filter_audit": r"""
         WITH words AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
