@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnflow.llm import (
-    embedding_dedup, exact_dedup, filter_audit, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding, warc,
+    collocations, embedding_dedup, exact_dedup, filter_audit, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding, warc,
 )
 from firnflow.llm.common import table, whole
 from firnflow.session import shared_folder
@@ -73,6 +73,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -80,7 +84,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_embedding_dedup, op3_sharding, op4_minhash_dedup, op5_line_dedup, op6_html_text, op7_language, op8_piece_bpe, op9_packing,
-              op10_exact_dedup, op11_warc, op13_filter_audit)
+              op10_exact_dedup, op11_warc, op12_collocations, op13_filter_audit)
 }
 
 ORACLES = {
@@ -150,6 +154,32 @@ ORACLES = {
                CASE WHEN payload_bytes >= 100 AND nth > 1 AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first END AS refers_to
         FROM p""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+        ), f AS (
+            SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM places, range(1, 6) r(k)
+            WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+        ), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+        ), split AS (SELECT *, string_split(phrase, ' ') AS w FROM f
+        ), inside AS (
+            SELECT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, max(a) AS longer FROM split, range(2, 5) r(k), range(1, 5) p(s)
+            WHERE k < size AND s + k - 1 <= size GROUP BY ALL
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, n, CAST(1000 * CAST(c.a AS HUGEINT) * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+            FROM split c JOIN totals USING (lang) LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+            JOIN range(1, 5) q(k) ON k < c.size
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+            WHERE c.size > 1 AND NOT coalesce(100 * longer >= 100 * c.a, false)
+        ), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+        FROM lowest QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000""",
     "op13_filter_audit": r"""
         WITH words AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
