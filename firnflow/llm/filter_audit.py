@@ -164,9 +164,10 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select(docs["doc_id"], F.coalesce(docs["source"].cast("string"), F.lit("")).alias("part"), whole(docs["text"]).alias("_text"))
     key = F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("key")
     rows = stored(texts.select("doc_id", "part", key, text_failures(F.col("_text")).alias("mask")), "filter-audit")
-    firsts = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    marked = rows.join(firsts, "key", "left")
-    repeated = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+    # A text's smallest doc_id is met by (text, doc_id), which no text's copies crowd.
+    firsts = rows.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
+    marked = rows.join(firsts, ["key", "doc_id"], "left")
+    repeated = F.col("doc_id").isNotNull() & F.col("first").isNull()
     marked = marked.select("doc_id", "part", (F.col("mask") + F.shiftleft(repeated.cast("int"), 4)).alias("mask"))
     known = labels.where(labels["doc_id"].isNotNull()).groupBy(labels["doc_id"].alias("doc_id"))
     known = known.agg(F.max((labels["quality"] == 1).cast("int")).alias("good"), F.max((labels["toxic"] == 1).cast("int")).alias("toxic"))
