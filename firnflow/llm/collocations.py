@@ -31,7 +31,8 @@ from firnflow.session import shared_folder
 LEAST = 100  # occurrences of a candidate
 LONGEST = 5  # words
 BEST = 2000  # phrases of a language
-CANDIDATES = 500_000  # of one trie, which then takes some 40 MB
+CANDIDATES = 250_000  # of one trie, which then takes some 20 MB
+LOOKED = 200_000  # places of the double array that are tried at once for a state's children
 ROW_WORDS = 1_000_000  # of one array of word numbers, if no text is longer
 REMEMBERED = 500_000  # different words a task holds before it passes on their counts
 SALTS = 32  # parts of a language that are ranked before the whole
@@ -131,7 +132,7 @@ def trie(phrases: np.ndarray) -> Trie:
 
     width = len(symbols) + 1
     size = 2 * n * depth + 2 * width + 4096
-    base, check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
+    base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
     free = np.ones(size, bool)
     free[0] = False
     full = 1  # no free place is before this one
@@ -143,44 +144,49 @@ def trie(phrases: np.ndarray) -> Trie:
         owner = parent[first]
         starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         ends = np.append(starts[1:], len(owner))
-        # Many children first, while there is room; those of one child then fill any place.
+        # Many children first, while there is room; those of one child then fill any place.  The search goes on from where the
+        # last one ended, and back to the first free place when half as many children are to be placed.
+        at, most = full, 0
         for s, e in sorted(zip(starts.tolist(), ends.tolist()), key=lambda x: x[0] - x[1]):
             if e - s == 1:
                 break
             own = children[s:e]
             low = int(own.min())
-            at = full
+            if 2 * (e - s) <= most or not most:
+                at, most = full, e - s
+            look = 64
             while True:
-                if at + 4096 + width >= len(free):
+                if at + look + width >= len(free):
                     more = len(free)
-                    base, check = np.concatenate([base, np.zeros(more, np.int64)]), np.concatenate([check, np.full(more, -1, np.int64)])
+                    base, check = np.concatenate([base, np.zeros(more, np.int32)]), np.concatenate([check, np.full(more, -1, np.int32)])
                     free = np.concatenate([free, np.ones(more, bool)])
-                places = at + np.flatnonzero(free[at : at + 4096])
+                places = at + np.flatnonzero(free[at : at + look])
                 fits = free[places[:, None] - low + own].all(1) if len(places) else np.zeros(0, bool)
                 if fits.any():
-                    start = int(places[fits.argmax()]) - low
+                    at = int(places[fits.argmax()])
+                    start = at - low
                     break
-                at += 4096
+                at += look
+                look = max(1, min(2 * look, LOOKED // (e - s)))
             base[owner[s]] = start
             free[start + own] = False
             check[start + own] = owner[s]
-            while not free[full]:
-                full += 1
         lone = starts[ends - starts == 1]
         places = np.flatnonzero(free[full:])[: len(lone)] + full
         if len(places) < len(lone):
             more = len(lone)
-            base, check = np.concatenate([base, np.zeros(more, np.int64)]), np.concatenate([check, np.full(more, -1, np.int64)])
+            base, check = np.concatenate([base, np.zeros(more, np.int32)]), np.concatenate([check, np.full(more, -1, np.int32)])
             places = np.append(places, np.arange(len(free), len(free) + len(lone) - len(places)))
             free = np.concatenate([free, np.ones(more, bool)])
         base[owner[lone]] = places - children[lone]
         check[places] = owner[lone]
         free[places] = False
+        full += int(free[full:].argmax())
         state = base[owner] + children
         parent = np.repeat(state, np.diff(np.append(first, n)))
     accepts = np.full(len(free), -1, np.int32)
     accepts[parent] = order
-    return Trie(symbols, rank.astype(np.int32), base.astype(np.int32), check.astype(np.int32), accepts, phrases, depth)
+    return Trie(symbols, rank.astype(np.int32), base, check, accepts, phrases, depth)
 
 
 def matches(t: Trie, numbers: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
