@@ -13,7 +13,7 @@ blocks that carry whole texts: the most similar first, as long as their componen
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -142,9 +142,11 @@ def _profiles(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
             bands.append(bands_of(low, plan).tobytes())
             sketches.append(odd_sketch(low))
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary())],
-            ["doc_id", "same", "n_shingles", "bands", "sketch"],
-        )
+            [b.column("doc_id"), b.column("text_hash"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.binary()),
+             pa.array(sketches, pa.binary())],
+            ["doc_id", "text_hash", "same", "n_shingles", "bands", "sketch"],
+        )
+    _HASHES.clear()
 
 
 def _opened(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
@@ -152,7 +154,7 @@ def _opened(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Record
     for b in batches:
         raw = b"".join(b.column("bands").to_pylist())
         at = np.repeat(np.arange(b.num_rows), plan.bands)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at)), pa.array(np.frombuffer(raw, "<i8"))], ["doc_id", "bucket"])
+        yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at)), pa.array(np.frombuffer(raw, "<i8"))], ["node", "bucket"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
@@ -169,7 +171,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Rec
     leader, own = None, np.empty(0, np.uint64)
     for b in batches:
         a, doc = [], []
-        for lead, i, first, t in zip(*(b.column(n).to_pylist() for n in ("a", "doc_id", "lead")), b.column("text")):
+        for lead, i, first, t in zip(*(b.column(n).to_pylist() for n in ("a", "node", "lead")), b.column("text")):
             if first:
                 leader, own = lead, shingles(words_of(t.as_py()))
                 continue
@@ -181,18 +183,19 @@ def _confirmed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Rec
                 a.append(lead)
                 doc.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(doc, pa.int64())], ["a", "b"])
+    _HASHES.clear()
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs (a, b) that meet the threshold on whole sets.  A leader's text is sent once for every ``MEMBERS`` members."""
+def confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], plan: Plan) -> DataFrame:
+    """Pairs (a, b) that meet the threshold on whole sets; ``texts`` adds the text to rows with a node.  A leader's text is sent once for every ``MEMBERS`` members."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(counts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     leaders = members.select("a", "part").distinct()
-    wanted = members.select("a", "part", F.col("b").alias("doc_id"), F.lit(False).alias("lead")).unionByName(
-        leaders.select("a", "part", F.col("a").alias("doc_id"), F.lit(True).alias("lead"))
+    wanted = members.select("a", "part", F.col("b").alias("node"), F.lit(False).alias("lead")).unionByName(
+        leaders.select("a", "part", F.col("a").alias("node"), F.lit(True).alias("lead"))
     )
-    rows = wanted.join(texts, "doc_id").repartition("a", "part").sortWithinPartitions("a", "part", F.col("lead").desc())
-    return stored(rows.select("a", "doc_id", "lead", "text").mapInArrow(lambda batches: _confirmed(batches, plan), "a long, b long"), "minhash-links")
+    rows = texts(wanted).repartition("a", "part").sortWithinPartitions("a", "part", F.col("lead").desc())
+    return stored(rows.select("a", "node", "lead", "text").mapInArrow(lambda batches: _confirmed(batches, plan), "a long, b long"), "minhash-links")
 
 
 def _apart(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
@@ -200,8 +203,8 @@ def _apart(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordB
 
     A pair belongs to the first band that both share, so that it is looked at once.
     """
-    for g in groups_of(batches, ["doc_id", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]):
-        doc, comp, n = g["doc_id"], g["component"], g["n_shingles"]
+    for g in groups_of(batches, ["node", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]):
+        doc, comp, n = g["node"], g["component"], g["n_shingles"]
         bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(doc), -1)
         bands = np.frombuffer(b"".join(g["bands"]), "<i8").reshape(len(doc), -1)
         band = int(np.flatnonzero(bands[0] == g["bucket"][0])[0])
@@ -229,15 +232,15 @@ def _apart(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(
             [pa.array(g["_group"][at]), pa.array(doc[at].astype("<i8")), pa.array(comp[at].astype("<i8")),
              pa.array([partners[d].astype("<i8").tobytes() if d in partners else b"" for d in doc[at].tolist()], pa.binary())],
-            ["_group", "doc_id", "component", "partners"],
+            ["_group", "node", "component", "partners"],
         )
 
 
 def _joining(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
     """Links between components of a group, confirmed on whole sets; pairs that links so far have joined are not looked at."""
-    for g in groups_of(batches, ["doc_id", "component", "partners", "text"]):
-        sets = {d: shingles(words_of(t)) for d, t in zip(g["doc_id"].tolist(), g["text"])}
-        comp = dict(zip(g["doc_id"].tolist(), g["component"].tolist()))
+    for g in groups_of(batches, ["node", "component", "partners", "text"]):
+        sets = {d: shingles(words_of(t)) for d, t in zip(g["node"].tolist(), g["text"])}
+        comp = dict(zip(g["node"].tolist(), g["component"].tolist()))
         parent = {c: c for c in comp.values()}
 
         def root(c: int) -> int:
@@ -247,7 +250,7 @@ def _joining(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
             return c
 
         a, b = [], []
-        for d, raw in zip(g["doc_id"].tolist(), g["partners"]):
+        for d, raw in zip(g["node"].tolist(), g["partners"]):
             own = sets[d]
             for other in np.frombuffer(raw, "<i8").tolist():
                 x, y = root(comp[d]), root(comp[other])
@@ -261,6 +264,7 @@ def _joining(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
                     b.append(other)
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    _HASHES.clear()
 
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -272,43 +276,57 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     plan = planned(percent)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
-    shape = "doc_id long, same binary, n_shingles long, bands binary, sketch binary"
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))  # tells the texts of one doc_id apart
+    shape = "doc_id long, text_hash long, same binary, n_shingles long, bands binary, sketch binary"
     profiles = stored(texts.mapInArrow(lambda batches: _profiles(batches, plan), shape), "minhash-profiles")
     usable = profiles.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # Equal sequences of words: one document stands for them.
-    same = stored(usable.groupBy("same").agg(F.min("doc_id").alias("rep")), "minhash-copies")
-    reps = usable.join(same, "same").where("doc_id = rep").select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id"])
-    reps = stored(reps, "minhash-representatives")
-    narrow = reps.select("doc_id", "n_shingles", "sketch")
-    standing = texts.where("doc_id IS NOT NULL").join(reps.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-    buckets = reps.select("doc_id", "bands").mapInArrow(lambda batches: _opened(batches, plan), "doc_id long, bucket long")
-    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Equal sequences of words are one node, for which one row of its smallest document stands.
+    same = usable.groupBy("same").agg(F.min("doc_id").alias("rep")).withColumn("node", F.monotonically_increasing_id())
+    same = stored(same, "minhash-copies")
+    reps = usable.join(same, "same").where("doc_id = rep").dropDuplicates(["node"])
+    reps = stored(reps.select("node", "doc_id", "text_hash", "n_shingles", "bands", "sketch"), "minhash-representatives")
+    narrow = reps.select("node", "n_shingles", "sketch")
+    places = reps.select("node", "doc_id", "text_hash")
+    standing = texts.join(places.drop("node"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+
+    def with_text(rows: DataFrame) -> DataFrame:
+        return rows.join(places, "node").join(standing, ["doc_id", "text_hash"])
+
+    rows = stored(profiles.select("doc_id", "n_shingles", "same").join(same.drop("rep"), "same", "left").drop("same"), "minhash-rows")
+    # Documents whose rows hold different texts join the nodes of these.
+    known = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
+    several = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_last")).where("a <> _last").drop("_last")
+    one_document = stored(known.join(several, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "minhash-documents")
+
+    buckets = reps.select("node", "bands").mapInArrow(lambda batches: _opened(batches, plan), "node long, bucket long")
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     entries = stored(buckets.join(shared, "bucket"), "minhash-buckets")
-    pairs = entries.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    pairs = entries.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     sides = pairs.join(narrow.toDF("a", "n_a", "sketch_a"), "a").join(narrow.toDF("b", "n_b", "sketch_b"), "b")
     pairs = stored(sides.mapInArrow(lambda batches: _alike(batches, plan), "a long, b long"), "minhash-candidates")
-    links = confirmed(pairs, standing, plan)
+    links = confirmed(pairs, with_text, plan).unionByName(one_document)
     found = components(links, "minhash-components")
 
     # Buckets of three or more in which the smallest one has not connected all.
-    placed = entries.where("n > 2").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc_id")).drop("a", "n")
+    placed = entries.where("n > 2").join(found, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node")).drop("a", "n")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("bucket")
-    dealt = in_blocks(placed.join(mixed, "bucket"), ["bucket"], "doc_id", BLOCK).join(reps, "doc_id")
-    names = ["_group", "doc_id", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]
+    dealt = in_blocks(placed.join(mixed, "bucket"), ["bucket"], "node", BLOCK).join(reps.drop("doc_id", "text_hash"), "node")
+    names = ["_group", "node", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]
     dealt = dealt.select(*names).repartition("_group").sortWithinPartitions("_group")
-    apart = stored(dealt.mapInArrow(lambda batches: _apart(batches, plan), "_group long, doc_id long, component long, partners binary"), "minhash-apart")
+    apart = stored(dealt.mapInArrow(lambda batches: _apart(batches, plan), "_group long, node long, component long, partners binary"), "minhash-apart")
     if not apart.isEmpty():
-        both = apart.join(standing, "doc_id").select("_group", "doc_id", "component", "partners", "text")
-        both = both.repartition("_group").sortWithinPartitions("_group", "doc_id")
+        both = with_text(apart).select("_group", "node", "component", "partners", "text")
+        both = both.repartition("_group").sortWithinPartitions("_group", "node")
         new = stored(both.mapInArrow(lambda batches: _joining(batches, plan), "a long, b long"), "minhash-links")
         if not new.isEmpty():
             found = components(links.unionByName(new), "minhash-components")
 
-    of_copies = same.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    of_copies = of_copies.select("same", F.coalesce("component", "rep").alias("component_id"))
-    rows = profiles.select("doc_id", "same", "n_shingles").join(of_copies, "same", "left")
+    # From nodes to documents: a component is named by its smallest one.
+    classed = same.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = classed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_copies = classed.join(smallest, "component").select("node", "component_id")
+    rows = rows.join(of_copies, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(component, "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -236,6 +236,25 @@ def test_minhash(spark, odd):
     assert minhash_dedup.classes(odd).count() == odd.count()
 
 
+def test_minhash_repeated_ids(spark):
+    """Rows of one doc_id with different texts are one document, which has the links of all of them."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(4000)]
+    first, second, third = (list(rng.choice(words, 150)) for _ in range(3))
+
+    def near(own):
+        return " ".join([*own[:147], "a", "b", "c"])
+
+    rows = [(5, " ".join(first)), (5, " ".join(second)), (5, ""), (7, near(first)), (8, near(second)), (9, near(third)), (2, " ".join(third)),
+            (5, " ".join(first)), (11, near(first)), (12, " ".join(second).upper()), (13, "lone text"), (13, "other"), (14, "other"), (None, near(third))]
+    want = {5: 5, 7: 5, 8: 5, 11: 5, 12: 5, 2: 2, 9: 2, 13: 13, 14: 13, None: None}
+    for parts in (1, 2, 3, 5, 8):
+        frame = table(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(parts, "text")
+        got = minhash_dedup.classes(frame).collect()
+        assert len(got) == len(rows) and all(r["component_id"] == want[r["doc_id"]] for r in got)
+        assert {r["doc_id"] for r in minhash_dedup.deduplicated(frame).collect()} == {5, 2, 13, None}
+
+
 def test_minhash_chain(spark, monkeypatch):
     """Chains of texts that only resemble their neighbours, with more of them in a bucket than a block holds."""
     monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
