@@ -21,45 +21,54 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from firnflow.llm.common import BLANKS, stored, whole
 
 HEAD = 24  # characters of the text that lead the sort key
-BATCH = 20_000
 
 
 def _runs(batches: Iterator[pa.RecordBatch], carried: bool, out: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Runs of equal neighbouring texts of one sorted range; a run's rows leave when it ends."""
+    """Runs of equal neighbouring texts of one sorted range; a run's rows leave with the batch in which it ends.
+
+    Of a run only ids and one text are held, and its first row as an Arrow value; carried rows never become Python objects.
+    """
     part = TaskContext.get().partitionId()
     text = None  # of the current run
     ids: list = []
-    sha, first, row = "", None, None
-    run = -1
+    sha, first, run = "", None, -1
+    at = 0  # of the current run's first row: 0 in an earlier batch, else its place in this one, from 1
     rows: list[tuple] = []
+    firsts: list[int | None] = []  # for each of ``rows`` the place of the row that it carries
 
     def close(last: bool) -> None:
         edge = run == 0 or last
         for i, d in enumerate(ids):
-            own = (d, first, len(ids), i == 0, sha, part, run, edge)
-            rows.append((*own, row if i == 0 else None) if carried else own)
+            rows.append((d, first, len(ids), i == 0, sha, part, run, edge))
+            firsts.append(at if i == 0 else None)
 
-    def batch() -> pa.RecordBatch:
-        got = pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), out)], schema=out)
+    def batch(row: pa.Array | None) -> pa.RecordBatch:
+        columns = [pa.array(c, t.type) for c, t in zip(zip(*rows), out)]
+        if carried:
+            columns.append(row.take(pa.array(firsts, pa.int64())))
         rows.clear()
-        return got
+        firsts.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=out)
 
+    held = pa.nulls(1, out.field("row").type) if carried else None
     for b in batches:
-        texts, docs, digests = (b.column(n).to_pylist() for n in ("_norm", "_id", "_sha"))
-        payload = b.column("_row") if carried else None
-        for i, t in enumerate(texts):
+        docs, digests = (b.column(n).to_pylist() for n in ("_id", "_sha"))
+        own = pa.concat_arrays([held, b.column("_row")]) if carried else None
+        for i, value in enumerate(b.column("_norm")):
+            t = value.as_py()
             if t != text or text is None:
                 if run >= 0:
                     close(False)
-                    if len(rows) >= BATCH:
-                        yield batch()
-                text, ids, sha, first = t, [], digests[i], docs[i]
-                row = payload[i].as_py() if carried else None
+                text, ids, sha, first, at = t, [], digests[i], docs[i], i + 1
                 run += 1
             ids.append(docs[i])
+        if rows:
+            yield batch(own)
+        if carried and b.num_rows:
+            held, at = own.take(pa.array([at])), 0
     if run >= 0:
         close(True)
-        yield batch()
+        yield batch(held)
 
 
 def grouped(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -73,7 +82,11 @@ def grouped(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     kept_row = [F.struct(*(docs[f"`{c}`"] for c in carry)).alias("_row")] if carry else []
     keyed = docs.select(docs["doc_id"].alias("_id"), norm.alias("_norm"), *kept_row)
     keyed = keyed.withColumn("_sha", F.sha2(F.encode("_norm", "UTF-8"), 256)).withColumn("_head", F.substring("_norm", 1, HEAD))
-    ranges = keyed.repartitionByRange("_head", "_sha", F.col("_id").asc_nulls_last())
+    # One text is shuffled: normalised, or where the row goes along, as it stands there, to be normalised again after.
+    again = "text" in carry
+    ranges = keyed.drop(*(["_norm"] if again else [])).repartitionByRange("_head", "_sha", F.col("_id").asc_nulls_last())
+    if again:
+        ranges = ranges.withColumn("_norm", F.regexp_replace(whole("_row.text"), BLANKS, " "))
     ranges = ranges.sortWithinPartitions("_head", "_sha", "_norm", F.col("_id").asc_nulls_last()).drop("_head")
 
     doc_type = docs.schema["doc_id"].dataType

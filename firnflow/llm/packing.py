@@ -25,6 +25,7 @@ from firnflow.llm.common import stored, whole
 WINDOW = 4096
 END_ID = 2
 REMEMBERED = 1_000_000  # words, and stretches between white space, kept by each task: some 160 MB
+KEPT = 300_000  # up to which they stay for the worker's next task: some 45 MB
 LONGEST = 64  # characters of one that is kept
 BATCH = 2_000
 
@@ -112,6 +113,8 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
                      pa.array([part] * len(ids), pa.int32()), pa.array(ends[:-1], pa.int64())],
                     ["doc_id", "ids", "n", "part", "start_in_part"],
                 )
+        if len(words) > KEPT:
+            words.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", whole(docs["text"]).alias("text")).mapInArrow(
