@@ -436,6 +436,20 @@ add(
     f"""SELECT point_id, arg_min(a, struct_pack(d := abs(a - lon), n := -a)) AS axis_lon FROM points, (VALUES {_AXIS}) t(a)
         GROUP BY point_id""",
 )
+add(
+    "asof_axes",
+    "axis_probes axis_lines",
+    """SELECT p.probe_id, p.cube_id, p.wanted, best.axis_value, best.line_id FROM axis_probes p LEFT JOIN (
+         SELECT probe_id, arg_min(struct_pack(axis_value := axis_value, line_id := line_id),
+                struct_pack(d := abs(axis_value - wanted), n := -axis_value, i := line_id)) AS best
+         FROM axis_probes JOIN axis_lines USING (cube_id) WHERE wanted IS NOT NULL GROUP BY probe_id) b USING (probe_id)""",
+)
+add(
+    "asof_backward",
+    "axis_probes axis_lines",
+    """SELECT p.probe_id, p.cube_id, p.wanted,
+         (SELECT max(axis_value) FROM axis_lines a WHERE a.cube_id = p.cube_id AND axis_value <= p.wanted AND axis_value >= p.wanted - 2) AS axis_value FROM axis_probes p""",
+)
 _MLON, _MLAT = polar_lonlat("mx", "my", 3413)
 _STRICT = "BY_LON > minx AND BY_LON < maxx AND BY_LAT > miny AND BY_LAT < maxy"
 _TWO_STEP = f"""a AS (SELECT point_id, lon, lat, {_PX} AS px, {_PY} AS py, (SELECT min(cube_id) FROM cubes WHERE

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firnflow.functions import filters as flt
 from firnflow.functions import projections, rings, scaling, sensors, tiles, times, urls
-from firnflow.operators import elevation, locate, profile, resample, running_mean, search, series, subcube
+from firnflow.operators import asof, elevation, locate, profile, resample, running_mean, search, series, subcube
 from firnflow.plans import products
 from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
@@ -531,6 +531,20 @@ def nearest_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "points").select("point_id", locate.nearest_on_axis(axis, F.col("lon")).alias("axis_lon"))
 
 
+@register
+def asof_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest line of an irregular axis per cube, by a table of axes; a third of all probes ask one cube."""
+    return asof.nearest_on_axes(view(spark, sf_dir, "axis_probes"), view(spark, sf_dir, "axis_lines"), ["cube_id"], "wanted", "axis_value", ["line_id"])
+
+
+@register
+def asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last line not above the probe, at most two degrees below it."""
+    return asof.nearest_on_axes(
+        view(spark, sf_dir, "axis_probes"), view(spark, sf_dir, "axis_lines"), ["cube_id"], "wanted", "axis_value", direction="backward", tolerance=2.0
+    )
+
+
 @register
 def legacy_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "points").select("point_id", F.col("lon").alias("x"), F.col("lat").alias("y"), F.lit(4326).alias("epsg"))

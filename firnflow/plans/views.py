@@ -166,6 +166,23 @@ VIEWS = {
             f"{_ROI_CY} + {_ROI_HALF} AS roi_maxy",
         ),
     ),
+    # One irregular axis per cube; its lines and the probes lie on eighths, so that ties are exact.
+    "axis_lines": View(
+        "part",
+        (
+            "CAST(p_partkey % 23 AS BIGINT) AS cube_id",
+            "-85e0 + (p_partkey * p_partkey * 37 + p_partkey * 11) % 683 / 4e0 AS axis_value",
+            "p_partkey AS line_id",
+        ),
+    ),
+    "axis_probes": View(
+        "orders",
+        (
+            "o_orderkey AS probe_id",
+            "CAST(CASE WHEN o_orderkey % 3 = 0 THEN 5 ELSE o_orderkey % 25 END AS BIGINT) AS cube_id",
+            "CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE -90e0 + o_orderkey * 61 % 1601 / 8e0 END AS wanted",
+        ),
+    ),
     "polylines": View(
         "orders",
         (
