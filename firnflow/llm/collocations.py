@@ -6,8 +6,8 @@ collision of two codes is looked for and leads to another seed.
 
 A level's candidates are in a double-array trie that every task holds, its states advanced for all text positions at once with
 numpy, one word at a time; positions whose state accepts are counted with ``bincount`` and the counts of all shards summed.  The
-same pass meets what follows each accepted phrase.  These extensions, summed over shards, are the next candidates: both a
-phrase's first words and its last words must be frequent for it to be one.  A trie holds a bounded number of candidates; more
+same pass meets what follows each accepted phrase, and lets go what a small filter says does not end in another candidate.
+These extensions, summed over shards, are the next candidates: both a phrase's first and its last words must be frequent.  A trie holds a bounded number of candidates; more
 candidates make more tries, dealt by a hash of the phrase, and a pass for each.
 """
 
@@ -35,11 +35,13 @@ CANDIDATES = 250_000  # of one trie, which then takes some 20 MB
 LOOKED = 200_000  # places of the double array that are tried at once for a state's children
 ROW_WORDS = 1_000_000  # of one array of word numbers, if no text is longer
 REMEMBERED = 500_000  # different words a task holds before it passes on their counts
+MOST_BITS = 1 << 27  # of the filter of a level's candidates; 16 bits for each up to there, and fewer beyond
 SALTS = 32  # parts of a language that are ranked before the whole
 
 # What ends a piece becomes a full stop, a tab a space, A-Z lower-case; so a full stop is never part of a word.
 _LETTERS = bytes(0x2E if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STOP = b"."
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # public constant of multiplicative hashing
 
 
 class _Codes(dict):
@@ -214,18 +216,38 @@ def _keys(values: np.ndarray) -> pa.Array:
     return wide.cast(pa.binary())
 
 
-def _passed(batches: Iterator[pa.RecordBatch], t: Trie, extend: bool) -> Iterator[pa.RecordBatch]:
-    """Counts of the candidates in all arrays of a task, and of what follows them in each array."""
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each row of codes in a filter of ``bits`` bits, a power of two."""
+    total = np.zeros(len(keys), np.uint64)
+    for i in range(keys.shape[1]):
+        total = (total ^ keys[:, i]) * _MIX
+        total ^= total >> np.uint64(29)
+    return (total * _MIX) >> np.uint64(65 - bits.bit_length())
+
+
+def _marked(keys: np.ndarray, bits: np.ndarray) -> None:
+    at = _places(keys, 8 * len(bits))
+    np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+
+
+def _passed(batches: Iterator[pa.RecordBatch], t: Trie, ends: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Counts of the candidates in all arrays of a task, and of their extensions by one word in each array.
+
+    ``ends`` is a filter of all candidates of this length: an extension whose last words are surely none is not frequent.
+    """
     total = np.zeros(len(t.phrases), np.int64)
     for b in batches:
         for raw, values in zip(b.column("numbers"), b.column("codes")):
             numbers, codes = np.frombuffer(raw.as_py(), "<i4"), np.frombuffer(values.as_py(), "<u8")
             places, found = matches(t, numbers, codes)
             total += np.bincount(found, minlength=len(total))
-            if extend and len(places):
+            if ends is not None and len(places):
                 following = numbers[places + t.depth]  # every array ends with the end of a piece
                 inner = following > 0
-                pair, n = np.unique((found[inner].astype(np.int64) << 32) | following[inner], return_counts=True)
+                last = np.column_stack([codes[numbers[places[inner] + i]] for i in range(1, t.depth + 1)])
+                at = _places(last, 8 * len(ends))
+                known = (ends[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                pair, n = np.unique((found[inner][known].astype(np.int64) << 32) | following[inner][known], return_counts=True)
                 for lo in range(0, len(pair), 100_000):
                     some = pair[lo : lo + 100_000]
                     keys = np.column_stack([t.phrases[some >> 32], codes[some & 0xFFFFFFFF]])
@@ -240,19 +262,30 @@ def _counted(keys: np.ndarray, n: np.ndarray, following: bool) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([_keys(keys), pa.array(n), pa.array(np.full(len(n), following))], ["key", "n", "following"])
 
 
-def _level(arrays: DataFrame, candidates: DataFrame, size: int, extend: bool, per_trie: int) -> DataFrame:
-    """key, n, following: counts of the candidates of ``size`` words and of their extensions by one word, for each trie and shard."""
+def _level(arrays: DataFrame, candidates: DataFrame, size: int, extend: bool, least: int, per_trie: int) -> DataFrame:
+    """key, n, following: candidates of ``size`` words, and their extensions by one word, that are found ``least`` times."""
     spark = arrays.sparkSession
-    tries = -(-candidates.count() // per_trie)
-    found = []
-    for i in range(tries):
+    number = candidates.count()
+    tries = -(-number // per_trie)
+
+    def keys_of(i: int) -> np.ndarray:
         own = candidates.where(F.pmod(F.xxhash64("key"), F.lit(tries)) == i).select("key").toArrow()
         keys = np.frombuffer(b"".join(own.column("key").to_pylist()), "<u8").reshape(-1, size)
+        return keys[np.lexsort(keys.T[::-1])]
+
+    ends = None
+    if extend:
+        ends = np.zeros(min(MOST_BITS, 1 << max(10, (16 * number).bit_length())) // 8, np.uint8)
+        for i in range(tries):
+            _marked(keys_of(i), ends)
+    found = []
+    for i in range(tries):
+        keys = keys_of(i)
         if not len(keys):
             continue
-        sent = spark.sparkContext.broadcast(trie(keys[np.lexsort(keys.T[::-1])]))
-        rows = arrays.mapInArrow(lambda batches, sent=sent: _passed(batches, sent.value, extend), "key binary, n long, following boolean")
-        sums = rows.groupBy("key", "following").agg(F.sum("n").alias("n"))
+        sent = spark.sparkContext.broadcast((trie(keys), ends))
+        rows = arrays.mapInArrow(lambda batches, sent=sent: _passed(batches, *sent.value), "key binary, n long, following boolean")
+        sums = rows.groupBy("key", "following").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         found.append(stored(sums, f"collocations-{size}"))
         sent.destroy()
     return reduce(DataFrame.unionByName, found)
@@ -289,12 +322,12 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, per_tri
         if level.isEmpty():
             break
         extend = size < longest
-        rows = _level(arrays, level, size, extend, per_trie)
-        counted = rows.where("NOT following").join(level, "key").where(F.col("n") >= least)
+        rows = _level(arrays, level, size, extend, least, per_trie)
+        counted = rows.where("NOT following").join(level, "key")
         counted = stored(counted.select("key", F.lit(size).alias("size"), "lang", "phrase", F.col("n").alias("a")), "collocations-phrases")
         found.append(counted)
         if extend:
-            longer = rows.where(F.col("following") & (F.col("n") >= least)).select("key")
+            longer = rows.where("following").select("key")
             longer = longer.withColumn("_first", F.expr(f"substring(key, 1, {8 * size})")).withColumn("_last", F.expr(f"substring(key, {8 * size + 1}, 8)"))
             longer = longer.withColumn("_rest", F.expr(f"substring(key, 9, {8 * size})"))
             longer = longer.join(counted.select(F.col("key").alias("_first"), "lang", "phrase"), "_first")
