@@ -48,7 +48,7 @@ def nearest_on_axes(
     part of an axis, and of rows that repeat a coordinate the one with the smallest ``carry`` counts.  ``backward`` takes the
     largest coordinate not above the probe's ``value``, ``forward`` the smallest not below it, ``nearest`` the closer of these,
     on a tie the larger.  ``tolerance`` bounds the distance.  Rows of probes that repeat come out as often as they went in; a
-    NULL or NaN value, or a key without axis, gets NULL.
+    NULL or NaN value, or a key without axis, gets NULL; an infinite one lies beyond the axis' end.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction {direction!r}: wanted one of {DIRECTIONS}")

@@ -811,6 +811,34 @@ add(
        round(CAST(embedding[i + 1] AS DOUBLE), 6) AS v FROM (SELECT vec_id, embedding, len(embedding) AS n FROM embeddings), unnest(range(n)) u(i)""",
 )
 
+add(
+    "series_from_chunks",
+    "value_chunks chunk_points",
+    """SELECT point_id, cube_id, ix, iy, CAST(it AS INT) AS it, round(CAST(values[it * 16 + (iy % 4) * 4 + ix % 4 + 1] AS DOUBLE), 6) AS v
+       FROM chunk_points p JOIN value_chunks k USING (cube_id), unnest(range(len(values) // 16)) t(it)
+       WHERE k.cy = p.iy // 4 AND k.cx = p.ix // 4""",
+)
+_BOXED = (
+    _NEAR
+    + """, kept AS (SELECT probe_id, ix, iy, v FROM near WHERE (ix + iy) % 7 <> 0),
+        box AS (SELECT probe_id, min(iy) AS y0, max(iy) AS y1, min(ix) AS x0, max(ix) AS x1 FROM kept GROUP BY probe_id),
+        full_box AS (SELECT probe_id, y0, x0, y1, x1, iy, ix, (iy - y0) // 3 AS c_iy, (ix - x0) // 4 AS c_ix FROM box,
+          unnest(range(y0, y1 + 1)) a(iy), unnest(range(x0, x1 + 1)) b(ix)),
+        elements AS (SELECT f.*, k.v FROM full_box f LEFT JOIN kept k USING (probe_id, iy, ix))"""
+)
+add(
+    "subcube_dense",
+    "grid probes",
+    """SELECT probe_id, CAST(c_iy AS BIGINT) AS c_iy, CAST(c_ix AS BIGINT) AS c_ix, CAST(min(iy) AS BIGINT) AS iy_start, CAST(min(ix) AS BIGINT) AS ix_start,
+       CAST(max(iy) - min(iy) + 1 AS INT) AS iy_length, CAST(max(ix) - min(ix) + 1 AS INT) AS ix_length,
+       string_agg(coalesce(CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR), '-'), ' ' ORDER BY iy, ix) AS v,
+       array_to_string(list_transform(list_sort(list(DISTINCT iy)), lambda i: CAST(i * -24000 AS VARCHAR)), ' ') AS iy_values,
+       array_to_string(list_transform(list_sort(list(DISTINCT ix)), lambda i: CAST(i * 24000 AS VARCHAR)), ' ') AS ix_values
+       FROM elements GROUP BY probe_id, c_iy, c_ix HAVING count(v) > 0""",
+    _BOXED,
+)
+add("subcube_round_trip", "grid probes", "SELECT probe_id, CAST(iy AS BIGINT) AS iy, CAST(ix AS BIGINT) AS ix, v FROM kept", _BOXED)
+
 # ---- point files and rings -----------------------------------------------------------------------------------------
 _PARSED = """parsed AS (SELECT line_id, TRY_CAST(split_part(value, ',', 1) AS DOUBLE) AS a, TRY_CAST(split_part(value, ',', 2) AS DOUBLE) AS b
     FROM point_lines)"""

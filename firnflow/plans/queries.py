@@ -15,7 +15,7 @@ from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
 from firnflow.sinks import series as series_sink
 from firnflow.sinks import urls as url_sink
-from firnflow.sources import catalog, cubes, points
+from firnflow.sources import catalog, chunks, cubes, points
 from firnflow.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -873,14 +873,48 @@ def elevation_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def chunk_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding as a chunk with 4 rows: the last axis takes the rest."""
-    chunks = table(spark, sf_dir, "embeddings")
+    vectors = table(spark, sf_dir, "embeddings")
     width = F.floor(F.size("embedding") / 4)
     flat = cubes.flatten_chunks(
-        chunks, "embedding", [("iy", F.lit(4)), ("ix", width)], {"iy": F.col("vec_id") * 4}, keys=["vec_id"]
+        vectors, "embedding", [("iy", F.lit(4)), ("ix", width)], {"iy": F.col("vec_id") * 4}, keys=["vec_id"]
     )
     return rounded(flat, 6, "v")
 
 
+@register
+def series_from_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of points straight from the chunks that hold their cells."""
+    four = F.lit(4)
+    out = chunks.series_from_chunks(view(spark, sf_dir, "chunk_points"), view(spark, sf_dir, "value_chunks"), (four, four))
+    return rounded(out, 6, "v")
+
+
+def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cut-outs around the probes as chunks of 3 by 4 cells, with the coordinates of their lines."""
+    lines = {"iy": lambda i: i * -240.0, "ix": lambda i: i * 240.0}
+    return chunks.dense_chunks(_around(spark, sf_dir).where("(ix + iy) % 7 <> 0"), ["probe_id"], {"iy": 3, "ix": 4}, ["v"], lines)
+
+
+@register
+def subcube_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays as text, in hundredths, with ``-`` for a hole."""
+    text = [
+        F.array_join(F.transform(n, lambda x: F.coalesce(F.round(x * 100).cast("long").cast("string"), F.lit("-"))), " ").alias(n)
+        for n in ("v", "iy_values", "ix_values")
+    ]
+    return _dense(spark, sf_dir).select("probe_id", "c_iy", "c_ix", "iy_start", "ix_start", "iy_length", "ix_length", *text)
+
+
+@register
+def subcube_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks as rows again: the cells of the cut-outs and their holes."""
+    c = F.col
+    flat = cubes.flatten_chunks(
+        _dense(spark, sf_dir), "v", [("iy", c("iy_length")), ("ix", c("ix_length"))], {"iy": c("iy_start"), "ix": c("ix_start")}, ["probe_id"]
+    )
+    return flat.where("v IS NOT NULL")
+
+
 # ---- point files and rings ---------------------------------------------------------------------------------------
 
 

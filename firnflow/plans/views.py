@@ -166,6 +166,26 @@ VIEWS = {
             f"{_ROI_CY} + {_ROI_HALF} AS roi_maxy",
         ),
     ),
+    # Vectors as chunks of 4 time steps and 4 by 4 cells, of 23 cubes that are five chunks high.
+    "value_chunks": View(
+        "embeddings",
+        (
+            "CAST(vec_id % 23 AS BIGINT) AS cube_id",
+            "CAST(floor(vec_id / 23) AS BIGINT) % 5 AS cy",
+            "CAST(floor(vec_id / 115) AS BIGINT) AS cx",
+            "embedding AS values",
+        ),
+    ),
+    # A third of all points lie on one cell.
+    "chunk_points": View(
+        "orders",
+        (
+            "o_orderkey AS point_id",
+            "CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE o_orderkey % 25 END AS BIGINT) AS cube_id",
+            "CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE floor(o_orderkey / 25) END AS BIGINT) % 11 AS ix",
+            "CAST(CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_orderkey * 61 END AS BIGINT) % 21 AS iy",
+        ),
+    ),
     # One irregular axis per cube; its lines and the probes lie on eighths, so that ties are exact.
     "axis_lines": View(
         "part",
