@@ -839,6 +839,18 @@ add(
 )
 add("subcube_round_trip", "grid probes", "SELECT probe_id, CAST(iy AS BIGINT) AS iy, CAST(ix AS BIGINT) AS ix, v FROM kept", _BOXED)
 
+add(
+    "saved_searches",
+    "granules",
+    """SELECT search_id, granule_id FROM (SELECT s_suppkey AS search_id FROM supplier) s JOIN granules g ON CASE search_id % 5
+         WHEN 0 THEN percent_valid_pixels >= search_id % 60 AND platform = CASE WHEN search_id % 2 = 0 THEN 'S2A' ELSE 'S2B' END
+         WHEN 1 THEN date_dt >= search_id % 500 AND date_dt < search_id % 500 + 30
+         WHEN 2 THEN minx > CAST(concat(CAST(-75 + search_id % 40 AS VARCHAR), '.25') AS DOUBLE) AND maxx < -72 + search_id % 40
+         WHEN 3 THEN href >= concat('https://example.org/pairs/g', 10 + search_id % 80) AND href < concat('https://example.org/pairs/g', 11 + search_id % 80)
+         ELSE percent_valid_pixels <> search_id % 60 AND version <> '002' END
+       WHERE search_id % 17 <> 0 AND CASE WHEN search_id % 3 = 0 THEN proj_code = 'EPSG:3413' WHEN search_id % 19 = 0 THEN false ELSE version > '000' END""",
+)
+
 # ---- point files and rings -----------------------------------------------------------------------------------------
 _PARSED = """parsed AS (SELECT line_id, TRY_CAST(split_part(value, ',', 1) AS DOUBLE) AS a, TRY_CAST(split_part(value, ',', 2) AS DOUBLE) AS b
     FROM point_lines)"""

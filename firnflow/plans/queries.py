@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firnflow.functions import filters as flt
 from firnflow.functions import projections, rings, scaling, sensors, tiles, times, urls
-from firnflow.operators import asof, elevation, locate, profile, resample, running_mean, search, series, subcube
+from firnflow.operators import asof, elevation, locate, profile, resample, running_mean, saved, search, series, subcube
 from firnflow.plans import products
 from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
@@ -262,6 +262,14 @@ def filter_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved.withColumn("p", flt.parse_filter_column(F.col("filter_text"))).select("filter_id", "p.*")
 
 
+@register
+def saved_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of searches against all granules in one scan of them."""
+    texts = F.array("first_text", "second_text", "third_text").alias("filters")
+    asked = saved.conditions(view(spark, sf_dir, "saved_searches").select("search_id", texts))
+    return saved.match_saved(granules(spark, sf_dir), asked, "granule_id")
+
+
 @register
 def mission_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [

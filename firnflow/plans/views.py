@@ -166,6 +166,21 @@ VIEWS = {
             f"{_ROI_CY} + {_ROI_HALF} AS roi_maxy",
         ),
     ),
+    "saved_searches": View(
+        "supplier",
+        (
+            "s_suppkey AS search_id",
+            "CASE s_suppkey % 5 WHEN 0 THEN concat('percent_valid_pixels:>=:', CAST(s_suppkey % 60 AS STRING)) "
+            "WHEN 1 THEN concat('date_dt:>=:', CAST(s_suppkey % 500 AS STRING)) WHEN 2 THEN concat('minx:>:', CAST(-75 + s_suppkey % 40 AS STRING), '.25') "
+            "WHEN 3 THEN concat('href:>=:https://example.org/pairs/g', CAST(10 + s_suppkey % 80 AS STRING)) "
+            "ELSE concat('percent_valid_pixels:!=:', CAST(s_suppkey % 60 AS STRING)) END AS first_text",
+            "CASE s_suppkey % 5 WHEN 0 THEN concat('platform:=:S2', CASE WHEN s_suppkey % 2 = 0 THEN 'A' ELSE 'B' END) "
+            "WHEN 1 THEN concat('date_dt:<:', CAST(s_suppkey % 500 + 30 AS STRING)) WHEN 2 THEN concat('maxx:<:', CAST(-72 + s_suppkey % 40 AS STRING)) "
+            "WHEN 3 THEN concat('href:<:https://example.org/pairs/g', CAST(11 + s_suppkey % 80 AS STRING)) ELSE 'version:!=:002' END AS second_text",
+            "CASE WHEN s_suppkey % 17 = 0 THEN 'no operator here' WHEN s_suppkey % 3 = 0 THEN 'proj_code:=:EPSG:3413' "
+            "WHEN s_suppkey % 19 = 0 THEN 'date_dt:=:many' ELSE 'version:>:000' END AS third_text",
+        ),
+    ),
     # Vectors as chunks of 4 time steps and 4 by 4 cells, of 23 cubes that are five chunks high.
     "value_chunks": View(
         "embeddings",
