@@ -132,6 +132,7 @@ def grid_join(
     *,
     salt_by: Sequence[str],
     fits: bool | None = None,
+    how: str = "inner",
 ) -> DataFrame:
     """Pairs of rows whose boxes share a point; every pair comes out once.
 
@@ -139,7 +140,8 @@ def grid_join(
     of two (times ``base``) that is not smaller than the row's box.  The small side is listed in all cells, per level, from
     which a box can reach it.  Rows larger than ``max_extent`` share one extra level that every small row is listed in.
     With ``max_extent`` 0 the large side is points.  Column names of the two sides must differ.  ``fits`` tells, where it is
-    known, whether the listed small side may be broadcast.
+    known, whether the listed small side may be broadcast.  With ``how`` as ``left`` every row of the large side comes out, and the
+    pairs of a cell are not yet tested: the caller does so where it reduces them.
     """
     top = _levels(base, max_extent)
     bx0, by0, bx1, by1 = big_box
@@ -176,5 +178,5 @@ def grid_join(
 
     if fits is None:
         fits = (small.agg(F.sum(listed_rows(small_box, base, max_extent))).first()[0] or 0) <= rows
-    joined = join_bounded(keyed, listed, [_KEY], rows=rows, salts=salts, salt_by=salt_by, measured=fits)
-    return joined.where(boxes_overlap(big_box, small_box)).drop(_KEY)
+    joined = join_bounded(keyed, listed, [_KEY], how, rows, salts, salt_by=salt_by, measured=fits)
+    return (joined if how == "left" else joined.where(boxes_overlap(big_box, small_box))).drop(_KEY)

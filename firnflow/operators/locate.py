@@ -78,16 +78,26 @@ def _containing(
     rows: int,
     fits: bool | None,
 ) -> DataFrame:
-    here = [F.col(lon), F.col(lat), F.col(lon), F.col(lat)]
+    here, boxes, box = _sides(cubes, lon, lat)
+    pairs = grid_join(points, boxes, here, box, cell_degrees, rows=rows, salt_by=["point_id"], fits=fits)
+    return pairs.where(_held(boxes, lon, lat, strict))
+
+
+def _sides(cubes: DataFrame, lon: str, lat: str) -> tuple[list[Column], DataFrame, list[Column]]:
+    """A place as a box, the cubes' extents under names of their own, and their boxes."""
     names = {n: "_c_" + n for n in (*BOX, "footprint") if n in cubes.columns}
     boxes = cubes.select("cube_id", *(F.col(a).alias(b) for a, b in names.items()))
-    box = [F.col("_c_" + n) for n in BOX]
-    pairs = grid_join(points, boxes, here, box, cell_degrees, rows=rows, salt_by=["point_id"], fits=fits)
-    if "footprint" in names:
-        pairs = pairs.where(rings.ring_contains(F.col("_c_footprint"), F.col(lon), F.col(lat), strict))
-    elif strict:
-        pairs = pairs.where((here[0] > box[0]) & (here[0] < box[2]) & (here[1] > box[1]) & (here[1] < box[3]))
-    return pairs
+    return [F.col(lon), F.col(lat), F.col(lon), F.col(lat)], boxes, [F.col("_c_" + n) for n in BOX]
+
+
+def _held(boxes: DataFrame, lon: str, lat: str, strict: bool) -> Column:
+    """Does the cube of a pair contain its place?  Boxes without a footprint have been tested, borders included, unless strict."""
+    if "_c_footprint" in boxes.columns:
+        return rings.ring_contains(F.col("_c_footprint"), F.col(lon), F.col(lat), strict)
+    if not strict:
+        return F.lit(True)
+    x0, y0, x1, y1 = (F.col("_c_" + n) for n in BOX)
+    return (F.col(lon) > x0) & (F.col(lon) < x1) & (F.col(lat) > y0) & (F.col(lat) < y1)
 
 
 def first_cube(
@@ -227,42 +237,41 @@ def locate_two_step(
     or ``no_cube``.
     """
     fits, systems = cube_facts(cubes, cell_degrees, rows)
-    given = sorted(r[0] for r in points.select(F.col("epsg").cast("int")).distinct().collect() if r[0] is not None)
-    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"), given)
-    placed = settled(
-        points.select("point_id", F.col("x").alias("in_x"), F.col("y").alias("in_y"), F.col("epsg").alias("in_epsg"), "x", "y", "epsg"),
-        {"lon": lon, "lat": lat},
-    ).drop("x", "y", "epsg")
-    attributes = cubes.select("cube_id", "epsg", *XY_BOX)
-
-    def in_cube(found: DataFrame) -> DataFrame:
-        joined = join_bounded(found, attributes, ["cube_id"], rows=rows, salt_by=["point_id"], measured=fits)
+    lon, lat = unproject(F.col("x"), F.col("y"), F.col("epsg"))  # any of the known systems
+    asked = points.select("point_id", F.col("x").alias("in_x"), F.col("y").alias("in_y"), F.col("epsg").alias("in_epsg"), "x", "y", "epsg")
+    placed = settled(asked, {"lon": lon, "lat": lat}).drop("x", "y", "epsg")
+
+    def looked_up(found: DataFrame, lon: str, lat: str, n: str) -> DataFrame:
+        """Every row with the lowest cube that holds its place, the point in that cube's system, and whether its box holds it."""
+        here, boxes, box = _sides(cubes, lon, lat)
+        pairs = grid_join(found, boxes, here, box, cell_degrees, rows=rows, salt_by=["point_id"], fits=fits, how="left")
+        lowest = pairs.groupBy(*found.columns).agg(F.min(F.when(_held(boxes, lon, lat, True), F.col("cube_id"))).alias("cube_id"))
+        attributes = cubes.select("cube_id", "epsg", *XY_BOX)
+        joined = join_bounded(lowest, attributes, ["cube_id"], "left", rows, salt_by=["point_id"], measured=fits)
         px, py = project(F.col("lon"), F.col("lat"), F.col("epsg"), systems)
         same = F.col("in_epsg") == F.col("epsg")
         x, y = F.when(same, F.col("in_x")).otherwise(px), F.when(same, F.col("in_y")).otherwise(py)
-        return settled(settled(joined, {"x": x, "y": y}), {"inside": _in_xy_box(F.col("x"), F.col("y"))})
-
-    first = in_cube(first_cube(placed, cubes, strict=True, cell_degrees=cell_degrees, rows=rows, fits=fits))
-    inside = F.col("inside")
-    direct = first.where(inside).select("point_id", "cube_id", "x", "y", F.lit("direct").alias("status"))
+        tested = settled(settled(joined, {"x": x, "y": y}), {"inside": _in_xy_box(F.col("x"), F.col("y"))})
+        return tested.withColumnsRenamed({c: f"{c}{n}" for c in ("cube_id", "x", "y", "inside", "epsg")})
 
+    first = looked_up(placed, "lon", "lat", "1").withColumnsRenamed({"x1": "x", "y1": "y", "epsg1": "epsg"})
     mx, my = _moved(F.col("x"), F.col("y"))
     mlon, mlat = unproject(F.col("mx"), F.col("my"), F.col("epsg"), systems)
-    moved = settled(settled(first.where(~inside), {"mx": mx, "my": my}), {"moved_lon": mlon, "moved_lat": mlat})
-    retry = moved.select("point_id", "in_x", "in_y", "in_epsg", "lon", "lat", "moved_lon", "moved_lat")
-    second = in_cube(first_cube(retry, cubes, "moved_lon", "moved_lat", True, cell_degrees, rows, fits))
-    status = F.when(inside, F.lit("offset")).otherwise(F.lit("not_in_box_after_offset"))
-    accepted = second.select(
-        "point_id", F.when(inside, F.col("cube_id")).alias("cube_id"), "x", "y", status.alias("status")
-    )
-    found = direct.unionByName(accepted)
-    nothing = points.select("point_id").join(found.select("point_id"), "point_id", "left_anti")
-    retried = retry.select("point_id", F.lit(True).alias("retried"))
-    lost = nothing.join(retried, "point_id", "left").select(
+    again = ~F.col("inside1")
+    moved = settled(settled(first, {"mx": F.when(again, mx), "my": F.when(again, my)}), {"moved_lon": mlon, "moved_lat": mlat})
+    # A point that needs no second place has none: it meets no cube there and comes out as it is.
+    kept = moved.select("point_id", "in_x", "in_y", "in_epsg", "lon", "lat", "moved_lon", "moved_lat", "cube_id1", "x", "y", "inside1")
+    second = looked_up(kept.withColumnsRenamed({"x": "x1", "y": "y1"}), "moved_lon", "moved_lat", "2")
+    c = F.col
+    status = (
+        F.when(c("inside1").isNull(), "no_cube").when(c("inside1"), "direct").when(c("cube_id2").isNull(), "no_cube_after_offset")
+        .when(c("inside2"), "offset").otherwise("not_in_box_after_offset")
+    )
+    direct = F.coalesce("inside1", F.lit(False))
+    return second.select(
         "point_id",
-        F.lit(None).cast(cubes.schema["cube_id"].dataType).alias("cube_id"),
-        F.lit(None).cast("double").alias("x"),
-        F.lit(None).cast("double").alias("y"),
-        F.when(F.col("retried"), F.lit("no_cube_after_offset")).otherwise(F.lit("no_cube")).alias("status"),
+        F.when(direct, c("cube_id1")).when(c("inside2"), c("cube_id2")).alias("cube_id"),
+        F.when(direct, c("x1")).otherwise(c("x2")).alias("x"),
+        F.when(direct, c("y1")).otherwise(c("y2")).alias("y"),
+        status.alias("status"),
     )
-    return found.unionByName(lost)

@@ -851,6 +851,13 @@ add(
        WHERE search_id % 17 <> 0 AND CASE WHEN search_id % 3 = 0 THEN proj_code = 'EPSG:3413' WHEN search_id % 19 = 0 THEN false ELSE version > '000' END""",
 )
 
+add(
+    "catalog_integer",
+    "granules",
+    f"""SELECT granule_id, minx, href, CASE granule_id % 3 WHEN 0 THEN '{int('8001fffffffffff', 16)}' ELSE '{int('8005fffffffffff', 16)}' END AS directory
+        FROM granules WHERE granule_id % 3 IN (0, 2)""",
+)
+
 # ---- point files and rings -----------------------------------------------------------------------------------------
 _PARSED = """parsed AS (SELECT line_id, TRY_CAST(split_part(value, ',', 1) AS DOUBLE) AS a, TRY_CAST(split_part(value, ',', 2) AS DOUBLE) AS b
     FROM point_lines)"""

@@ -413,6 +413,22 @@ def tile_cover_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("roi_id", "t.tile")
 
 
+# Hexadecimal ids of folders in the older layout; the last has none.
+HEXAGONS = ("8001fffffffffff", "8003fffffffffff", "8005fffffffffff", "8007fffffffffff")
+
+
+@register
+def catalog_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog in decimal folders, of which two are read, with a catalog that is not there."""
+    path = shared_folder(spark, "integer-catalog")
+    rows = granules(spark, sf_dir).select("granule_id", "minx", "href")
+    for i, hexagon in enumerate(HEXAGONS[:3]):
+        rows.where(F.col("granule_id") % 3 == i).write.parquet(f"{path}/{int(hexagon, 16)}")
+    found = catalog.read_integer_catalog(spark, path, [HEXAGONS[0], HEXAGONS[2], HEXAGONS[3]], merge=False)
+    nowhere = catalog.read_integer_catalog(spark, path + "-absent", HEXAGONS).select("id", "directory")
+    return found.select("granule_id", "minx", "href", "directory").unionByName(nowhere.select("directory"), allowMissingColumns=True)
+
+
 @register
 def catalog_hive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog written in folders by tile and read back from two of them."""
@@ -615,8 +631,7 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def export_from_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points as an export takes them, to four decimals, then lookup, series and the fixed columns in one plan."""
-    points = series_sink.rounded_points(view(spark, sf_dir, "points"))
-    rows = series.time_series(points, view(spark, sf_dir, "cubes"), observations(spark, sf_dir), ["date_dt"])
+    rows = series_sink.series_for_export(view(spark, sf_dir, "points"), view(spark, sf_dir, "cubes"), observations(spark, sf_dir), ["date_dt"])
     return series_sink.csv_rows(rows)
 
 

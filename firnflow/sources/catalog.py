@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,22 +34,52 @@ def catalog_path(base: str, partition_type: str = "h3", resolution: int = 1) ->
     return f"{base.rstrip('/')}/h3r{resolution}"
 
 
-def _with_source(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_parquet", F.col("_metadata.file_path"))
+# The columns a search reads, which an absent catalog has too.
+GRANULE_TYPE = (
+    "id string, collection string, minx double, miny double, maxx double, maxy double, datetime timestamp, platform string, version string, "
+    "`proj:code` string, percent_valid_pixels double, date_dt double, created timestamp, updated timestamp, assets " + ASSETS_TYPE
+)
+# Cells of the finer of the two resolutions.
+MOST_HEXAGONS = 5882
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _lenient(spark: SparkSession, merge: bool):
     return spark.read.option("mergeSchema", merge).option("ignoreMissingFiles", True)
 
 
+def _files(reader, place: str) -> DataFrame | None:
+    try:
+        return reader.parquet(place)
+    except AnalysisException as err:
+        if err.getCondition() in _ABSENT:
+            return None
+        raise
+
+
+def _scanned(spark: SparkSession, path: str, merge: bool, recursive: bool, like: str | None = None, **derived: str) -> DataFrame:
+    """The files of a path or pattern with ``source_parquet``; where there are none, no row.
+
+    The columns of an empty result are those of the files at ``like`` if it has some, else ``GRANULE_TYPE`` and ``derived``.
+    """
+    reader = _lenient(spark, merge).option("recursiveFileLookup", recursive)
+    df = _files(reader, path)
+    if df is not None:
+        return df.withColumn("source_parquet", F.col("_metadata.file_path"))
+    known = _files(reader, like) if like else None
+    if known is None:
+        known = spark.createDataFrame([], GRANULE_TYPE).withColumns({n: F.lit(None).cast(t) for n, t in derived.items()})
+    return known.limit(0).withColumn("source_parquet", F.lit(None).cast("string"))
+
+
 def read_hive_catalog(
     spark: SparkSession, path: str, level: int | None = None, tiles: Sequence[str] | None = None, merge: bool = True
 ) -> DataFrame:
     """Catalog under ``grid=…/level=…/tile=…``; schemas are merged by name, conditions on the keys prune folders.
 
-    Set ``merge`` to False once all files share one schema: merging opens every file's footer.
+    Set ``merge`` to False once all files share one schema: merging opens every file's footer.  A path that is not there has no rows.
     """
-    df = _with_source(_lenient(spark, merge).parquet(path)).withColumn("tile", F.col("tile").cast("string"))
+    df = _scanned(spark, path, merge, False, grid="string", level="int", tile="string").withColumn("tile", F.col("tile").cast("string"))
     if level is not None:
         df = df.where(F.col("level") == level)
     return df if tiles is None else df.where(F.col("tile").isin(list(tiles)))
@@ -57,20 +88,15 @@ def read_hive_catalog(
 def read_latlon_catalog(
     spark: SparkSession, path: str, tiles: Sequence[str] | None = None, merge: bool = True
 ) -> DataFrame:
-    """Catalog under ``<mission>/<tile>/``; mission and tile come from the path, absent tiles give no rows.
+    """Catalog under ``<mission>/<tile>/``; mission and tile come from the path.  Absent tiles, or an absent path, give no rows.
 
     Tiles asked for are turned into path patterns, so other folders are not listed.
     """
-    reader = _lenient(spark, merge).option("recursiveFileLookup", True)
     root = path.rstrip("/")
     missions = "{" + ",".join(LATLON_MISSIONS) + "}"
     wanted = "*" if tiles is None else "{" + ",".join(tiles) + "}"
-    try:
-        df = _with_source(reader.parquet(f"{root}/{missions}/{wanted}"))
-    except Exception as err:
-        if "PATH_NOT_FOUND" in str(err):
-            return _nothing(spark, path)
-        raise
+    # Another tile, if there is one, tells an empty result's columns.
+    df = _scanned(spark, f"{root}/{missions}/{wanted}", merge, True, None if tiles is None else f"{root}/{missions}/*")
     pattern = r"/([^/]+)/([NS]\d{2}[EW]\d{3})/"
     source = F.col("source_parquet")
     return df.withColumns(
@@ -78,30 +104,34 @@ def read_latlon_catalog(
     )
 
 
-def _nothing(spark: SparkSession, path: str) -> DataFrame:
-    whole = _lenient(spark, True).option("recursiveFileLookup", True).parquet(path)
-    return _with_source(whole).withColumns({"mission": F.lit(""), "tile": F.lit("")}).limit(0)
-
-
 def integer_tile(hexagon: Column) -> Column:
     """Folder name of a hexagon in the older layout: its hexadecimal id as a decimal number."""
     return F.conv(hexagon, 16, 10)
 
 
 def read_integer_catalog(
-    spark: SparkSession, path: str, hexagons: DataFrame | None = None, merge: bool = True
+    spark: SparkSession, path: str, hexagons: DataFrame | Sequence[str] | None = None, merge: bool = True
 ) -> DataFrame:
-    """Catalog under ``<decimal tile>/``; ``hexagons(tile)`` keeps the rows of those hexadecimal ids."""
-    reader = _lenient(spark, merge).option("recursiveFileLookup", True)
-    df = _with_source(reader.parquet(path))
+    """Catalog under ``<decimal tile>/``; ``hexagons`` are the hexadecimal ids asked for, or a table of them (``tile``).
+
+    Their folders become path patterns, so others are not even listed; absent ones, or an absent path, give no rows.  There are
+    at most ``MOST_HEXAGONS`` ids of a resolution, so more is an error.
+    """
+    root = path.rstrip("/")
+    pattern, like = root, None
+    if hexagons is not None:
+        if isinstance(hexagons, DataFrame):
+            names = hexagons.select(integer_tile(F.col("tile")).alias("d")).where("d IS NOT NULL").distinct().limit(MOST_HEXAGONS + 1)
+            folders = sorted(r["d"] for r in names.collect())
+        else:
+            folders = sorted({str(int(h, 16)) for h in hexagons})
+        if len(folders) > MOST_HEXAGONS:
+            raise ValueError(f"more than the {MOST_HEXAGONS} hexagons there are")
+        pattern, like = f"{root}/{{{','.join(folders or ['none'])}}}", root
+    df = _scanned(spark, pattern, merge, True, like)
     # The first folder below the base names the tile; more folders may follow.
-    base = re.escape(path.rstrip("/").rsplit("/", 1)[-1])
-    df = df.withColumn("directory", F.regexp_extract("source_parquet", rf"/{base}/(\d+)/", 1))
-    if hexagons is None:
-        return df
-    # At most a few thousand tiles exist at the resolutions above.
-    names = hexagons.select(integer_tile(F.col("tile")).alias("directory")).distinct()
-    return df.join(F.broadcast(names), "directory", "left_semi")
+    base = re.escape(root.rsplit("/", 1)[-1])
+    return df.withColumn("directory", F.regexp_extract("source_parquet", rf"/{base}/(\d+)/", 1))
 
 
 def write_catalog(granules: DataFrame, path: str, grid: str = "latlon", level: int = 0, files: int | None = None) -> None:

@@ -63,6 +63,49 @@ def test_integer_catalog(spark, tmp_path):
     assert catalog.read_integer_catalog(spark, base, wanted).count() == 2
 
 
+def test_folders_read(spark, tmp_path):
+    """Ids become patterns: the scan's files are those of the folders asked for."""
+    base, cells = str(tmp_path / "cat"), ["8001fffffffffff", "8003fffffffffff", "8005fffffffffff"]
+    for n, cell in enumerate(cells):
+        spark.range(n + 1).write.parquet(f"{base}/{int(cell, 16)}/more")
+    for wanted in (cells[1:], spark.createDataFrame([(c,) for c in [*cells[1:], None, "8007fffffffffff"]], "tile string")):
+        df = catalog.read_integer_catalog(spark, base, wanted)
+        assert df.count() == 5 and {f.split("/")[-3] for f in df.inputFiles()} == {str(int(c, 16)) for c in cells[1:]}
+        assert {r.directory for r in df.collect()} == {str(int(c, 16)) for c in cells[1:]}
+    none = catalog.read_integer_catalog(spark, base, ["8007fffffffffff"])
+    assert none.count() == 0 and none.columns == ["id", "source_parquet", "directory"]
+    assert catalog.read_integer_catalog(spark, base, []).count() == 0
+    with pytest.raises(ValueError):
+        catalog.read_integer_catalog(spark, base, [f"{i:x}" for i in range(6000)])
+
+
+def test_missing_catalogs(spark, tmp_path):
+    """A base that is not there, or holds nothing, is a catalog without rows, which can be searched."""
+    (tmp_path / "empty").mkdir()
+    for base in (str(tmp_path / "nowhere"), str(tmp_path / "empty")):
+        for df in (
+            catalog.read_hive_catalog(spark, base, level=1, tiles=["x"]), catalog.read_latlon_catalog(spark, base), catalog.read_integer_catalog(spark, base),
+            catalog.read_latlon_catalog(spark, base, ["N70W040"]), catalog.read_integer_catalog(spark, base, ["8001fffffffffff"]),
+        ):
+            assert "source_parquet" in df.columns and df.count() == 0
+            assert search.search(df, **WHERE).count() == 0
+    parts = catalog.union_catalogs(catalog.read_hive_catalog(spark, str(tmp_path / "nowhere")), spark.createDataFrame([("a", 1.0)], "id string, minx double"))
+    assert parts.count() == 1
+
+
+def test_export_rounds_before_lookup(spark, tmp_path):
+    """A point just beyond a cube's border is, to four decimals, on it."""
+    cubes_ = spark.createDataFrame([(1, 4326, 0.0, 0.0, 2.0, 2.0, 0.0, 0.0, 1.0, 1.0, 3, 3)],
+                                   "cube_id long, epsg int, minx double, miny double, maxx double, maxy double, x0 double, y0 double, dx double, dy double, nx int, ny int")
+    seen = spark.createDataFrame([(1, 2, 1, dt.datetime(2020, 1, 1), 5.0)], "cube_id long, ix int, iy int, mid_date timestamp, v double")
+    places = spark.createDataFrame([(1, 2.00003, 1.0), (2, 2.0002, 1.0)], "point_id int, lon double, lat double")
+    rows = series_sink.series_for_export(places, cubes_, seen, ["v"]).collect()
+    assert [(r.point_id, r.lon) for r in rows] == [(1, 2.0)]
+    assert series_sink.export_points(places, cubes_, seen, "csv", str(tmp_path / "out"), ["v"]) == str(tmp_path / "out")
+    back = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
+    assert [(r["series"], float(r["lon"]), float(r["v [m/yr]"])) for r in back] == [("LON2.0--LAT1.0", 2.0, 5.0)]
+
+
 def test_items(spark, tmp_path):
     item = {
         "id": "g1",
