@@ -858,6 +858,13 @@ add(
         FROM granules WHERE granule_id % 3 IN (0, 2)""",
 )
 
+add(
+    "search_zoned",
+    "granules",
+    f"""SELECT DISTINCT href FROM granules WHERE {CONVEX} AND percent_valid_pixels >= 40 AND platform IN ('S2A', 'S2B') AND date_dt <= 200
+        AND version = '002' AND datetime >= TIMESTAMP '1995-03-01' AND datetime < TIMESTAMP '1998-01-01'""",
+)
+
 # ---- point files and rings -----------------------------------------------------------------------------------------
 _PARSED = """parsed AS (SELECT line_id, TRY_CAST(split_part(value, ',', 1) AS DOUBLE) AS a, TRY_CAST(split_part(value, ',', 2) AS DOUBLE) AS b
     FROM point_lines)"""

@@ -15,7 +15,7 @@ from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
 from firnflow.sinks import series as series_sink
 from firnflow.sinks import urls as url_sink
-from firnflow.sources import catalog, chunks, cubes, points
+from firnflow.sources import catalog, chunks, cubes, points, zones
 from firnflow.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,8 +144,24 @@ def search_many_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def search_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiled = search.with_tile(granules(spark, sf_dir))
-    return search.search(tiled, bbox=BBOX, tile_index=search.tile_index(tiled), percent_valid_pixels=10, **PERIOD)
+    """On a stored catalog, by the index of its tiles that was written with it."""
+    path = shared_folder(spark, "pruned-catalog")
+    catalog.write_catalog(granules(spark, sf_dir), path + "/granules")
+    stored = catalog.read_hive_catalog(spark, path + "/granules", merge=False)
+    search.tile_index(stored).coalesce(1).write.parquet(path + "/tiles")
+    return search.search(stored, bbox=BBOX, tile_index=spark.read.parquet(path + "/tiles"), percent_valid_pixels=10, **PERIOD)
+
+
+@register
+def search_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a stored catalog that files were added to, by the zone map of its files."""
+    path = shared_folder(spark, "zoned-catalog")
+    rows = granules(spark, sf_dir)
+    for part in (rows.where("granule_id % 10 < 7"), rows.where("granule_id % 10 >= 7")):
+        catalog.write_catalog(part, path + "/granules", append=True)
+        zones.write_zones(spark, path + "/granules", path + "/zones")
+    where = {"percent_valid_pixels": 40, "mission": "sentinel2", "max_interval": 200, "start": "1995-03-01", "end": "1997-12-31"}
+    return zones.search_zoned(spark, path + "/granules", path + "/zones", polygon=CONVEX, filters={"version": flt.EQ("002")}, **where)
 
 
 @register

@@ -134,17 +134,19 @@ def read_integer_catalog(
     return df.withColumn("directory", F.regexp_extract("source_parquet", rf"/{base}/(\d+)/", 1))
 
 
-def write_catalog(granules: DataFrame, path: str, grid: str = "latlon", level: int = 0, files: int | None = None) -> None:
+def write_catalog(
+    granules: DataFrame, path: str, grid: str = "latlon", level: int = 0, files: int | None = None, append: bool = False
+) -> None:
     """Lay a catalog out for search: folders by tile, inside them files that cover small boxes.
 
     Rows are range-partitioned on tile and position.  The ranges follow the data, so a tile with a third of all
-    granules becomes many files and each file's box statistics are narrow; sparse tiles share a task.
+    granules becomes many files and each file's box statistics are narrow; sparse tiles share a task.  With ``append`` files are added to those that are there.
     """
     rows = granules if "tile" in granules.columns else with_tile(granules)
     rows = rows.withColumns({"grid": F.lit(grid), "level": F.lit(level)})
     keys = ["tile", "minx", "miny"]
     ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.partitionBy("grid", "level", "tile").parquet(path)
+    ranged.sortWithinPartitions(*keys).write.mode("append" if append else "error").partitionBy("grid", "level", "tile").parquet(path)
 
 
 def union_catalogs(*parts: DataFrame) -> DataFrame:
