@@ -24,6 +24,8 @@ SAMPLE_ROWS = 20_000  # of the fit at most
 SAMPLE_BYTES = 64 << 20
 RECALL = 0.998  # wanted of pairs at the threshold, were bits independent
 ROUNDS = 40
+NEAR = 0.05  # quantile of the sample's distances from its mean for which the tables are planned
+MOST_TABLES = 128
 BLOCK = 1024
 
 
@@ -76,11 +78,20 @@ def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*own.columns, pa.array(units, pa.binary())], ["vec_id", "label", "unit"])
 
 
-def _plan(size: int, threshold: float) -> tuple[int, int]:
-    """Tables and bits per substring for the largest label."""
+def _plan(size: int, threshold: float, sample: np.ndarray) -> tuple[int, int]:
+    """Tables and bits per substring for the largest label.
+
+    Codes are taken about the sample's mean, from where two vectors at the threshold are seen under a wider angle than from the
+    origin, the more so the nearer they are to the mean; the angle counts as seen by a near one.  Where vectors share so much of
+    their direction that more tables would be needed than there may be, substrings get shorter, and buckets larger.
+    """
+    half = math.sqrt((1 - threshold) / 2)
+    near = float(np.quantile(np.linalg.norm(sample - sample.mean(0), axis=1), NEAR))
+    bit = 1 - 2 * math.asin(half / max(near, 1.2 * half)) / math.pi if half else 1 - 1e-9
     bits = min(40, max(8, math.ceil(math.log2(max(2, size)))))
-    agree = (1 - math.acos(threshold) / math.pi) ** bits
-    return max(2, math.ceil(math.log(1 - RECALL) / math.log(1 - agree))), bits
+    while bits > 1 and math.log(1 - RECALL) / math.log1p(-(bit**bits)) > MOST_TABLES:
+        bits -= 1
+    return max(2, math.ceil(math.log(1 - RECALL) / math.log1p(-(bit**bits)))), bits
 
 
 def _linked(threshold: float, tables: int):
@@ -155,12 +166,12 @@ def deduplicated(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     reps = units.withColumn("same", F.sha2("unit", 256)).join(same.drop("bytes"), ["label", "same"]).where("vec_id = rep")
     reps = stored(reps.dropDuplicates(["label", "same"]).select("vec_id", "label", "unit", "weight"), "itq-representatives")
 
-    tables, bits = _plan(largest, threshold)
     limit = max(2, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width)))
     drawn = [np.frombuffer(r["unit"], np.float64) for r in reps.orderBy(F.xxhash64("vec_id"), "vec_id").limit(limit).select("unit").collect()]
     lengths = [len(v) for v in drawn]
     usual = max(set(lengths), key=lengths.count) if lengths else 1
     sample = np.array([v for v in drawn if len(v) == usual]) if drawn else np.eye(2)
+    tables, bits = _plan(largest, threshold, sample)
     shared = vectors.sparkSession.sparkContext.broadcast(Codes(sample, tables, bits))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -307,18 +307,28 @@ def test_embeddings(spark):
         assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in got)
 
 
-def test_embedding_recall(spark):
-    """Of the links that brute force finds in a whole table."""
-    folder = "/root/testdata/check_s"
-    df = spark.read.parquet(f"{folder}/embeddings.parquet")
-    got = QUERIES["op2_embedding_dedup"](spark, folder).toPandas()
-    rows = df.toPandas()
-    total = 0
-    for _, g in rows.groupby("label"):
-        x = np.array(list(g["embedding"]), dtype=np.float64)
-        x /= np.linalg.norm(x, axis=1)[:, None]
-        total += int((x @ x.T >= 0.98).sum()) - len(x)
-    assert 0.99 * total <= got["n_links"].sum() <= total and total > 10_000
+@pytest.mark.parametrize("shared", [0.0, 0.9, 0.95])
+def test_embedding_recall(spark, shared):
+    """Of the links that brute force finds, also where all vectors have much of their direction in common."""
+    rng, d = np.random.default_rng(int(100 * shared)), 64
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    common = unit(rng.normal(size=d))
+    x = unit(shared * common + np.sqrt(1 - shared**2) * unit(rng.normal(size=(700, d))))
+    # A partner for each at a cosine of 0.980 to 0.9825, as far from the mean as it is.
+    side = rng.normal(size=x.shape)
+    side -= (side @ common)[:, None] * common
+    side = unit(side - (side * x).sum(1)[:, None] * x)
+    cosine = rng.uniform(0.98, 0.9825, (len(x), 1))
+    x = unit(np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * side]))
+    label = rng.integers(0, 2, 700).tolist() * 2
+    df = spark.createDataFrame([(i, v.tolist(), g, "x") for i, (v, g) in enumerate(zip(x, label))], "vec_id long, embedding array<double>, label int, unit string")
+    found = embedding_dedup.deduplicated(df).agg(F.sum("n_links")).first()[0]
+    same = np.array(label)[:, None] == np.array(label)[None, :]
+    total = int(((x @ x.T >= 0.98) & same).sum()) - len(x)
+    assert 0.99 * total <= found <= total and total >= 1200
 
 
 def test_html(spark):
