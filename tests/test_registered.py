@@ -1,5 +1,9 @@
 """Every registered query against its comparison SQL."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import compare, connect
 
@@ -17,6 +21,19 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES) and set(oracle_sql()) <= set(queries())
 
 
+@pytest.mark.parametrize("absent", ["corpus_pipeline", "public_tokenizers", "zstandard", "firnflow.llm"])
+def test_entry_without_the_subpackage(absent):
+    """What only the subpackage needs may be missing; the library's own queries stay."""
+    code = (
+        f"import sys; sys.modules[{absent!r}] = None\n"
+        "import __spark_entry__ as e\n"
+        "from firnflow.plans.queries import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())"
+    )
+    root = Path(__file__).parent.parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["href"]
     assert entry(spark).count() == 1100
