@@ -865,6 +865,18 @@ add(
         AND version = '002' AND datetime >= TIMESTAMP '1995-03-01' AND datetime < TIMESTAMP '1998-01-01'""",
 )
 
+add(
+    "visible_patches",
+    "observations",
+    """SELECT point_id, DATE '1970-01-01' + CAST(min(d) AS INT) AS first, DATE '1970-01-01' + CAST(max(d) + 1 AS INT) AS after, date_dt_days, l_orderkey, l_linenumber, l_partkey
+       FROM (SELECT *, CAST(d AS INT) - CAST(row_number() OVER (PARTITION BY point_id, date_dt_days, l_orderkey, l_linenumber, l_partkey ORDER BY d) AS INT) AS run
+             FROM (SELECT point_id, n AS d, date_dt_days, l_orderkey, l_linenumber, l_partkey FROM painted
+                   QUALIFY row_number() OVER (PARTITION BY point_id, n ORDER BY date_dt_days, l_orderkey, l_linenumber, l_partkey) = 1))
+       GROUP BY point_id, run, date_dt_days, l_orderkey, l_linenumber, l_partkey""",
+    """pairs AS (SELECT *, CAST(mid_date AS DATE) - DATE '1970-01-01' AS m, CAST(floor(date_dt_days / 2) AS INT) AS half FROM observations WHERE v IS NOT NULL),
+       painted AS (SELECT point_id, date_dt_days, l_orderkey, l_linenumber, l_partkey, unnest(range(m - half, m + CAST(date_dt_days AS INT) - half)) AS n FROM pairs)""",
+)
+
 # ---- point files and rings -----------------------------------------------------------------------------------------
 _PARSED = """parsed AS (SELECT line_id, TRY_CAST(split_part(value, ',', 1) AS DOUBLE) AS a, TRY_CAST(split_part(value, ',', 2) AS DOUBLE) AS b
     FROM point_lines)"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firnflow.functions import filters as flt
 from firnflow.functions import projections, rings, scaling, sensors, tiles, times, urls
-from firnflow.operators import asof, elevation, locate, profile, resample, running_mean, saved, search, series, subcube
+from firnflow.operators import asof, elevation, locate, profile, resample, running_mean, saved, search, series, subcube, visible
 from firnflow.plans import products
 from firnflow.plans.views import VIEWS, settled_view, table, view
 from firnflow.session import shared_folder, utc
@@ -861,6 +861,15 @@ def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.patches(dated, products.TOP_SPEED / 2, ["profile_id", "k"])
 
 
+@register
+def visible_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is seen of all image pairs of a point when they are drawn from the longest separation down."""
+    start, stop = products.acquisition_dates(F.col("mid_date"), F.col("date_dt_days"))
+    pairs = observations(spark, sf_dir).where("v IS NOT NULL").select("point_id", "date_dt_days", "l_orderkey", "l_linenumber", "l_partkey",
+                                                                      start.alias("t1"), stop.alias("t2"))
+    return visible.visible_segments(pairs, ["point_id"], "t1", "t2", ["date_dt_days", *OBSERVATION_ORDER])
+
+
 # ---- cut-outs ----------------------------------------------------------------------------------------------------
 
 
