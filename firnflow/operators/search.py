@@ -55,7 +55,8 @@ def fixed_path_href(assets_json: Column, key: str = "data") -> Column:
     return F.get_json_object(assets_json, f"$.{key}.href")
 
 
-def _hrefs(granules: DataFrame, asset_type: str) -> DataFrame:
+def with_hrefs(granules: DataFrame, asset_type: str) -> DataFrame:
+    """Rows with ``href``: one per data asset of the suffix, or those whose address ends with it."""
     if "assets" not in granules.columns:
         return granules.where(F.endswith("href", F.lit(asset_type)))
     if granules.schema["assets"].dataType.typeName() == "string":
@@ -97,7 +98,7 @@ def match(
 
 def search(granules: DataFrame, asset_type: str = ".nc", ordered: bool = False, **conditions: Any) -> DataFrame:
     """Distinct file addresses (``href``) of the matching granules; ``conditions`` as in ``match``."""
-    found = _hrefs(match(granules, **conditions), asset_type).select("href").distinct()
+    found = with_hrefs(match(granules, **conditions), asset_type).select("href").distinct()
     return found.orderBy("href") if ordered else found
 
 

@@ -90,6 +90,21 @@ add(
        ON minx <= roi_maxx AND maxx >= roi_minx AND miny <= roi_maxy AND maxy >= roi_miny
        AND greatest(0, minx - roi_cx, roi_cx - maxx) + greatest(0, miny - roi_cy, roi_cy - maxy) <= roi_half""",
 )
+add(
+    "stream_regions",
+    "granules rois",
+    f"""SELECT DISTINCT roi_id, href FROM granules JOIN rois
+       ON minx <= roi_maxx AND maxx >= roi_minx AND miny <= roi_maxy AND maxy >= roi_miny
+       AND greatest(0, minx - roi_cx, roi_cx - maxx) + greatest(0, miny - roi_cy, roi_cy - maxy) <= roi_half
+       WHERE percent_valid_pixels >= 20 AND {PERIOD}""",
+)
+add(
+    "stream_region_coverage",
+    "granules rois",
+    f"""SELECT roi_id, CAST(year(datetime) AS INT) AS year, count(*) AS files FROM granules JOIN rois
+        ON minx <= roi_maxx AND maxx >= roi_minx AND miny <= roi_maxy AND maxy >= roi_miny
+        WHERE percent_valid_pixels >= 20 AND {PERIOD} GROUP BY ALL""",
+)
 for key in ("search_pruned", "search_unpruned"):
     add(key, "granules", f"SELECT DISTINCT href FROM granules WHERE {BBOX} AND percent_valid_pixels >= 10 AND {PERIOD}")
 _HOLED = f"({overlaps(-65, 62, -35, 80)} AND NOT (minx > -58 AND maxx < -42 AND miny > 66 AND maxy < 77))"
@@ -536,6 +551,13 @@ add(
        WHERE v IS NOT NULL AND vx IS NOT NULL AND vy IS NOT NULL AND v_error IS NOT NULL""",
     _LABELLED,
 )
+add(
+    "export_clustered",
+    "observations",
+    """SELECT round(lon, 4) AS lon, round(lat, 4) AS lat, count(*) AS rows, min(mid_date) AS first, max(mid_date) AS last, round(sum(v), 4) AS total_v
+       FROM labelled WHERE v IS NOT NULL AND vx IS NOT NULL AND vy IS NOT NULL AND v_error IS NOT NULL GROUP BY ALL""",
+    _LABELLED,
+)
 add(
     "export_extra_variable",
     "observations",

@@ -224,6 +224,31 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("href string").parquet(out + "/found")
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = landing.landed(utc(spark), f"{sf_dir}/orders.parque[t]", table(spark, sf_dir, "orders").schema)
+    return rows.selectExpr(*VIEWS["granules"].columns)
+
+
+@register
+def stream_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed granules as a stream against the table of polygons, run to its end."""
+    rois = _diamonds(spark, sf_dir).select("roi_id", *("roi_" + n for n in search.BOX), "roi_ring")
+    found = landing.stream_search_many(_arriving(spark, sf_dir), rois, "36500 days", "datetime", percent_valid_pixels=20, **PERIOD)
+    out = shared_folder(spark, "stream-regions")
+    landing.to_files(found, out + "/found", out + "/state").awaitTermination()
+    return spark.read.schema("roi_id long, href string").parquet(out + "/found")
+
+
+@register
+def stream_region_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files per region and year as the stream has left them."""
+    rois = view(spark, sf_dir, "rois").select("roi_id", *("roi_" + n for n in search.BOX))
+    counts = landing.stream_coverage(_arriving(spark, sf_dir), rois, percent_valid_pixels=20, **PERIOD)
+    out = shared_folder(spark, "stream-coverage")
+    landing.to_updates(counts, out + "/counts", out + "/state").awaitTermination()
+    return landing.latest(spark, out + "/counts", "roi_id long, year int, files long", ["roi_id", "year"])
+
+
 # ---- filters -----------------------------------------------------------------------------------------------------
 
 
@@ -659,6 +684,17 @@ def export_extra_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("mid_date", "lat", "lon", "v [m/yr]", "date_dt [days]", "satellite")
 
 
+@register
+def export_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of all points written in few files, and the table that tells the file of each."""
+    path = shared_folder(spark, "clustered")
+    series_sink.write_clustered(_labelled(spark, sf_dir), path)
+    index = spark.read.parquet(path + "/index")
+    spread = index.groupBy("lon", "lat").agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+    rows = spark.read.parquet(path + "/data").groupBy("lon", "lat").agg(F.round(F.sum("`v [m/yr]`"), 4).alias("total_v"))
+    return spread.join(rows, ["lon", "lat"])
+
+
 @register
 def variable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid values per variable next to its description and label."""

@@ -331,3 +331,69 @@ def test_stream_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
 def test_stream_without_region(spark, sf_dir):
     arriving = landing.landed(spark, sf_dir, view(spark, sf_dir, "granules").schema, pattern="none")
     assert landing.stream_search(arriving, "1 day").columns == ["href"]
+
+
+BOXES = "roi_id long, roi_minx double, roi_miny double, roi_maxx double, roi_maxy double"
+
+
+def test_stream_forms(spark, sf_dir):
+    """Regions with holes, assets and footprints in the stream as in the search over the same rows."""
+    from firnflow.functions import rings
+    from firnflow.plans.queries import MIXED_PARTS
+
+    path, out = shared_folder(spark, "test-landing"), shared_folder(spark, "test-stream")
+    box = rings.box_ring(*(F.col(n) for n in search.BOX))
+    rows = view(spark, sf_dir, "granules").withColumn("footprint", box)
+    assets = F.create_map(F.lit("a"), F.struct(F.col("href"), F.array(F.lit("data")).alias("roles")),
+                          F.lit("b"), F.struct(F.replace("href", F.lit(".nc"), F.lit(".tif")).alias("href"), F.array(F.lit("data")).alias("roles")))
+    rows.withColumn("assets", assets).drop("href").repartition(3).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for n, (where, suffix) in enumerate((({"geojson": MIXED_PARTS}, ".nc"), ({"polygon": [(-60, 62), (-40, 62), (-40, 80)]}, ".tif"))):
+        conditions = {"percent_valid_pixels": 10, "start": "1990-01-01", **where}
+        arriving = landing.landed(spark, path, stored.schema, files_per_batch=1)
+        found = landing.stream_search(arriving, "20000 days", event_time="datetime", asset_type=suffix, **conditions)
+        landing.to_files(found, f"{out}/{n}", f"{out}/state{n}").awaitTermination()
+        got = sorted(r.href for r in spark.read.parquet(f"{out}/{n}").collect())
+        assert got == sorted(r.href for r in search.search(stored, suffix, **conditions).collect()) and got and got[0].endswith(suffix)
+
+
+def test_stream_of_regions_goes_on_after_a_restart(spark, sf_dir):
+    """Files that land between two runs from one checkpoint: pairs once, counts go on."""
+    path, out = shared_folder(spark, "test-landing"), shared_folder(spark, "test-stream")
+    rows = view(spark, sf_dir, "granules")
+    rois = spark.createDataFrame([(i, -70.0 + 3 * i, 60.0 + i, -66.0 + 3 * i, 63.0 + i) for i in range(12)], BOXES)
+    conditions = {"percent_valid_pixels": 5, "start": "1990-01-01"}
+    for part in range(3):
+        # The second part comes again with the third.
+        rows.where(F.col("granule_id") % 3 == part).unionByName(rows.where((F.col("granule_id") % 3 == 1) & F.lit(part == 2))).write.mode("append").parquet(path)
+        arriving = landing.landed(spark, path, rows.schema, files_per_batch=2)
+        landing.to_files(landing.stream_search_many(arriving, rois, "20000 days", "datetime", **conditions), out + "/found", out + "/s1").awaitTermination()
+        landing.to_updates(landing.stream_coverage(arriving, rois, **conditions), out + "/counts", out + "/s2").awaitTermination()
+    stored = spark.read.parquet(path).where("percent_valid_pixels >= 5")
+    want = search.search_many(stored, rois)
+    pairs = [(r.roi_id, r.href) for r in spark.read.parquet(out + "/found").collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {(r.roi_id, r.href) for r in want.collect()} and len(pairs) > 100
+    counts = landing.latest(spark, out + "/counts", "roi_id long, year int, files long", ["roi_id", "year"]).collect()
+    by_year = want.groupBy("roi_id", F.year("datetime").alias("year")).count().collect()
+    assert sorted(map(tuple, counts)) == sorted(map(tuple, by_year))
+
+
+def test_clustered_series(spark, tmp_path):
+    """Many points in few files; one of them comes back from its own file alone."""
+    import math
+
+    many = spark.range(3000).select(
+        (F.col("id") / 7 % 90).alias("lon"), (F.col("id") % 50 + 0.12345).alias("lat"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("day"), F.col("id").cast("double").alias("v")
+    )
+    rows = many.select("lon", "lat", F.make_date(F.lit(2020), F.lit(1), F.col("day")).cast("timestamp").alias("mid_date"), "v", F.lit(3413).alias("epsg"))
+    for form in ("parquet", "csv"):
+        path = str(tmp_path / form)
+        series_sink.write_clustered(rows, path, form, ["v"], files=6)
+        files = [f for f in (tmp_path / form / "data").glob("*") if f.name.startswith("part-")]
+        index = spark.read.parquet(path + "/index")
+        assert 1 < len(files) <= 6 and index.agg(F.sum("rows")).first()[0] == 12_000 and index.select("lon", "lat").distinct().count() == 3000
+        one = series_sink.read_point(spark, path, 1701 / 7 % 90, 1.12345)
+        assert len(one.inputFiles()) == 1 if form == "parquet" else True
+        assert [(r["v [m/yr]"], r["mid_date"].day) for r in one.orderBy("mid_date").collect()] == [(1701.0, d) for d in (1, 2, 3, 4)]
+        assert series_sink.read_point(spark, path, 1.0, 1.0).count() == 0
+    assert math.isclose(one.first().lon, 1701 / 7 % 90, abs_tol=5e-5)
