@@ -231,7 +231,7 @@ def _marked(keys: np.ndarray, bits: np.ndarray) -> None:
 
 
 def _passed(batches: Iterator[pa.RecordBatch], t: Trie, ends: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the candidates in all arrays of a task, and of their extensions by one word in each array.
+    """Counts of the candidates in all arrays of a task, with ``code`` 0, and of their extensions by a word's code in each array.
 
     ``ends`` is a filter of all candidates of this length: an extension whose last words are surely none is not frequent.
     """
@@ -250,16 +250,26 @@ def _passed(batches: Iterator[pa.RecordBatch], t: Trie, ends: np.ndarray | None)
                 pair, n = np.unique((found[inner][known].astype(np.int64) << 32) | following[inner][known], return_counts=True)
                 for lo in range(0, len(pair), 100_000):
                     some = pair[lo : lo + 100_000]
-                    keys = np.column_stack([t.phrases[some >> 32], codes[some & 0xFFFFFFFF]])
-                    yield _counted(keys, n[lo : lo + 100_000], True)
+                    yield _counted(some >> 32, codes[some & 0xFFFFFFFF], n[lo : lo + 100_000])
     met = np.flatnonzero(total)
     for lo in range(0, len(met), 100_000):
         some = met[lo : lo + 100_000]
-        yield _counted(t.phrases[some], total[some], False)
+        yield _counted(some, np.zeros(len(some), np.uint64), total[some])
 
 
-def _counted(keys: np.ndarray, n: np.ndarray, following: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_keys(keys), pa.array(n), pa.array(np.full(len(n), following))], ["key", "n", "following"])
+def _counted(at: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(code.view(np.int64)), pa.array(n)], ["at", "code", "n"])
+
+
+def _spelled(batches: Iterator[pa.RecordBatch], t: Trie) -> Iterator[pa.RecordBatch]:
+    """Candidates and extensions by their codes, from the numbers that they have in the trie."""
+    for b in batches:
+        phrases, code = t.phrases[b.column("at").to_numpy()], b.column("code").to_numpy().view(np.uint64)
+        for following in (False, True):
+            here = (code != 0) == following
+            keys = np.column_stack([phrases[here], code[here]]) if following else phrases[here]
+            n = b.column("n").filter(pa.array(here))
+            yield pa.RecordBatch.from_arrays([_keys(keys), n, pa.array(np.full(len(n), following))], ["key", "n", "following"])
 
 
 def _level(arrays: DataFrame, candidates: DataFrame, size: int, extend: bool, least: int, per_trie: int) -> DataFrame:
@@ -284,9 +294,10 @@ def _level(arrays: DataFrame, candidates: DataFrame, size: int, extend: bool, le
         if not len(keys):
             continue
         sent = spark.sparkContext.broadcast((trie(keys), ends))
-        rows = arrays.mapInArrow(lambda batches, sent=sent: _passed(batches, *sent.value), "key binary, n long, following boolean")
-        sums = rows.groupBy("key", "following").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        found.append(stored(sums, f"collocations-{size}"))
+        rows = arrays.mapInArrow(lambda batches, sent=sent: _passed(batches, *sent.value), "at int, code long, n long")
+        sums = rows.groupBy("at", "code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        named = sums.mapInArrow(lambda batches, sent=sent: _spelled(batches, sent.value[0]), "key binary, n long, following boolean")
+        found.append(stored(named, f"collocations-{size}"))
         sent.destroy()
     return reduce(DataFrame.unionByName, found)
 
