@@ -1,12 +1,14 @@
 """Comparison SQL for the registered queries, written for DuckDB from the definitions, not from the Spark plans.
 
 Regions are tested by separating axes or case by case, running means by a literal range join, calendars by generated series,
-projections by the same published formulas in plain SQL.
+projections by
+series that are fitted here to the definitions of the latitudes.
 """
 
 from __future__ import annotations
 
-from firnflow.functions import projections as prj
+import math
+
 from firnflow.plans.queries import ELEVATION_GRID, IRREGULAR_AXIS, PROFILE_INTERVAL
 from firnflow.plans.views import VIEWS
 
@@ -329,21 +331,74 @@ add(
 
 
 # ---- projections ---------------------------------------------------------------------------------------------------
+# The WGS 84 ellipsoid, the polar systems (latitude of true scale, central meridian, side) and the scale of UTM.
+_MAJOR, _FLAT = 6378137.0, 1 / 298.257223563
+_ECC = math.sqrt(_FLAT * (2 - _FLAT))
+_POLAR = {3413: (70.0, -45.0, 1), 3031: (71.0, 0.0, -1)}
+_UTM_SCALE = 0.9996
+
+# The series are not taken from the library but fitted here, from the definitions of the latitudes, by sums over a period.
+_POINTS = 512
+
+
+def _conformal(phi: float) -> float:
+    return math.atan(math.sinh(math.asinh(math.tan(phi)) - _ECC * math.atanh(_ECC * math.sin(phi))))
+
+
+def _solved(f, y: float) -> float:
+    """Angle at which a function near the identity has the value y."""
+    x = y
+    for _ in range(60):
+        x += y - f(x)
+    return x
+
+
+def _curvature(phi: float) -> float:
+    return _MAJOR * (1 - _ECC**2) / (1 - (_ECC * math.sin(phi)) ** 2) ** 1.5
+
+
+_WAVES = [sum(_curvature(math.pi * i / _POINTS) * math.cos(2 * k * math.pi * i / _POINTS) for i in range(_POINTS)) / _POINTS for k in range(8)]
+_RECTIFYING = _WAVES[0]  # radius of the circle that is as long as the meridian
+
+
+def _rectifying(phi: float) -> float:
+    return phi + sum(_WAVES[k] * math.sin(2 * k * phi) / k for k in range(1, 8)) / _RECTIFYING
+
+
+def _sines(f, terms: int = 5) -> list[float]:
+    """Coefficients of sin 2x, sin 4x and so on of an odd function of period pi."""
+    places = [math.pi * i / _POINTS for i in range(1, _POINTS // 2)]
+    values = [f(x) for x in places]
+    return [4 / _POINTS * sum(v * math.sin(2 * k * x) for x, v in zip(places, values)) for k in range(1, terms + 1)]
+
+
+_TO_GEODETIC = _sines(lambda chi: _solved(_conformal, chi) - chi)
+_TO_RECTIFYING = _sines(lambda chi: _rectifying(_solved(_conformal, chi)) - chi)
+_FROM_RECTIFYING = _sines(lambda mu: mu - _conformal(_solved(_rectifying, mu)))
+
+
+def _polar_scale(true: float) -> float:
+    """Metres of radius per unit of the isometric co-latitude's exponential, from the radius at the latitude of true scale."""
+    phi = math.radians(true)
+    radius = _MAJOR * math.cos(phi) / math.sqrt(1 - (_ECC * math.sin(phi)) ** 2)
+    return radius / math.tan(math.pi / 4 - _conformal(phi) / 2)
+
+
 def polar_xy(lon: str, lat: str, epsg: int) -> tuple[str, str]:
-    s = prj.POLAR_SYSTEMS[epsg]
-    phi, e = f"radians({s.side} * ({lat}))", repr(prj.ECC)
+    true, lon0, side = _POLAR[epsg]
+    phi, e = f"radians({side} * ({lat}))", repr(_ECC)
     t = f"(tan(pi() / 4 - {phi} / 2) / pow((1 - {e} * sin({phi})) / (1 + {e} * sin({phi})), {e} / 2))"
-    rho, turn = f"({prj.polar_scale(s.lat_ts)!r} * {t})", f"radians(({lon}) - ({s.lon0}))"
-    return f"({rho} * sin({turn}))", f"({-s.side} * {rho} * cos({turn}))"
+    rho, turn = f"({_polar_scale(true)!r} * {t})", f"radians(({lon}) - ({lon0}))"
+    return f"({rho} * sin({turn}))", f"({-side} * {rho} * cos({turn}))"
 
 
 def polar_lonlat(x: str, y: str, epsg: int) -> tuple[str, str]:
-    s = prj.POLAR_SYSTEMS[epsg]
-    chi = f"(pi() / 2 - 2 * atan(sqrt(({x}) * ({x}) + ({y}) * ({y})) / {prj.polar_scale(s.lat_ts)!r}))"
-    series = " + ".join(f"{c!r} * sin({2 * k} * {chi})" for k, c in enumerate(prj.CONFORMAL, start=1))
-    lon = f"({s.lon0} + degrees(atan2({x}, {-s.side} * ({y}))))"
+    true, lon0, side = _POLAR[epsg]
+    chi = f"(pi() / 2 - 2 * atan(sqrt(({x}) * ({x}) + ({y}) * ({y})) / {_polar_scale(true)!r}))"
+    series = " + ".join(f"({c!r}) * sin({2 * k} * {chi})" for k, c in enumerate(_TO_GEODETIC, start=1))
+    lon = f"({lon0} + degrees(atan2({x}, {-side} * ({y}))))"
     wrapped = f"(CASE WHEN {lon} > 180 THEN {lon} - 360 WHEN {lon} < -180 THEN {lon} + 360 ELSE {lon} END)"
-    return wrapped, f"({s.side} * degrees({chi} + {series}))"
+    return wrapped, f"({side} * degrees({chi} + {series}))"
 
 
 _ZONE = """CASE WHEN lat >= 56 AND lat < 64 AND lon >= 3 AND lon < 12 THEN 32
@@ -365,10 +420,10 @@ add(
         FROM (SELECT profile_id, seq, x * 300 - 900000 AS px, y * -310 - 300000 AS py FROM polylines)""",
 )
 add("working_system", "utm_points", f"SELECT point_id, {_SYSTEM} AS epsg FROM utm_points")
-_Q = repr(2 * prj._N**0.5 / (1 + prj._N))
-_K = repr(prj.UTM_SCALE * prj.RECTIFYING_RADIUS)
-_xi = "xi0 + " + " + ".join(f"{a!r} * sin({2 * j} * xi0) * cosh({2 * j} * eta0)" for j, a in enumerate(prj.ALPHA, start=1))
-_eta = "eta0 + " + " + ".join(f"{a!r} * cos({2 * j} * xi0) * sinh({2 * j} * eta0)" for j, a in enumerate(prj.ALPHA, start=1))
+_Q = repr(_ECC)
+_K = repr(_UTM_SCALE * _RECTIFYING)
+_xi = "xi0 + " + " + ".join(f"({a!r}) * sin({2 * j} * xi0) * cosh({2 * j} * eta0)" for j, a in enumerate(_TO_RECTIFYING, start=1))
+_eta = "eta0 + " + " + ".join(f"({a!r}) * cos({2 * j} * xi0) * sinh({2 * j} * eta0)" for j, a in enumerate(_TO_RECTIFYING, start=1))
 _NX, _NY = polar_xy("lon", "lat", 3413)
 _SX, _SY = polar_xy("lon", "lat", 3031)
 # UTM goes as far as 84 degrees; the working systems are polar from 65 on.
@@ -383,9 +438,9 @@ for key, system in (("project_utm", _SYSTEM.replace("65", "84")), ("project_mixe
             b AS (SELECT point_id, epsg, lon, lat, sinh(atanh(s) - {_Q} * atanh({_Q} * s)) AS t, radians(lon - (6 * (epsg % 100) - 183)) AS dl FROM a),
             c AS (SELECT point_id, epsg, lon, lat, atan2(t, cos(dl)) AS xi0, CASE WHEN epsg > 32000 THEN atanh(sin(dl) / sqrt(1 + t * t)) ELSE 0 END AS eta0 FROM b)""",
     )
-_xi0 = "xi - (" + " + ".join(f"{b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
-_eta0 = "eta - (" + " + ".join(f"{b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(prj.BETA, start=1)) + ")"
-_lat = "chi + " + " + ".join(f"({d!r}) * sin({2 * j} * chi)" for j, d in enumerate(prj.DELTA, start=1))
+_xi0 = "xi - (" + " + ".join(f"({b!r}) * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(_FROM_RECTIFYING, start=1)) + ")"
+_eta0 = "eta - (" + " + ".join(f"({b!r}) * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(_FROM_RECTIFYING, start=1)) + ")"
+_lat = "chi + " + " + ".join(f"({d!r}) * sin({2 * j} * chi)" for j, d in enumerate(_TO_GEODETIC, start=1))
 add(
     "unproject_utm",
     "polylines",

@@ -313,13 +313,10 @@ def saved_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def mission_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        search.match(granules(spark, sf_dir), bbox=WIDE_BBOX, mission=m, **PERIOD).select(
-            F.lit(m).alias("mission"), "granule_id", "platform"
-        )
-        for m in ("sentinel1", "SENTINEL2", "landsatOLI")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Granules with each mission, in any case, that they belong to, in one scan."""
+    named = F.array(*(F.when(flt.mission_predicate(m), F.lit(m)) for m in ("sentinel1", "SENTINEL2", "landsatOLI")))
+    rows = search.match(granules(spark, sf_dir), bbox=WIDE_BBOX, **PERIOD)
+    return rows.select(F.explode(F.array_compact(named)).alias("mission"), "granule_id", "platform")
 
 
 @register
