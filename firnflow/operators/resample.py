@@ -82,39 +82,60 @@ def _sorted_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     return ranked.where(middle | ((F.col("_n") == 0) & (F.col("_rank") == 1))).groupBy(*keys).agg(F.avg(value).alias("value"))
 
 
+# Each bucket that holds a middle rank is cut into so many parts of equal width, and the parts that hold one again.
+PARTS, CUTS = 4096, 2
+
+
 def spread_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Median per key without bringing a key's rows together.
 
     Equal values are counted, counts are added per magnitude, and only the one or two magnitudes that hold the middle ranks
-    are looked at again.  A key with a third of all rows is thus spread over many tasks at every step.
+    are looked at again, cut by their own least and greatest value, and so once more.  A key with a third of all rows is thus
+    spread over many tasks at every step, also where its values lie close to each other.
     """
     keys = list(keys)
-    counted = (
-        _without_nan(rows, value).groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_b", _magnitude_bucket(F.col("_v")))
-    )
-    valid = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
-    sizes = counted.groupBy(*keys, "_b").agg(F.sum(valid).alias("_m"))
-    per_key = W.partitionBy(*keys)
-    upto = F.sum("_m").over(per_key.orderBy("_b").rowsBetween(W.unboundedPreceding, 0))
-    ranked = sizes.withColumns({"_n": F.sum("_m").over(per_key), "_upto": upto}).withColumns(
-        {
-            "_before": F.col("_upto") - F.col("_m"),
-            "_lo": F.floor((F.col("_n") + 1) / 2),
-            "_hi": F.floor(F.col("_n") / 2) + 1,
-        }
-    )
-    holds = (F.col("_before") < F.col("_hi")) & (F.col("_upto") >= F.col("_lo"))
-    chosen = ranked.where(holds | (F.col("_n") == 0)).select(*keys, "_b", "_before", "_lo", "_hi")
+    middle = middle_values(rows, keys, value)
     within = W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    run = F.col("_before") + F.sum("_c").over(within)
-    middle = counted.join(chosen, [*keys, "_b"]).withColumn("_run", run)
+    middle = middle.withColumn("_run", F.col("_before") + F.sum("_c").over(within))
     low = F.min(F.when(F.col("_run") >= F.col("_lo"), F.col("_v")))
     high = F.min(F.when(F.col("_run") >= F.col("_hi"), F.col("_v")))
     return middle.groupBy(*keys).agg(((low + high) / 2).alias("value"))
 
 
+def middle_values(rows: DataFrame, keys: Sequence[str], value: str, cuts: int = CUTS) -> DataFrame:
+    """The different values ``_v`` near the middle of each key with their number ``_c``, in buckets ``_b`` that hold a middle rank.
+
+    ``_before`` is how many values of the key are less than those of the bucket, ``_lo`` and ``_hi`` are the middle ranks.
+    """
+    keys = list(keys)
+    counted = _without_nan(rows, value).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    counted = counted.withColumns(
+        {"_c": F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0), "_b": _magnitude_bucket(F.col("_v")).cast("long")}
+    )
+    sizes = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_m"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    per_key = W.partitionBy(*keys)
+    n = F.sum("_m").over(per_key)
+    ranked = sizes.withColumns({"_lo": F.floor((n + 1) / 2), "_hi": F.floor(n / 2) + 1, "_before": F.lit(0).cast("long")})
+    middle = counted.join(_holding(ranked, keys, "_b"), [*keys, "_b"])
+    for _ in range(cuts):
+        wide = F.col("_max") > F.col("_min")
+        part = F.least(F.floor((F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * PARTS), F.lit(PARTS - 1))
+        cut = middle.withColumn("_p", F.when(wide, part).otherwise(0).cast("long"))
+        ranks = ["_before", "_lo", "_hi"]
+        sizes = cut.groupBy(*keys, "_b", *ranks, "_p").agg(F.sum("_c").alias("_m"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        held = _holding(sizes, [*keys, "_b"], "_p")
+        middle = cut.select(*keys, "_v", "_c", "_b", "_p").join(held, [*keys, "_b", "_p"]).withColumn("_b", F.col("_b") * PARTS + F.col("_p")).drop("_p")
+    return middle
+
+
+def _holding(sizes: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+    """Of the buckets of a key, in order, those that hold one of its middle ranks, with the number of values before them."""
+    upto = F.col("_before") + F.sum("_m").over(W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, 0))
+    found = sizes.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_m"))
+    holds = (F.col("_before") < F.col("_hi")) & (F.col("_upto") >= F.col("_lo"))
+    return found.where(holds).select(*keys, bucket, "_before", "_lo", "_hi", "_min", "_max")
+
+
 def resample(
     rows: DataFrame,
     keys: Sequence[str],

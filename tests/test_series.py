@@ -183,3 +183,23 @@ def test_nan_in_medians(spark):
     rows = spark.createDataFrame([("a", float(i)) for i in range(9)] + [("a", float("nan")), ("b", float("nan"))], "k string, v double")
     for hot in (3, 1000):
         assert {r["k"]: r["value"] for r in resample.exact_median(rows, ["k"], "v", hot).collect()} == {"a": 4.0, "b": None}
+
+
+@pytest.mark.parametrize("near", ["equal parts", "one per cent", "few", "odd"])
+def test_median_of_near_values(spark, near):
+    """Values of one magnitude are cut again by their own range: what meets in one task at the end is a small part of them."""
+    ids = spark.range(200_001 if near == "odd" else 200_000).withColumn("k", F.when(F.col("id") % 5 == 0, F.lit(1)).otherwise(F.lit(0)))
+    value = {
+        "equal parts": F.col("id") * 0.25 - 1000,
+        "one per cent": 1000 + F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1e5,
+        "few": F.when(F.col("id") % 3 == 0, F.lit(None).cast("double")).otherwise(F.pmod(F.xxhash64("id"), F.lit(7)).cast("double")),
+        "odd": F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).when(F.col("id") % 7 == 0, 1e300).otherwise(F.exp(F.pmod(F.xxhash64("id"), F.lit(997)) / 50.0)),
+    }[near]
+    rows = ids.select("k", value.alias("v"))
+    got = {r["k"]: r["value"] for r in resample.spread_median(rows, ["k"], "v").collect()}
+    known = rows.where("v IS NOT NULL AND NOT isnan(v)").toPandas()
+    assert got == known.groupby("k")["v"].median().to_dict()
+    largest = resample.middle_values(rows, ["k"], "v").groupBy("k", "_b").count().agg(F.max("count")).first()[0]
+    assert largest <= 100
+    nothing = spark.createDataFrame([(1, None), (1, float("nan")), (2, 3.0)], "k int, v double")
+    assert {r["k"]: r["value"] for r in resample.spread_median(nothing, ["k"], "v").collect()} == {1: None, 2: 3.0}
