@@ -34,7 +34,7 @@ BEST = 2000  # phrases of a language
 CANDIDATES = 250_000  # of one trie, which then takes some 20 MB
 LOOKED = 200_000  # places of the double array that are tried at once for a state's children
 ROW_WORDS = 1_000_000  # of one array of word numbers, if no text is longer
-REMEMBERED = 500_000  # different words a task holds before it passes on their counts
+REMEMBERED = 250_000  # different words a task holds before it passes on their counts
 MOST_BITS = 1 << 27  # of the filter of a level's candidates; 16 bits for each up to there, and fewer beyond
 SALTS = 32  # parts of a language that are ranked before the whole
 
