@@ -25,7 +25,7 @@ from firnflow.llm.common import stored, whole
 WINDOW = 4096
 END_ID = 2
 REMEMBERED = 1_000_000  # words, and stretches between white space, kept by each task: some 160 MB
-KEPT = 300_000  # up to which they stay for the worker's next task: some 45 MB
+KEPT = 800_000  # up to which they stay for the worker's next task, which finds most of its words there: some 130 MB
 LONGEST = 64  # characters of one that is kept
 BATCH = 2_000
 
@@ -61,20 +61,27 @@ class Words(dict):
                 held = []
 
     def found(self, stretches: list[str]) -> bytes:
-        """Ids of all stretches, one after the other, of which some are new."""
+        """Ids of all stretches, one after the other; each is looked up once, and again only if it is new."""
         if len(self) > REMEMBERED:
             self.clear()
-        new = {s for s in stretches if s not in self}
+        ids = list(map(self.get, stretches))
+        missing = [k for k, i in enumerate(ids) if i is None]
+        if not missing:
+            return b"".join(ids)
+        new = {stretches[k] for k in missing}
         cut = {s: _WORDS.findall(s) for s in new if not s.isalpha()}
         words = {s for s in new if s not in cut}.union(*cut.values())
         self.learn(words)
         for s, own in cut.items():
             self[s] = b"".join([self[w] for w in own])
-        out = b"".join([self[s] for s in stretches])
-        for s in new | words:
-            if len(s) > LONGEST:
-                del self[s]
-        return out
+        for k in missing:
+            ids[k] = self[stretches[k]]
+        # A word is no longer than a stretch that holds it.
+        if max(map(len, new)) > LONGEST:
+            for s in new | words:
+                if len(s) > LONGEST:
+                    del self[s]
+        return b"".join(ids)
 
 
 @cache
@@ -88,11 +95,7 @@ def token_bytes(words: Words, text: str) -> bytes:
     if _OTHER.search(text) or _SPECIAL in text:
         ids = words.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
-    stretches = text.lower().split()
-    try:
-        return b"".join(map(words.__getitem__, stretches))
-    except KeyError:
-        return words.found(stretches)
+    return words.found(text.lower().split())
 
 
 def tokens(docs: DataFrame, path: str) -> DataFrame:

@@ -452,3 +452,29 @@ def test_types(spark, sf_dir):
     for name, columns in want.items():
         schema = QUERIES[name](spark, sf_dir).schema
         assert all(isinstance(schema[c].dataType, t) for c, t in columns.items()), name
+
+
+def test_packing_lookups():
+    """A text with one new word looks every stretch up about once."""
+
+    class Counted(packing.Words):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+
+        def __contains__(self, w):
+            self.asked += 1
+            return super().__contains__(w)
+
+        def __getitem__(self, w):
+            self.asked += 1
+            return super().__getitem__(w)
+
+    words = Counted(Tokenizer.from_file(WORD_PATH))
+    packing.token_bytes(words, "to be or not to be")
+    words.asked = 0
+    text = "to be or not " * 100 + "seen"
+    ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.token_bytes(words, text) == struct.pack(f"<{len(ids)}I", *ids) and words.asked < 420
