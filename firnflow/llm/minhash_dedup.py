@@ -6,8 +6,9 @@ bits that differ between two documents tells how many samples differ.  Candidate
 confirmed by counting both whole sets.
 
 Texts with the same words are one document from the start.  In a band's bucket every document first meets the smallest one, so
-a group of n near copies costs n comparisons.  Only documents that then are still in different components meet each other, in
-blocks that carry whole texts: the most similar first, as long as their components stay apart, and only links leave the task.
+a group of n near copies costs n comparisons.  Only documents that then are still in different components meet each other, those
+of a bucket's largest component only the others, in blocks that carry whole texts: the most similar first, as long as their
+components stay apart, and only links leave the task.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnflow.llm.common import components, groups_of, in_blocks, stored, whole
+from firnflow.llm.common import across_blocks, components, groups_of, stored, whole
 
 WORDS = 5
 PERCENT = 85  # of op4; a caller without a threshold of its own takes less, see ``planned``
@@ -310,8 +311,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Buckets of three or more in which the smallest one has not connected all.
     placed = entries.where("n > 2").join(found, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node")).drop("a", "n")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("bucket")
-    dealt = in_blocks(placed.join(mixed, "bucket"), ["bucket"], "node", BLOCK).join(reps.drop("doc_id", "text_hash"), "node")
+    dealt = across_blocks(placed, ["bucket"], "component", "node", BLOCK).join(reps.drop("doc_id", "text_hash"), "node")
     names = ["_group", "node", "component", "n_shingles", "sketch", "bands", "bucket", "_block", "_inner"]
     dealt = dealt.select(*names).repartition("_group").sortWithinPartitions("_group")
     apart = stored(dealt.mapInArrow(lambda batches: _apart(batches, plan), "_group long, node long, component long, partners binary"), "minhash-apart")

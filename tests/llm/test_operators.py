@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from firnflow.llm import embedding_dedup, exact_dedup, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
-from firnflow.llm.common import components
+from firnflow.llm.common import across_blocks, components
 from firnflow.llm.queries import ORACLES, QUERIES
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, size int, row string, part string, _id string, _norm int"
@@ -454,6 +454,23 @@ def test_types(spark, sf_dir):
         assert all(isinstance(schema[c].dataType, t) for c, t in columns.items()), name
 
 
+def test_across_blocks(spark):
+    """Rows of different parts of a key meet once; a large part's rows are not dealt against each other."""
+    rows = [(1, i, 0 if i % 100 else i) for i in range(4000)] + [(2, i, i % 3) for i in range(50)] + [(3, i, 0) for i in range(900)] + [(4, 7, 7)]
+    dealt = across_blocks(spark.createDataFrame(rows, "k long, node long, part long"), ["k"], "part", "node", 16).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault(r["_group"], []).append(r)
+    met = []
+    for own in groups.values():
+        assert len(own) <= 64 and len({(r["k"], r["_inner"]) for r in own}) == 1
+        for i, a in enumerate(own):
+            met += [(a["k"], *sorted((a["node"], b["node"]))) for b in own[:i] if a["part"] != b["part"] and (a["_block"] == b["_block"]) == a["_inner"]]
+    wanted = {(k, i, j) for k in (1, 2) for x, j, p in rows if x == k for y, i, q in rows if y == k and p != q and i < j}
+    assert len(met) == len(set(met)) and set(met) == wanted
+    assert len(dealt) < 4000 * 3 + 40 * 250 + 40 * 3 + 400  # in blocks of all rows 1,000,000
+
+
 def test_packing_lookups():
     """A text with one new word looks every stretch up about once."""
 
