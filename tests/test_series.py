@@ -203,3 +203,14 @@ def test_median_of_near_values(spark, near):
     assert largest <= 100
     nothing = spark.createDataFrame([(1, None), (1, float("nan")), (2, 3.0)], "k int, v double")
     assert {r["k"]: r["value"] for r in resample.spread_median(nothing, ["k"], "v").collect()} == {1: None, 2: 3.0}
+
+
+def test_points_found_without_their_series(spark, sf_dir):
+    """Counting points does not pair them with their observations."""
+    from firnflow.operators import series
+    from firnflow.plans.queries import QUERIES, observations, view
+
+    whole = series.time_series(view(spark, sf_dir, "points"), view(spark, sf_dir, "cubes"), observations(spark, sf_dir))
+    counted = QUERIES["series_found"](spark, sf_dir)
+    assert counted.collect() == series.found_count(whole).collect()
+    assert "LeftSemi" in counted._jdf.queryExecution().executedPlan().toString()
