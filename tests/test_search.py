@@ -171,6 +171,13 @@ def test_nearest_index_by_brute_force(spark):
     assert df.where(wrong).count() == 0
 
 
+def test_nearest_index_by_a_hair(spark):
+    """The meridian of 180 degrees west: a tenth of a nanometre nearer to one of two centres is no tie."""
+    rows = spark.createDataFrame([(-1e-10, 2e5, 5), (0.0, 2e5, 6), (1e-10, 2e5, 6), (-1e-10, -2e5, 6), (0.0, -2e5, 5), (1e-10, -2e5, 5)], "v double, dx double, best int")
+    index = locate.nearest_index(F.col("v"), F.col("dx") * -5.5, F.col("dx"), F.lit(12))
+    assert rows.where(index != F.col("best")).collect() == []
+
+
 def test_two_step_lookup(spark):
     """Degrees and cube boxes disagree on purpose; all systems are degrees, so that a metre is a unit here."""
     big = 30_000.0
