@@ -237,6 +237,15 @@ def test_round_trips(spark, systems):
         assert worst < 1e-9
 
 
+def test_far_from_the_zone(spark):
+    """Back to the same place 75 degrees from the meridian; no place where the series have no sum."""
+    rows = [(3.0 + turn, lat, 32631) for turn in (-75.0, 60.0, 75.0) for lat in (0.5, 10.0, 55.0)]
+    there = run(spark, projections.project, rows)
+    back = run(spark, projections.unproject, [(x, y, 32631) for x, y in there])
+    assert max(abs(a - c) + abs(b - d) for (a, b, _), (c, d) in zip(rows, back)) < 2e-6
+    assert run(spark, projections.unproject, [(45e6, 1e6, 32631), (-20e6, 1e6, 32731)]) == [(None, None)] * 2
+
+
 def test_meridian_arc(spark):
     """Northing on the central meridian is the scaled arc length, here summed numerically."""
     phi, steps = math.radians(60), 200000
