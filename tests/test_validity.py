@@ -64,3 +64,27 @@ def test_visible_in_odd_cases(spark):
     assert visible_segments(frame.limit(0), ["k"], "a", "b", ["o"]).count() == 0
     with pytest.raises(Exception, match="outside"):
         visible_segments(frame.select("k", F.lit("1600-01-01").alias("a"), "b", "o"), ["k"], "a", "b", ["o"]).collect()
+
+
+def test_visible_across_blocks(spark):
+    """Long and short intervals over several blocks of days, painted day by day; neither nodes nor pieces are shuffled for a join."""
+    rng = random.Random(7)
+    first, days = dt.date(1998, 3, 1), 1700
+    rows = [(k, a, a + rng.choice((1, 7, 90, 512, 1400)), rng.randrange(40)) for k in (1, 2) for a in (rng.randrange(days) for _ in range(150))]
+    painted = {}
+    for k, a, b, o in rows:
+        for d in range(a, b):
+            painted[k, d] = min(o, painted.get((k, d), o))
+    frame = spark.createDataFrame([(k, first + dt.timedelta(a), first + dt.timedelta(b), o) for k, a, b, o in rows], "k int, a date, b date, o int")
+    seen = visible_segments(frame, ["k"], "a", "b", ["o"])
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    got, spans = {}, {}
+    for r in seen.collect():
+        a, b = (r["first"] - first).days, (r["after"] - first).days
+        spans[r["k"], a] = (b, r["o"])
+        for d in range(a, b):
+            assert (r["k"], d) not in got
+            got[r["k"], d] = r["o"]
+    assert got == painted
+    assert not any(spans.get((k, b), (0, None))[1] == o for (k, _), (b, o) in spans.items())  # segments are as long as can be
