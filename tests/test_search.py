@@ -89,6 +89,35 @@ def test_many_rings_carry_other_columns(spark, sf_dir, granules, rows):
     assert got.where("name <> concat('r', roi_id)").count() == 0
 
 
+def test_many_rings_without_a_shuffle_of_pairs(spark, sf_dir, granules, monkeypatch):
+    """Rings that are too many to be broadcast are listed in the cells; the pairs of large ones still join by region."""
+    names = ["roi_" + n for n in search.BOX]
+    ring = rings.box_ring(*(F.col(n) for n in names))
+    middle = F.array(F.struct(((F.col("roi_minx") + F.col("roi_maxx")) / 2).alias("x"), F.col("roi_miny").alias("y")))
+    rois = view(spark, sf_dir, "rois").select("roi_id", *names, F.when(F.col("roi_id") % 2 == 0, ring).otherwise(F.concat(ring, middle)).alias("roi_ring"))
+    want = rows_of(search.search_many(granules, rois).select("roi_id", "granule_id"))
+    listed = search.search_many(granules, rois, rows=0).select("roi_id", "granule_id")
+    assert rows_of(listed) == want != []
+    assert listed._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 1
+    monkeypatch.setattr(search, "LISTED_VERTICES", 4)
+    assert rows_of(search.search_many(granules, rois, rows=0).select("roi_id", "granule_id")) == want
+
+
+def test_ends_show_meeting(spark):
+    """Never true for a ring and a box that do not meet, touching ones included, and true for most that do."""
+    rng = random.Random(8)
+    pick = lambda n: [(float(rng.randint(0, 9)), float(rng.randint(0, 9))) for _ in range(n)]
+    rows = []
+    for i in range(1500):
+        (ax, ay), (bx, by) = pick(2)
+        rows.append((i, pick(rng.randint(3, 6)), min(ax, bx), min(ay, by), max(ax, bx), max(ay, by)))
+    frame = spark.createDataFrame(rows, "id int, ring array<struct<x:double,y:double>>, ax double, ay double, bx double, by double")
+    box = [F.col(n) for n in ("ax", "ay", "bx", "by")]
+    told = frame.withColumns({"told": rings.ends_show_meeting(rings.ring_ends(F.col("ring")), box), "meets": rings.edges_meet_box(rings.ring_edges(F.col("ring")), box)})
+    counts = {(r["told"], r["meets"]): r["count"] for r in told.groupBy("told", "meets").count().collect()}
+    assert counts.get((True, False), 0) == 0 and counts[True, True] > counts[False, True] and counts[False, False] > 0
+
+
 def test_ring_footprints(spark, granules):
     ring = rings.box_ring(*(F.col(n) for n in search.BOX))
     shaped = granules.withColumn("footprint", ring)
