@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnflow.llm.common import across_blocks, components, groups_of, stored, whole
+from firnflow.llm.common import across_blocks, components, groups_of, release, stored, whole
 
 WORDS = 5
 PERCENT = 85  # of op4; a caller without a threshold of its own takes less, see ``planned``
@@ -148,6 +148,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
             ["doc_id", "text_hash", "same", "n_shingles", "bands", "sketch"],
         )
     _HASHES.clear()
+    release()
 
 
 def _opened(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
@@ -185,6 +186,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Rec
                 doc.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(doc, pa.int64())], ["a", "b"])
     _HASHES.clear()
+    release()
 
 
 def confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], plan: Plan) -> DataFrame:
@@ -266,6 +268,7 @@ def _joining(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     _HASHES.clear()
+    release()
 
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from firnflow.llm.common import stored, whole
+from firnflow.llm.common import release, stored, whole
 
 WINDOW = 4096
 END_ID = 2
@@ -102,6 +102,7 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (binary) with the end id, n, part, start_in_part: first pass, not yet written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # the vocabulary and what is remembered come on top of what earlier stages have left
         words, part, before = loaded(path), TaskContext.get().partitionId(), 0
         end = struct.pack("<I", END_ID)
         for b in batches:
@@ -118,6 +119,7 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
                 )
         if len(words) > KEPT:
             words.clear()
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", whole(docs["text"]).alias("text")).mapInArrow(
