@@ -11,6 +11,8 @@ from firnflow.functions.filters import all_of
 from firnflow.functions.times import MICROS_PER_DAY, from_micros, micros
 from firnflow.operators.bounded import join_salted
 
+BINS_PER_TASK = 200_000  # made there from the spans of the series, which are small in themselves
+
 
 def running_mean(
     rows: DataFrame,
@@ -29,8 +31,8 @@ def running_mean(
     limits fall on j·f - h and j·f + h, so each row belongs to one of two pieces of period j, "seam" [j·f - h, j·f + h) or
     "core" [j·f + h, (j+1)·f - h), and bin i is seam i, core i and seam i+1.  Rows are summed per piece, map side first,
     and only those sums are copied to the bins: no range join, no copies of observations.  First dates meet the observations in a
-    join salted by time, so a series that holds a third of all rows is spread over many tasks.  ``rows`` is read twice, first for
-    the spans (keys and times only), so it should be a stored table rather than the end of a long plan.
+    join salted by time, so a series that holds a third of all rows is spread over many tasks.  ``rows`` is read three times, twice for
+    the spans (keys and times only) and their bins, so it should be a stored table rather than the end of a long plan.
     """
     keys = list(keys)
     f, h = int(freq_days * MICROS_PER_DAY), int(freq_days / 2) * MICROS_PER_DAY
@@ -61,7 +63,9 @@ def running_mean(
         .where((F.col("_bin") >= 0) & (F.col("_bin") < F.col("_bins")))
         .select(*keys, "_t0", "_bin", "_n", "_sum", offset.cast("double").alias("_off"))
     )
-    every_bin = spans.select(
+    # Spans are so few bytes that all bins would be made in one task if Spark chose the tasks by size.
+    tasks = (spans.agg(F.sum("_bins")).first()[0] or 0) // BINS_PER_TASK + 1
+    every_bin = spans.repartition(tasks, *keys).select(
         *keys,
         "_t0",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_bins") - 1)).alias("_bin"),

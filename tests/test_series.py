@@ -113,6 +113,17 @@ def test_running_mean_by_definition(df, observed, freq, least):
         assert (value is None) == (wanted is None) and (value is None or abs(value - wanted) < 1e-9)
 
 
+def test_running_mean_deals_its_bins(spark, df, monkeypatch):
+    """The spans of all series are a few bytes, their bins are not: they are made in as many tasks as they need."""
+    monkeypatch.setattr(running_mean, "BINS_PER_TASK", 1_000_000)
+    want = sorted(map(str, running_mean.running_mean(df, ["k"], "t", "v", 7, 2).select("k", "bin", "time", "n").collect()))
+    monkeypatch.setattr(running_mean, "BINS_PER_TASK", 7)
+    out = running_mean.running_mean(df, ["k"], "t", "v", 7, 2)
+    assert sorted(map(str, out.select("k", "bin", "time", "n").collect())) == want != []
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert len(want) > 14 and f", {len(want) // 7 + 1}), REPARTITION_BY_NUM" in plan
+
+
 def test_maximum_takes_first_date(spark):
     rows = [(1, dt.datetime(2001, 1, d), v) for d, v in ((3, 5.0), (1, 5.0), (2, 4.0))] + [(2, dt.datetime(2001, 1, 1), -1.0)]
     out = series.positive_maximum(spark.createDataFrame(rows, "k int, mid_date timestamp_ntz, v double"), ["k"]).collect()
