@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from firnflow.llm.common import stored, whole
+from firnflow.llm.common import release, stored, whole
 from firnflow.session import shared_folder
 
 LEAST = 100  # occurrences of a candidate
@@ -108,6 +108,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Record
     if held:
         yield arrays()
     yield from words()
+    known.clear()
+    codes.clear()
+    release()
 
 
 class Trie(NamedTuple):
@@ -237,6 +240,7 @@ def _passed(batches: Iterator[pa.RecordBatch], t: Trie, ends: np.ndarray | None)
     """
     total = np.zeros(len(t.phrases), np.int64)
     for b in batches:
+        release()  # positions of the last arrays, or what earlier levels have left
         for raw, values in zip(b.column("numbers"), b.column("codes")):
             numbers, codes = np.frombuffer(raw.as_py(), "<i4"), np.frombuffer(values.as_py(), "<u8")
             places, found = matches(t, numbers, codes)
@@ -255,6 +259,7 @@ def _passed(batches: Iterator[pa.RecordBatch], t: Trie, ends: np.ndarray | None)
     for lo in range(0, len(met), 100_000):
         some = met[lo : lo + 100_000]
         yield _counted(some, np.zeros(len(some), np.uint64), total[some])
+    release()
 
 
 def _counted(at: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -270,6 +275,7 @@ def _spelled(batches: Iterator[pa.RecordBatch], t: Trie) -> Iterator[pa.RecordBa
             keys = np.column_stack([phrases[here], code[here]]) if following else phrases[here]
             n = b.column("n").filter(pa.array(here))
             yield pa.RecordBatch.from_arrays([_keys(keys), n, pa.array(np.full(len(n), following))], ["key", "n", "following"])
+    release()
 
 
 def _level(arrays: DataFrame, candidates: DataFrame, size: int, extend: bool, least: int, per_trie: int) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from firnflow.llm import embedding_dedup, exact_dedup, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
+from firnflow.llm import collocations, embedding_dedup, exact_dedup, html_text, language, line_dedup, minhash_dedup, packing, pii, piece_bpe, sharding
 from firnflow.llm.common import across_blocks, components
 from firnflow.llm.queries import ORACLES, QUERIES
 
@@ -508,3 +508,22 @@ def test_freed_memory_goes_back():
     del pins[:-1]
     list(minhash_dedup._profiles(iter([batch]), minhash_dedup.planned(80)))
     assert psutil.Process().memory_full_info().uss - held < 60e6 and len(pins) == 1
+
+
+def test_freed_memory_goes_back_between_levels():
+    """As above for a task that makes word numbers of texts, and for one that counts candidates."""
+
+    def grown(task) -> int:
+        held = psutil.Process().memory_full_info().uss
+        pins = [bytes(600 + i % 7) for i in range(300_000)]
+        del pins[:-1]
+        assert list(task()) and len(pins) == 1
+        return psutil.Process().memory_full_info().uss - held
+
+    texts = [" ".join(f"w{i * 37 + k}" for k in range(200)) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 300), pa.array(texts)], ["lang", "text"])
+    assert grown(lambda: collocations._encoded(iter([batch]), 0)) < 60e6
+    array = next(b for b in collocations._encoded(iter([batch]), 0) if b.column("kind")[0].as_py() == "array")
+    codes = np.frombuffer(array.column("codes")[0].as_py(), "<u8")
+    known = collocations.trie(np.sort(codes[codes > 0]).reshape(-1, 1))
+    assert grown(lambda: collocations._passed(iter([array]), known, None)) < 60e6
