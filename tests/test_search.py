@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from firnflow.functions import rings
 from firnflow.operators import bounded, locate, search, subcube
+from firnflow.plans.queries import QUERIES
 from firnflow.plans.views import view
 from firnflow.sources import catalog
 
@@ -292,3 +293,22 @@ def test_boxes_by_either_join(spark):
         assert rows_of(cut.select("box_id", "cube_id", "x", "y")) == [(1, 1, float(x), float(y)) for x in range(10, 31, 5) for y in range(10, 21, 5)]
     gt = subcube.geotransforms(cut, ["box_id"], 5.0, -5.0).first()
     assert gt.geotransform == "7.5 5.0 0.0 22.5 0.0 -5.0" and gt.cells == 15
+
+
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_listed_join_gives_every_pair(spark, rows):
+    """A key with several arrays' worth of rows, rows that stand twice, keys without a partner and null keys."""
+    small = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 2).alias("k"), (F.col("id") % 2900).alias("s"))
+    big = spark.range(60).select(F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("k"), F.col("id").alias("b"))
+    got = bounded.join_listed(big, small, ["k"], rows, salt_by=["b"])
+    want = big.join(small, "k")
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["point_series"])
+def test_pairs_of_observations_are_unfolded(spark, sf_dir, name):
+    """Points stand in arrays; nothing is rounded and no date is reckoned for each pair."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("_listed")]
+    assert not any(f in above for f in ("round(", "date_sub(", "make_date("))
