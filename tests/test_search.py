@@ -306,7 +306,7 @@ def test_listed_join_gives_every_pair(spark, rows):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-@pytest.mark.parametrize("name", ["point_series", "export_from_points", "profile_patches", "legacy_series"])
+@pytest.mark.parametrize("name", ["point_series", "export_from_points", "profile_patches", "legacy_series", "subcube_bbox"])
 def test_pairs_of_observations_are_unfolded(spark, sf_dir, name):
     """Points stand in arrays; nothing is rounded and no date is reckoned for each pair."""
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
