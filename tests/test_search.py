@@ -306,6 +306,38 @@ def test_listed_join_gives_every_pair(spark, rows):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_listed_join_shares_columns(spark, rows):
+    """Columns beside the arrays may differ within a key, be null or NaN; values in arrays may be null."""
+    small = spark.range(900).select(
+        (F.col("id") % 3).alias("k"), F.when(F.col("id") % 11 == 0, float("nan")).when(F.col("id") % 13 > 0, F.col("id") % 2).alias("x"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 800).alias("s"),
+    )
+    big = spark.range(60).select(F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("b"))
+    got = bounded.join_listed(big, small, ["k"], rows, salt_by=["b"], shared=["x"])
+    want = big.join(small, "k")
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_shuffled_pairs_are_written_small(spark, tmp_path):
+    """Rows of a block go through one array after the other, so files hold short sequences that repeat."""
+    small = spark.range(6300).select(F.lit(1).alias("k"), (F.col("id") * 7919 % 6301 * 100_003).alias("s"))
+    big = spark.range(700).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    pairs = {"listed": bounded.join_listed(big, small, ["k"], 0, salt_by=["b"]), "plain": bounded.join_salted(big, small, ["k"], ["b"], hint="merge")}
+    room = {}
+    for name, df in pairs.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        room[name] = sum(f.stat().st_size for f in tmp_path.glob(f"{name}/*.parquet"))
+    assert room["listed"] < room["plain"] / 3
+    assert spark.read.parquet(f"{tmp_path}/listed").distinct().count() == 700 * 6300
+
+
+def test_heights_are_rounded_and_listed_once(spark, sf_dir):
+    plan = QUERIES["elevation_series"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan[: plan.index("_listed")]
+
+
 @pytest.mark.parametrize("name", ["point_series", "export_from_points", "profile_patches", "legacy_series", "subcube_bbox"])
 def test_pairs_of_observations_are_unfolded(spark, sf_dir, name):
     """Points stand in arrays; nothing is rounded and no date is reckoned for each pair."""
