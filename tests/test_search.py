@@ -333,6 +333,16 @@ def test_shuffled_pairs_are_written_small(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/listed").distinct().count() == 700 * 6300
 
 
+def test_boxes_keep_what_is_asked_for(spark):
+    cubes = spark.createDataFrame([(1, 4326, 0.0, 0.0, 100.0, 100.0, 0.0, 0.0, 100.0, 100.0)], CUBES)
+    cells = spark.range(100).select(F.lit(1).alias("cube_id"), (F.col("id") % 10 * 9.0).alias("x"), F.floor(F.col("id") / 10).cast("double").alias("y"))
+    boxes = spark.createDataFrame([(1, 10.0, 2.0, 30.0, 5.0, 4326), (None, 20.0, 3.0, 40.0, 5.0, 4326)],
+                                  "box_id int, b_minx double, b_miny double, b_maxx double, b_maxy double, epsg int")
+    for rows in (200_000, 0):
+        whole, narrow = subcube.in_boxes(cells, boxes, cubes, rows=rows), subcube.in_boxes(cells, boxes, cubes, rows=rows, keep=["box_id"])
+        assert narrow.columns == ["cube_id", "x", "y", "box_id"] and rows_of(narrow) == rows_of(whole.select(narrow.columns)) and len(rows_of(narrow)) == 8
+
+
 def test_heights_are_rounded_and_listed_once(spark, sf_dir):
     plan = QUERIES["elevation_series"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "round(" not in plan[: plan.index("_listed")]
